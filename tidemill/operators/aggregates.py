@@ -49,7 +49,8 @@ def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float = 0.
 
     A bounded sketch per key gives a bracket that surely contains the wanted
     rank. Values below the bracket are only counted; just the distinct values
-    inside it (about ``4 / accuracy`` of the ranks) are put in order.
+    inside it (about ``4 / accuracy`` of the ranks) are put in order. Groups of
+    at most ``accuracy`` rows need no bracket.
     """
     keys = list(keys)
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
@@ -60,7 +61,8 @@ def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float = 0.
         F.percentile_approx("_v", edges, accuracy).alias("_edges"), F.count(F.lit(1)).alias("_total")
     ).select(
         *keys,
-        F.col("_edges")[0].alias("_lo"), F.col("_edges")[1].alias("_hi"),
+        F.when(F.col("_total") > accuracy, F.col("_edges")[0]).otherwise(float("-inf")).alias("_lo"),
+        F.when(F.col("_total") > accuracy, F.col("_edges")[1]).otherwise(float("inf")).alias("_hi"),
         ((F.col("_total") - 1) * F.lit(q)).alias("_pos"),
     )
     tagged = counts.join(bracket, keys) if keys else counts.join(F.broadcast(bracket))

@@ -48,8 +48,10 @@ class RunRegistry:
         return VersionedTable(self.spark, f"{self.path}/{name}")
 
     def _rows(self, name: str, ddl: str) -> DataFrame:
-        table = self._table(name)
-        return table.read() if table.exists() else self.spark.createDataFrame([], ddl)
+        try:
+            return self._table(name).read()
+        except ValueError:  # no version yet
+            return self.spark.createDataFrame([], ddl)
 
     def schemas(self) -> DataFrame:
         return self._rows("schemas", SCHEMA_ROWS)
@@ -63,11 +65,12 @@ class RunRegistry:
     def schema_version(self, source: str, df: DataFrame, as_of: str) -> int:
         """Version of the frame's schema for the source, registering it when new."""
         digest = schema_fingerprint(df.schema)
-        known = self.schemas().filter(F.col("source_name") == source)
-        hit = known.filter(F.col("schema_hash") == digest).select("version").take(1)
-        if hit:
-            return hit[0]["version"]
-        version = (known.agg(F.max("version")).first()[0] or 0) + 1
+        known = self.schemas().filter(F.col("source_name") == source).agg(
+            F.max(F.when(F.col("schema_hash") == digest, F.col("version"))).alias("same"), F.max("version").alias("top")
+        ).first()
+        if known["same"] is not None:
+            return known["same"]
+        version = (known["top"] or 0) + 1
         row = [(source, version, digest, json.dumps(schema_columns(df.schema)), as_of)]
         self._table("schemas").append(self.spark.createDataFrame(row, SCHEMA_ROWS), as_of, f"{source}:{digest}")
         return version

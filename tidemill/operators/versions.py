@@ -12,11 +12,12 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
-MANIFEST = "version bigint, operation string, paths array<string>, batch_id string, committed_at string, schema string"
+MANIFEST = ("version bigint, operation string, paths array<string>, batch_id string, committed_at string, "
+            "schema string, note string")
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -50,39 +51,46 @@ class VersionedTable:
         except AnalysisException:
             return self.spark.createDataFrame([], MANIFEST)
 
-    def _entry(self, version: int | None = None):
+    def head(self, version: int | None = None) -> Row | None:
+        """Manifest row of the newest, or the given, version."""
         rows = self.manifest()
         if version is not None:
             rows = rows.filter(F.col("version") == version)
-        found = rows.orderBy(F.desc("version")).limit(1).collect()
-        if not found and version is not None:
+        found = rows.agg(F.max_by(F.struct(*rows.columns), "version").alias("head")).first()["head"]
+        if found is None and version is not None:
             raise ValueError(f"{self.path} has no version {version}")
-        return found[0] if found else None
+        return found
 
     def exists(self) -> bool:
-        return self._entry() is not None
+        return self.head() is not None
 
     def current_version(self) -> int:
-        entry = self._entry()
-        return entry["version"] if entry else 0
+        head = self.head()
+        return head["version"] if head else 0
 
     def history(self) -> DataFrame:
         return self.manifest().orderBy("version")
 
-    def schema(self) -> StructType | None:
-        entry = self._entry()
-        return StructType.fromJson(json.loads(entry["schema"])) if entry else None
-
     def read(self, version: int | None = None) -> DataFrame:
-        entry = self._entry(version)
-        if entry is None:
+        head = self.head(version)
+        if head is None:
             raise ValueError(f"{self.path} has no version yet")
-        schema = StructType.fromJson(json.loads(entry["schema"]))
-        return self.spark.read.schema(schema).parquet(*entry["paths"])
+        return self._rows(head)
+
+    def _rows(self, head: Row) -> DataFrame:
+        return self.spark.read.schema(_schema_of(head)).parquet(*head["paths"])
 
-    def _commit(self, operation: str, paths: list[str], schema: StructType, as_of: str, batch_id: str | None, base: int) -> int:
-        version = base + 1
-        row = [(version, operation, paths, batch_id, as_of, json.dumps(schema.jsonValue()))]
+    def _state(self, batch_id: str | None) -> tuple[Row | None, bool]:
+        """Newest manifest row, and whether the batch is committed already."""
+        rows = self.manifest()
+        same = F.lit(False) if batch_id is None else F.col("batch_id") == batch_id
+        state = rows.agg(F.max_by(F.struct(*rows.columns), "version").alias("head"), F.max(same).alias("done")).first()
+        return state["head"], bool(state["done"])
+
+    def _commit(self, operation: str, paths: list[str], schema: StructType, as_of: str, batch_id: str | None,
+                note: str | None, head: Row | None) -> int:
+        version = (head["version"] if head else 0) + 1
+        row = [(version, operation, paths, batch_id, as_of, json.dumps(schema.jsonValue()), note)]
         # An existing entry makes the write fail, so two writers cannot both commit the same version.
         self.spark.createDataFrame(row, MANIFEST).coalesce(1).write.mode("errorifexists").json(
             f"{self.path}/_manifest/{version:010d}"
@@ -94,47 +102,53 @@ class VersionedTable:
         df.write.parquet(folder)
         return folder
 
-    def _done(self, batch_id: str | None) -> bool:
-        return batch_id is not None and bool(self.manifest().filter(F.col("batch_id") == batch_id).take(1))
-
-    def replace(self, df: DataFrame, as_of: str, batch_id: str | None = None, operation: str = "replace") -> int:
-        if self._done(batch_id):
-            return self.current_version()
-        base = self.current_version()
-        return self._commit(operation, [self._store(df)], _nullable(df.schema), as_of, batch_id, base)
+    def replace(self, df: DataFrame, as_of: str, batch_id: str | None = None, operation: str = "replace",
+                note: str | None = None) -> int:
+        head, done = self._state(batch_id)
+        if done:
+            return head["version"]
+        return self._commit(operation, [self._store(df)], _nullable(df.schema), as_of, batch_id, note, head)
 
-    def append(self, df: DataFrame, as_of: str, batch_id: str | None = None, operation: str = "append") -> int:
+    def append(self, df: DataFrame, as_of: str, batch_id: str | None = None) -> int:
         """Add rows by name; only the new rows are written. New columns are null in older rows."""
-        if self._done(batch_id):
-            return self.current_version()
-        entry = self._entry()
-        if entry is None:
-            return self.replace(df, as_of, batch_id, operation)
-        schema = widened(StructType.fromJson(json.loads(entry["schema"])), df.schema)
+        head, done = self._state(batch_id)
+        if done:
+            return head["version"]
+        return self._append(df, as_of, batch_id, "append", head)
+
+    def _append(self, df: DataFrame, as_of: str, batch_id: str | None, operation: str, head: Row | None) -> int:
+        schema = widened(_schema_of(head), df.schema) if head else _nullable(df.schema)
         aligned = df.select(*[
             F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
             for f in schema.fields
         ])
-        return self._commit(operation, [*entry["paths"], self._store(aligned)], schema, as_of, batch_id, entry["version"])
+        paths = [*(head["paths"] if head else []), self._store(aligned)]
+        return self._commit(operation, paths, schema, as_of, batch_id, None, head)
 
-    def upsert(self, batch: DataFrame, key: Sequence[str], order: Sequence[str], as_of: str, batch_id: str | None = None) -> int:
-        if self._done(batch_id):
-            return self.current_version()
-        if not self.exists():
-            return self.replace(latest_per_key(batch, key, order), as_of, batch_id, "upsert")
-        return self.replace(upserted(self.read(), batch, key, order), as_of, batch_id, "upsert")
+    def upsert(self, batch: DataFrame, key: Sequence[str], order: Sequence[str], as_of: str, batch_id: str | None = None,
+               note: str | None = None) -> int:
+        head, done = self._state(batch_id)
+        if done:
+            return head["version"]
+        merged = upserted(self._rows(head), batch, key, order) if head else latest_per_key(batch, key, order)
+        return self._commit("upsert", [self._store(merged)], _nullable(merged.schema), as_of, batch_id, note, head)
 
     def insert_absent(self, batch: DataFrame, key: Sequence[str], order: Sequence[str], as_of: str, batch_id: str | None = None) -> int:
-        if self._done(batch_id):
-            return self.current_version()
-        fresh = new_rows(self.read(), batch, key, order) if self.exists() else new_rows(batch.limit(0), batch, key, order)
-        return self.append(fresh, as_of, batch_id, "insert_absent")
+        head, done = self._state(batch_id)
+        if done:
+            return head["version"]
+        target = self._rows(head) if head else batch.limit(0)
+        return self._append(new_rows(target, batch, key, order), as_of, batch_id, "insert_absent", head)
 
     def clear(self, as_of: str) -> int:
         """Version without rows; earlier versions stay readable."""
         return self.replace(self.read().limit(0), as_of, operation="clear")
 
 
+def _schema_of(head: Row) -> StructType:
+    return StructType.fromJson(json.loads(head["schema"]))
+
+
 def _nullable(schema: StructType) -> StructType:
     return StructType.fromJson(json.loads(json.dumps(schema.jsonValue()).replace('"nullable": false', '"nullable": true')))
 

@@ -39,7 +39,7 @@ def snapshots(spark, sf_dir):
 @job("incremental_sync", """
     WITH ship AS (SELECT l_orderkey AS k, max(l_shipdate) AS v, count(*) AS n FROM lineitem GROUP BY 1),
     changes AS (SELECT o_orderkey AS order_id, o_orderstatus AS status, o_orderdate AS updated_at, CAST(NULL AS BIGINT) AS lines FROM orders
-      UNION ALL SELECT k, 'SHIPPED', v, n FROM ship WHERE v > (SELECT max(o_orderdate) FROM orders))
+      UNION ALL SELECT k, 'SHIPPED', v, n FROM ship WHERE {'v': v, 'k': k} > (SELECT max({'v': o_orderdate, 'k': o_orderkey}) FROM orders))
     SELECT order_id, status, updated_at, lines FROM changes QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC) = 1
 """)
 def incremental_sync(spark, sf_dir):

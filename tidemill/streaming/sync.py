@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemill.operators.columns import keyset_page
 from tidemill.operators.versions import VersionedTable, added_columns
 
-MARK_ROWS = "last_sync string, last_key string, row_count bigint, bootstrapped boolean"
+
+@dataclass(frozen=True)
+class Mark:
+    """How far a copy has come: greatest ``(updated_at, key)`` and the rows read so far."""
+
+    last_sync: str
+    last_key: str
+    row_count: int
 
 
 @dataclass
@@ -18,8 +27,8 @@ class TableSync:
     """Keeps a versioned copy of a source table.
 
     The first run copies everything, later runs only rows above the mark
-    ``(updated_at, key)``. New source columns are added, deleted rows keep their
-    ``deleted_at`` and stay readable.
+    ``(updated_at, key)``, which is committed together with the rows. New source
+    columns are added, deleted rows keep their ``deleted_at`` and stay readable.
     """
 
     spark: SparkSession
@@ -31,54 +40,47 @@ class TableSync:
     def table(self) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.path}/table")
 
-    @property
-    def marks(self) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.path}/marks")
-
-    def mark(self) -> tuple[str, str, int] | None:
-        if not self.marks.exists():
-            return None
-        row = self.marks.read().first()
-        return row["last_sync"], row["last_key"], row["row_count"]
-
-    def _save_mark(self, batch: DataFrame, count: int, as_of: str) -> None:
-        edge = batch.agg(F.max(F.struct(self.updated_at, self.key)).alias("m"), F.count(F.lit(1)).alias("n")).select(
-            F.col(f"m.{self.updated_at}").cast("string"), F.col(f"m.{self.key}").cast("string"), "n"
-        ).first()
-        if edge[0] is None:
-            return
-        row = [(edge[0], edge[1], count + edge[2], True)]
-        self.marks.replace(self.spark.createDataFrame(row, MARK_ROWS), as_of)
+    def mark(self) -> Mark | None:
+        return _mark(self.table.head())
 
-    def pending(self, source: DataFrame) -> DataFrame:
+    def pending(self, source: DataFrame, mark: Mark | None) -> DataFrame:
         """Source rows above the mark; the filter reaches the source."""
-        mark = self.mark()
         if mark is None:
             return source
         types = dict(source.dtypes)
-        at, last = F.lit(mark[0]).cast(types[self.updated_at]), F.lit(mark[1]).cast(types[self.key])
+        at, last = F.lit(mark.last_sync).cast(types[self.updated_at]), F.lit(mark.last_key).cast(types[self.key])
         updated = F.col(self.updated_at)
         return source.filter((updated >= at) & ((updated > at) | (F.col(self.key) > last)))
 
+    def _advance(self, batch: DataFrame, mark: Mark | None) -> tuple[Mark | None, int]:
+        edge = batch.agg(F.max(F.struct(self.updated_at, self.key)).alias("m"), F.count(F.lit(1)).alias("n")).select(
+            F.col(f"m.{self.updated_at}").cast("string"), F.col(f"m.{self.key}").cast("string"), "n"
+        ).first()
+        if edge[2] == 0:
+            return mark, 0
+        return Mark(edge[0], edge[1], (mark.row_count if mark else 0) + edge[2]), edge[2]
+
     def run_once(self, source: DataFrame, as_of: str, page_size: int | None = None) -> int:
-        """Bring the copy up to date and return the new version.
+        """Bring the copy up to date and return its version.
 
         Without ``page_size`` all pending rows go in one batch, which is what
         scales; with it, pages are taken in key order until one comes up short.
-        A batch that ran before the mark was saved is merged again without effect.
         """
+        head = self.table.head()
         while True:
-            mark = self.mark()
-            pending = self.pending(source)
-            batch = pending if page_size is None or mark is None else keyset_page(pending, self.updated_at, self.key, page_size)
-            drift = added_columns(self.table.schema(), batch.schema) if self.table.exists() else []
-            if mark is not None and not drift and not batch.take(1):
-                return self.table.current_version()
-            version = self.table.upsert(batch, [self.key], [self.updated_at], as_of)
-            before = mark[2] if mark else 0
-            self._save_mark(batch, before, as_of)
-            if page_size is None or mark is None or batch.count() < page_size:
+            mark = _mark(head)
+            batch = self.pending(source, mark)
+            if page_size is not None and head is not None:
+                batch = keyset_page(batch, self.updated_at, self.key, page_size)
+            reached, count = self._advance(batch, mark)
+            drift = bool(head) and bool(added_columns(StructType.fromJson(json.loads(head["schema"])), batch.schema))
+            if head is not None and count == 0 and not drift:
+                return head["version"]
+            note = json.dumps(asdict(reached)) if reached else None
+            version = self.table.upsert(batch, [self.key], [self.updated_at], as_of, note=note)
+            if page_size is None or head is None or count < page_size:
                 return version
+            head = self.table.head()
 
     def active(self, deleted_at: str = "deleted_at") -> DataFrame:
         """Rows that are not soft-deleted."""
@@ -86,6 +88,10 @@ class TableSync:
         return rows.filter(F.col(deleted_at).isNull()) if deleted_at in rows.columns else rows
 
 
+def _mark(head: Row | None) -> Mark | None:
+    return Mark(**json.loads(head["note"])) if head is not None and head["note"] else None
+
+
 # Retry delays double from two seconds up to a minute; the fourth failure is final.
 BACKOFF_BASE, BACKOFF_CAP, MAX_ATTEMPTS = 2.0, 60.0, 4
 
