@@ -13,6 +13,7 @@ from tidemill.functions.values import contact_key, joined_sorted, mapped, prefix
 from tidemill.operators.columns import add_missing, canonical_first, rename_by_alias
 from tidemill.operators.joins import union_diagonal
 from tidemill.operators.quality import record_quality
+from tidemill.session import ensure_checkpoint_dir
 
 # Trust of each source system (unknown systems have 0).
 SOURCE_TRUST = {
@@ -101,25 +102,22 @@ def _without_up_to_two(df: DataFrame, text: str, radius: Column) -> DataFrame:
     return spots.select(text, F.concat(before, between, after).alias("_variant")).distinct()
 
 
-def _grams(df: DataFrame, text: str) -> DataFrame:
-    n = F.length(text)
-    pieces = F.transform(F.sequence(F.lit(1), F.greatest(n - (GRAM - 1), F.lit(1))), lambda p: F.col(text).substr(p, F.lit(GRAM)))
-    return df.select(text, F.array_distinct(pieces).alias("_grams"))
+def _rare_grams(strings: DataFrame, budget: Column) -> DataFrame:
+    """``(side, s, key)``: the rarest distinct grams of each string, as many as edits could destroy plus one.
 
-
-def _rarest(df: DataFrame, text: str, counts: DataFrame, budget: Column) -> DataFrame:
-    """``(text, key)``: the rarest distinct grams of each string, as many as edits could destroy plus one.
-
-    Strings with too few different grams to guarantee a shared one also get an empty key.
+    Strings with too few different grams to guarantee a shared one also get an
+    empty key. Both sides are ranked by the same counts.
     """
-    split = _grams(df, text)
-    listed = split.select(text, F.explode("_grams").alias("_gram")).join(counts, "_gram")
+    n = F.length("s")
+    pieces = F.transform(F.sequence(F.lit(1), F.greatest(n - (GRAM - 1), F.lit(1))), lambda p: F.col("s").substr(p, F.lit(GRAM)))
+    listed = strings.select("side", "s", F.explode(F.array_distinct(pieces)).alias("gram"))
+    counts = listed.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     # One short list per string: it has at most as many entries as the string has characters.
-    ordered = listed.groupBy(text).agg(F.array_sort(F.collect_list(F.struct("_count", "_gram"))).alias("_all"))
+    ordered = listed.join(counts, "gram").groupBy("side", "s").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("all"))
     wanted = budget * GRAM
-    head = F.transform(F.slice("_all", F.lit(1), wanted + 1), lambda e: e["_gram"])
-    keys = F.when(F.size("_all") <= wanted, F.concat(head, F.array(F.lit("")))).otherwise(head)
-    return ordered.select(text, F.explode(keys).alias("_key"))
+    head = F.transform(F.slice("all", F.lit(1), wanted + 1), lambda e: e["gram"])
+    keys = F.when(F.size("all") <= wanted, F.concat(head, F.array(F.lit("")))).otherwise(head)
+    return ordered.select("side", "s", F.explode(keys).alias("key"))
 
 
 def similar_strings(left: DataFrame, right: DataFrame, min_percent: int | None = None,
@@ -134,7 +132,7 @@ def similar_strings(left: DataFrame, right: DataFrame, min_percent: int | None =
       characters, so their deletion variants are equi-joined.
     * Longer ones share a gram among their rarest, because an edit destroys at
       most ``GRAM`` grams. Taking the rarest first keeps common phrases out of
-      the join keys.
+      the join keys. An action: the keys of both sides are checkpointed.
     """
     if (min_percent is None) == (max_distance is None):
         raise ValueError("give either min_percent or max_distance")
@@ -154,31 +152,27 @@ def similar_strings(left: DataFrame, right: DataFrame, min_percent: int | None =
         return F.floor(longest(n) * (100 - min_percent) / 100).cast("int")
 
     longer = F.greatest(F.length("l"), F.length("r"))
-    if max_distance is not None:
-        distance = F.levenshtein(F.col("l"), F.col("r"), max_distance)
-        accepted = F.col("distance") >= 0
-    else:
-        distance = F.levenshtein(F.col("l"), F.col("r"))
-        accepted = (longer - F.col("distance")) * 100 >= longer * min_percent
+    allowed = F.lit(max_distance) if max_distance is not None else F.floor(longer * (100 - min_percent) / 100).cast("int")
 
     def checked(pairs: DataFrame, sizes: Column) -> DataFrame:
-        return pairs.filter(sizes).select("l", "r", distance.alias("distance")).filter(accepted)
+        # With a limit the distance is -1 beyond it, and stops early.
+        limited = F.call_function("levenshtein", F.col("l"), F.col("r"), allowed)
+        return pairs.filter(sizes).select("l", "r", limited.alias("distance")).filter(F.col("distance") >= 0)
 
     def short(df: DataFrame, c: str) -> DataFrame:
         return _without_up_to_two(df.filter(F.length(c) <= SHORT), c, F.least(F.lit(2), budget(F.length(c))))
 
     near = checked(short(left, "l").join(short(right, "r"), "_variant"), longer <= SHORT)
 
-    long_left = left.filter(longest(F.length("l")) > SHORT)
-    long_right = right.filter(longest(F.length("r")) > SHORT)
-    both = _grams(long_left.select(F.col("l").alias("_s")), "_s").unionByName(_grams(long_right.select(F.col("r").alias("_s")), "_s"))
-    counts = both.select(F.explode("_grams").alias("_gram")).groupBy("_gram").agg(F.count(F.lit(1)).alias("_count"))
-    keyed_left = _rarest(long_left, "l", counts, budget(F.length("l")))
-    keyed_right = _rarest(long_right, "r", counts, budget(F.length("r")))
-    far = checked(
-        keyed_left.join(keyed_right, "_key"),
-        (longer > SHORT) & (F.abs(F.length("l") - F.length("r")) <= F.least(budget(F.length("l")), budget(F.length("r")))),
+    sides = left.select(F.lit("l").alias("side"), F.col("l").alias("s")).unionByName(
+        right.select(F.lit("r").alias("side"), F.col("r").alias("s"))
+    )
+    ensure_checkpoint_dir(left.sparkSession)
+    keyed = _rare_grams(sides.filter(longest(F.length("s")) > SHORT), budget(F.length("s"))).checkpoint()
+    candidates = keyed.filter("side = 'l'").select(F.col("s").alias("l"), "key").join(
+        keyed.filter("side = 'r'").select(F.col("s").alias("r"), "key"), "key"
     )
+    far = checked(candidates, (longer > SHORT) & (F.abs(F.length("l") - F.length("r")) <= allowed))
     return near.unionByName(far).distinct()
 
 
@@ -187,10 +181,12 @@ def best_fuzzy_match(left: DataFrame, right: DataFrame, text: str, key: str, min
 
     Equal strings have the top score, so they are settled by an equi join first;
     only the rest goes through the approximate join. Ties go to the smallest key.
+    An action: the distinct texts are checkpointed, for they are used several times.
     """
-    canonical = right.filter(F.col(text).isNotNull()).groupBy(text).agg(F.min(key).alias("_key"))
+    ensure_checkpoint_dir(left.sparkSession)
+    canonical = right.filter(F.col(text).isNotNull()).groupBy(text).agg(F.min(key).alias("_key")).checkpoint()
     wanted = left.filter(F.col(text).isNotNull()).select(text).distinct()
-    looked = wanted.join(canonical, text, "left")
+    looked = wanted.join(canonical, text, "left").checkpoint()
     exact = looked.filter(F.col("_key").isNotNull()).select(
         text, F.col("_key").alias("matched_key"), F.lit(100.0).alias("score")
     )

@@ -267,7 +267,7 @@ def rrf(spark, sf_dir):
     WITH {LISTS_SQL}, hyb AS (SELECT query_id, s.doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, s.doc_id) AS rank
       FROM sims s JOIN documents dd ON dd.doc_id = s.doc_id WHERE lang = 'en' QUALIFY rank <= 10)
     SELECT 'keyword' AS approach, query_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM lex UNION ALL
-    SELECT 'vector', query_id, doc_id, score, rank FROM sem UNION ALL SELECT 'hybrid', query_id, doc_id, score, rank FROM hyb
+    SELECT 'vector', query_id, doc_id, score, CAST(rank AS INTEGER) FROM sem UNION ALL SELECT 'hybrid', query_id, doc_id, score, CAST(rank AS INTEGER) FROM hyb
 """)
 def compare_approaches(spark, sf_dir):
     lexical_hits, semantic_hits, _, _ = _hit_lists(spark, sf_dir)
