@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WORD_BREAK = r"[^\p{L}\p{N}]+"
+WORD = r"[\p{L}\p{N}]+"
 
 
 def title_case(c: Column) -> Column:
@@ -22,8 +22,8 @@ def phone_digits(c: Column) -> Column:
 
 
 def tokens(c: Column) -> Column:
-    """Lower-case words, split on everything that is neither letter nor digit."""
-    return F.filter(F.split(F.lower(c), WORD_BREAK), lambda t: t != "")
+    """Lower-case words: runs of letters and digits."""
+    return F.regexp_extract_all(F.lower(c), F.lit(WORD), F.lit(0))
 
 
 def sentences(c: Column) -> Column:

@@ -162,14 +162,16 @@ def similar_strings(left: DataFrame, right: DataFrame, min_percent: int | None =
     def short(df: DataFrame, c: str) -> DataFrame:
         return _without_up_to_two(df.filter(F.length(c) <= SHORT), c, F.least(F.lit(2), budget(F.length(c))))
 
-    near = checked(short(left, "l").join(short(right, "r"), "_variant"), longer <= SHORT)
+    # Keys are few, candidates many: the left side is spread by a fixed number of partitions before it multiplies.
+    spread = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = checked(short(left, "l").repartition(spread, "l").join(short(right, "r"), "_variant"), longer <= SHORT)
 
     sides = left.select(F.lit("l").alias("side"), F.col("l").alias("s")).unionByName(
         right.select(F.lit("r").alias("side"), F.col("r").alias("s"))
     )
     ensure_checkpoint_dir(left.sparkSession)
     keyed = _rare_grams(sides.filter(longest(F.length("s")) > SHORT), budget(F.length("s"))).checkpoint()
-    candidates = keyed.filter("side = 'l'").select(F.col("s").alias("l"), "key").join(
+    candidates = keyed.filter("side = 'l'").select(F.col("s").alias("l"), "key").repartition(spread, "l").join(
         keyed.filter("side = 'r'").select(F.col("s").alias("r"), "key"), "key"
     )
     far = checked(candidates, (longer > SHORT) & (F.abs(F.length("l") - F.length("r")) <= allowed))

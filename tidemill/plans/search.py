@@ -45,7 +45,7 @@ def postings(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     path = fresh_dir(spark, "index")
     lexical.write_index(documents, "doc_id", ["text"], path)
-    index, _ = lexical.read_index(spark, path)
+    index = spark.read.parquet(path).filter(F.col("term") != lexical.LENGTH)
     return index.groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("tf").alias("occurrences"))
 
 
