@@ -202,9 +202,13 @@ def best_fuzzy_match(left: DataFrame, right: DataFrame, text: str, key: str, min
 
 
 def finalize_keys(df: DataFrame, min_percent: int = MATCH_PERCENT) -> DataFrame:
-    """Key of each record: contact key, else best fuzzy match on name and address, else its own id."""
+    """Key of each record: contact key, else best fuzzy match on name and address, else its own id.
+
+    An action: the records are checkpointed, for matching reads them several times.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
     text = F.concat(F.coalesce("customer_name", F.lit("")), F.lit("|"), F.coalesce("address", F.lit("")))
-    tagged = df.withColumn("_text", text)
+    tagged = df.withColumn("_text", text).checkpoint()
     settled = tagged.filter(F.col("composite_key").isNotNull())
     unresolved = tagged.filter(F.col("composite_key").isNull())
     matches = best_fuzzy_match(unresolved, settled, "_text", "composite_key", min_percent)
