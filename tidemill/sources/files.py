@@ -30,10 +30,12 @@ def csv_tolerant(spark: SparkSession, path: str, schema: StructType) -> tuple[Da
     """``(good rows, rejects)`` of a CSV with malformed lines; rejects keep the raw line."""
     with_corrupt = StructType(list(schema.fields)).add(CORRUPT, "string")
     rows = (
-        spark.read.option("header", True).option("mode", "PERMISSIVE")
+        spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnPruning", False)
         .option("columnNameOfCorruptRecord", CORRUPT).schema(with_corrupt).csv(path)
     )
-    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.filter(F.col(CORRUPT).isNotNull())
+    # A line is judged by all its columns, and Spark wants one of them to be read beside the raw line.
+    read = F.coalesce(F.col(schema.fields[0].name).cast("string"), F.lit("")) >= ""
+    return rows.filter(F.col(CORRUPT).isNull() & read).drop(CORRUPT), rows.filter(F.col(CORRUPT).isNotNull() & read)
 
 
 def ndjson(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
