@@ -52,6 +52,9 @@ def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float = 0.
     inside it (about ``4 / accuracy`` of the ranks) are put in order. Groups of
     at most ``accuracy`` rows need no bracket.
     """
+    if not keys:
+        whole = exact_quantile(df.withColumn("_all", F.lit(0)), ["_all"], value, q, name, accuracy)
+        return whole.drop("_all")
     keys = list(keys)
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
     counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
@@ -65,10 +68,10 @@ def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float = 0.
         F.when(F.col("_total") > accuracy, F.col("_edges")[1]).otherwise(float("inf")).alias("_hi"),
         ((F.col("_total") - 1) * F.lit(q)).alias("_pos"),
     )
-    tagged = counts.join(bracket, keys) if keys else counts.join(F.broadcast(bracket))
+    tagged = counts.join(bracket, keys)
     below = tagged.groupBy(*keys).agg(F.sum(F.when(F.col("_v") < F.col("_lo"), F.col("_n")).otherwise(0)).alias("_below"))
     inside = tagged.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-    inside = inside.join(below, keys) if keys else inside.join(F.broadcast(below))
+    inside = inside.join(below, keys)
     running = F.sum("_n").over(
         Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )

@@ -15,6 +15,7 @@ from tidemill.operators.columns import top_per_group
 
 DIGITS = 6
 MAX_BROADCAST_QUERIES = 4096
+VECTOR_BLOCK = 100_000
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -44,7 +45,7 @@ RESULT = StructType([
 
 
 def knn(vectors: DataFrame, queries: DataFrame, k: int = 10, threshold: float | None = None,
-        max_broadcast: int = MAX_BROADCAST_QUERIES, blocks: int = 16) -> DataFrame:
+        max_broadcast: int = MAX_BROADCAST_QUERIES, vector_block: int = VECTOR_BLOCK) -> DataFrame:
     """Exact top ``k`` by cosine similarity: ``(query_id, doc_id, score, rank)``.
 
     ``vectors`` is ``(doc_id bigint, embedding)`` and ``queries`` is
@@ -53,7 +54,8 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int = 10, threshold: float |
 
     Up to ``max_broadcast`` queries (checked by an action) travel to the vectors
     and each Arrow batch returns at most ``k`` rows per query. Beyond that both
-    sides are cut into hash blocks that meet pairwise.
+    sides are cut into hash blocks of about ``max_broadcast`` and
+    ``vector_block`` rows that meet pairwise.
     """
     head = queries.select(F.col("query_id").cast("bigint"), "embedding").limit(max_broadcast + 1).toPandas()
     vectors = vectors.select(F.col("doc_id").cast("bigint").alias("doc_id"), "embedding")
@@ -69,17 +71,23 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int = 10, threshold: float |
 
         best = vectors.mapInPandas(score, RESULT)
     else:
-        best = _blockwise(vectors, queries, k, threshold, blocks)
+        best = _blockwise(vectors, queries, k, threshold, max_broadcast, vector_block)
     return top_per_group(best, ["query_id"], [F.desc("score"), F.asc("doc_id")], k)
 
 
-def _blockwise(vectors: DataFrame, queries: DataFrame, k: int, threshold: float | None, blocks: int) -> DataFrame:
-    """Block nested search: pick ``blocks`` so that one block of each side fits a task."""
-    every = F.sequence(F.lit(0), F.lit(blocks - 1))
-    q = queries.select(F.col("query_id").cast("bigint").alias("query_id"), "embedding",
-                       F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("qb"), F.explode(every).alias("vb"))
-    v = vectors.select("doc_id", "embedding",
-                       F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("vb"), F.explode(every).alias("qb"))
+def _blockwise(vectors: DataFrame, queries: DataFrame, k: int, threshold: float | None, query_block: int, vector_block: int) -> DataFrame:
+    """Block nested search. Hash blocks are even, whatever the data, and one block of each side fits a task."""
+    query_blocks, vector_blocks = -(-queries.count() // query_block), max(1, -(-vectors.count() // vector_block))
+
+    def block(c: str, n: int):
+        return F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+
+    def every(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    q = queries.select(F.col("query_id").cast("bigint").alias("query_id"), "embedding").select(
+        "*", block("query_id", query_blocks).alias("qb"), every(vector_blocks).alias("vb"))
+    v = vectors.select("doc_id", "embedding", block("doc_id", vector_blocks).alias("vb"), every(query_blocks).alias("qb"))
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if len(left) == 0 or len(right) == 0:

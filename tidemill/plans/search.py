@@ -190,7 +190,7 @@ def knn_threshold(spark, sf_dir):
 def knn_all(spark, sf_dir):
     """Every vector as a query, searched block by block."""
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    return vector_search.knn(vectors, vectors.withColumnRenamed("doc_id", "query_id"), 3, max_broadcast=100, blocks=4)
+    return vector_search.knn(vectors, vectors.withColumnRenamed("doc_id", "query_id"), 3, max_broadcast=100, vector_block=150)
 
 
 @job("knn_filtered", f"""

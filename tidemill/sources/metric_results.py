@@ -36,17 +36,17 @@ def with_datetime(rows: DataFrame) -> DataFrame:
     return rows.withColumn("datetime", F.timestamp_seconds("timestamp"))
 
 
-def to_matrix(df: DataFrame, labels: list[str], ts: str, value: str, slice_unit: str = "hour", pieces: int = 1) -> DataFrame:
-    """Series folded to matrix results, one JSON text per series, time slice and piece.
+def to_matrix(df: DataFrame, labels: list[str], ts: str, value: str, slice_unit: str = "hour", points: int = 100_000) -> DataFrame:
+    """Series folded to matrix results, one JSON text per series, time slice and run of input rows.
 
-    The slice, and for busy series the number of ``pieces`` per slice, bound the
-    array of samples however long a series is.
+    A run is at most ``points`` neighbouring rows of an input partition, which
+    bounds the array of samples however busy a series is.
     """
+    df = df.withColumn("_run", F.floor(F.monotonically_increasing_id() / points))
     epoch = (F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(1_000_000.0))
     point = F.array(epoch.cast("string"), F.col(value).cast("string"))
     metric = F.create_map(*[x for label in labels for x in (F.lit(label), F.col(label).cast("string"))])
-    folded = df.groupBy(*labels, F.date_trunc(slice_unit, ts).alias("_slice"),
-                        F.pmod(F.xxhash64(ts, value), F.lit(pieces)).alias("_piece")).agg(F.collect_list(point).alias("values"))
+    folded = df.groupBy(*labels, F.date_trunc(slice_unit, ts).alias("_slice"), "_run").agg(F.collect_list(point).alias("values"))
     series = F.struct(metric.alias("metric"), F.col("values"))
     result = F.struct(
         F.lit("success").alias("status"), F.struct(F.lit("matrix").alias("resultType"), F.array(series).alias("result")).alias("data")
