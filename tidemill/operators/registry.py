@@ -6,7 +6,7 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.payloads import schema_columns, schema_fingerprint
@@ -148,3 +148,27 @@ def folder_size(spark: SparkSession, path: str, pattern: str = "*.parquet") -> D
     """Files and bytes below a table folder; lengths come from the listing, contents are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
     return files.select("path", "length").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+def stored_artifact(df: DataFrame, uri: str, inputs: Sequence[str] = ()) -> Artifact:
+    """Write a result as Parquet and describe it; rows are counted while writing. An action."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(uri)
+    return Artifact(uri, "parquet", tuple(schema_columns(df.schema)), seen.get["rows"], tuple(inputs))
+
+
+def run_sql(spark: SparkSession, sql: str, uri: str, tables: Mapping[str, DataFrame] | None = None, roles: Sequence[str] = (),
+            lineage: VersionedTable | None = None, user: str = "", as_of: str = "") -> Artifact:
+    """Run SQL over named frames and store the result; ``tables`` are the only inputs besides the catalog.
+
+    Access is checked before a name is resolved; a dot in a table name becomes
+    an underscore in its view. With a ``lineage`` table the run is logged.
+    """
+    for name in tables or {}:
+        check_access(name, roles)
+    for name, df in (tables or {}).items():
+        df.createOrReplaceTempView(name.replace(".", "_"))
+    artifact = stored_artifact(spark.sql(sql), uri, list(tables or {}))
+    if lineage is not None:
+        log_lineage(lineage, artifact, "sql", user, as_of)
+    return artifact

@@ -206,3 +206,18 @@ def promote(staging: VersionedTable, production: VersionedTable, enriched: DataF
     version = production.insert_absent(enriched, key, order, as_of, batch_id)
     staging.clear(as_of)
     return version
+
+
+def refresh_buckets(view: VersionedTable, facts: DataFrame, touched: DataFrame, bucket: str,
+                    build: Callable[[DataFrame], DataFrame], as_of: str, batch_id: str | None = None) -> int:
+    """Recompute only the buckets of a stored view that new facts fall into.
+
+    ``facts`` carries the ``bucket`` column, ``touched`` lists the buckets, and
+    ``build`` aggregates facts to view rows, which keep the bucket column.
+    """
+    buckets = touched.select(bucket).distinct()
+    fresh = build(facts.join(buckets, bucket, "left_semi"))
+    if not view.exists():
+        return view.replace(fresh, as_of, batch_id, "refresh")
+    kept = view.read().join(buckets, bucket, "left_anti")
+    return view.replace(kept.unionByName(fresh), as_of, batch_id, "refresh")

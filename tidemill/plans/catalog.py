@@ -34,4 +34,4 @@ def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
 
 def load_all() -> None:
     """Import every module that registers jobs."""
-    from tidemill.plans import customers, metrics, quality, relational, sales, search, storage, streams  # noqa: F401
+    from tidemill.plans import customers, metrics, orders, quality, relational, sales, search, storage, streams  # noqa: F401

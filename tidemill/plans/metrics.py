@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import aggregates, rates
 from tidemill.plans.catalog import job, table
-from tidemill.sources.metric_results import result_rows, to_matrix
+from tidemill.session import fresh_dir
+from tidemill.sources.metric_results import result_rows, to_matrix, with_datetime
 
 DELTAS_SQL = """
     deltas AS (SELECT event_type, ts, CASE WHEN v < p THEN v ELSE v - p END AS delta FROM (
@@ -167,3 +168,28 @@ def matrix_to_rows(spark, sf_dir):
 def error_increase(spark, sf_dir):
     errors = event_counters(spark, sf_dir).filter(F.col("event_type") == "error")
     return rates.windowed_increase(errors, ["event_type"], "ts", "5 minutes").select("window_start", F.col("increase").cast("double").alias("increase"))
+
+
+@job("metrics_export", """
+    SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, count(*) AS samples, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY 1, 2
+""")
+def metrics_export(spark, sf_dir):
+    """Metric results exported to Parquet with a readable time, then read back."""
+    path = fresh_dir(spark, "export")
+    rows = result_rows(to_matrix(table(spark, sf_dir, "events"), ["event_type"], "ts", "value"))
+    with_datetime(rows).write.parquet(path)
+    return spark.read.parquet(path).groupBy(F.col("metric")["event_type"].alias("event_type"), F.date_format("datetime", "yyyy-MM-dd").alias("day")).agg(
+        F.count(F.lit(1)).alias("samples"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total")
+    )
+
+
+@job("metric_lines", """
+    SELECT 'events_total{event_type="' || event_type || '",user="' || user_id || '"} ' || count(*) || ' 1706572800' AS value FROM events GROUP BY event_type, user_id
+""")
+def metric_lines(spark, sf_dir):
+    """Counters per type and user in the text form of a metrics push."""
+    from tidemill.operators.sinks import metric_lines as lines
+
+    counts = table(spark, sf_dir, "events").groupBy("event_type", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    labels = F.create_map(F.lit("event_type"), F.col("event_type"), F.lit("user"), F.col("user_id").cast("string"))
+    return lines(counts, F.lit("events_total"), F.col("n"), labels, F.lit(1706572800))

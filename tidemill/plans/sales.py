@@ -98,6 +98,22 @@ def product_performance_daily(spark, sf_dir):
     )
 
 
+def daily_products(rows, ts, product, name, category, units, amount):
+    """Order count, units and revenue per day and product."""
+    return rows.groupBy(trunc_ntz("day", F.col(ts)).alias("day"), product, name, category).agg(
+        F.count(F.lit(1)).alias("order_count"), F.sum(units).cast("bigint").alias("total_units_sold"),
+        money_sum(F.col(amount)).alias("total_revenue_usd"),
+    )
+
+
+def zone_totals(rows, zone, country, amount, customer):
+    """Order count, revenue, average value and distinct customers per zone and country."""
+    return rows.groupBy(zone, country).agg(
+        F.count(F.lit(1)).alias("order_count"), money_sum(F.col(amount)).alias("total_revenue_usd"),
+        money_avg(F.col(amount)).alias("avg_order_value_usd"), F.countDistinct(customer).alias("unique_customers"),
+    )
+
+
 @job("zone_stats", """
     SELECT r_name AS shipping_zone, n_name AS country, count(*) AS order_count,
            CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue_usd,
