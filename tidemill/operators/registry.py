@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.payloads import schema_columns, schema_fingerprint
 from tidemill.operators.versions import VersionedTable
+from tidemill.session import literal_row, no_rows
 
 SCHEMA_ROWS = "source_name string, version int, schema_hash string, columns string, first_seen string"
 RUN_ROWS = ("source_name string, source_type string, run_id string, status string, row_count bigint, "
@@ -51,7 +52,7 @@ class RunRegistry:
         try:
             return self._table(name).read()
         except ValueError:  # no version yet
-            return self.spark.createDataFrame([], ddl)
+            return no_rows(self.spark, ddl)
 
     def schemas(self) -> DataFrame:
         return self._rows("schemas", SCHEMA_ROWS)
@@ -71,19 +72,19 @@ class RunRegistry:
         if known["same"] is not None:
             return known["same"]
         version = (known["top"] or 0) + 1
-        row = [(source, version, digest, json.dumps(schema_columns(df.schema)), as_of)]
-        self._table("schemas").append(self.spark.createDataFrame(row, SCHEMA_ROWS), as_of, f"{source}:{digest}")
+        row = (source, version, digest, json.dumps(schema_columns(df.schema)), as_of)
+        self._table("schemas").append(literal_row(self.spark, row, SCHEMA_ROWS), as_of, f"{source}:{digest}")
         return version
 
     def record_success(self, source: str, kind: str, run_id: str, row_count: int, version: int, as_of: str, attempt: int = 1) -> None:
-        row = [(source, kind, run_id, "success", row_count, version, None, attempt, as_of)]
-        self._table("runs").upsert(self.spark.createDataFrame(row, RUN_ROWS), ["run_id"], ["attempt"], as_of)
+        row = (source, kind, run_id, "success", row_count, version, None, attempt, as_of)
+        self._table("runs").upsert(literal_row(self.spark, row, RUN_ROWS), ["run_id"], ["attempt"], as_of)
 
     def record_failure(self, source: str, kind: str, run_id: str, attempt: int, error: str, payload: Mapping, as_of: str) -> None:
-        failure = [(source, kind, run_id, attempt, error, json.dumps(payload, sort_keys=True), as_of)]
-        self._table("failures").append(self.spark.createDataFrame(failure, FAILURE_ROWS), as_of, f"{run_id}:{attempt}")
-        row = [(source, kind, run_id, "failed", None, None, error, attempt, as_of)]
-        self._table("runs").upsert(self.spark.createDataFrame(row, RUN_ROWS), ["run_id"], ["attempt"], as_of)
+        failure = (source, kind, run_id, attempt, error, json.dumps(payload, sort_keys=True), as_of)
+        self._table("failures").append(literal_row(self.spark, failure, FAILURE_ROWS), as_of, f"{run_id}:{attempt}")
+        row = (source, kind, run_id, "failed", None, None, error, attempt, as_of)
+        self._table("runs").upsert(literal_row(self.spark, row, RUN_ROWS), ["run_id"], ["attempt"], as_of)
 
 
 def health(runs: DataFrame, failures: DataFrame, as_of: str) -> DataFrame:
@@ -120,7 +121,7 @@ def lineage_row(artifact: Artifact, tool: str, user: str, as_of: str) -> tuple:
 
 
 def log_lineage(table: VersionedTable, artifact: Artifact, tool: str, user: str, as_of: str) -> int:
-    rows = table.spark.createDataFrame([lineage_row(artifact, tool, user, as_of)], LINEAGE_ROWS)
+    rows = literal_row(table.spark, lineage_row(artifact, tool, user, as_of), LINEAGE_ROWS)
     return table.append(rows, as_of)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemill.operators.matching import flatten_lists
+from tidemill.session import literal_row
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -56,9 +57,9 @@ def write_with_summary(df: DataFrame, path: str, summary_path: str, as_of: str,
     df.observe(seen, F.count(F.lit(1)).alias("row_count"), *named).write.mode("overwrite").parquet(path)
     summary = {"output": path, "columns": df.columns, "written_at": as_of, **seen.get}
     spark = df.sparkSession
-    row = spark.createDataFrame([(path, df.columns, as_of, int(summary["row_count"]))],
-                                "output string, columns array<string>, written_at string, row_count bigint")
-    row.coalesce(1).write.mode("overwrite").json(summary_path)
+    row = literal_row(spark, [path, df.columns, as_of, int(summary["row_count"])],
+                      "output string, columns array<string>, written_at string, row_count bigint")
+    row.write.mode("overwrite").json(summary_path)
     return summary
 
 

@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tidemill.functions.vectors import unit
 from tidemill.operators.columns import top_per_group
+from tidemill.session import no_rows
 
 DIGITS = 6
 MAX_BROADCAST_QUERIES = 4096
@@ -60,7 +61,7 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int = 10, threshold: float |
     head = queries.select(F.col("query_id").cast("bigint"), "embedding").limit(max_broadcast + 1).toPandas()
     vectors = vectors.select(F.col("doc_id").cast("bigint").alias("doc_id"), "embedding")
     if len(head) == 0:
-        return vectors.sparkSession.createDataFrame([], RESULT).withColumn("rank", F.lit(0))
+        return no_rows(vectors.sparkSession, "query_id bigint, doc_id bigint, score double, rank int")
     if len(head) <= max_broadcast:
         query_ids, query_rows = head["query_id"].to_numpy(), _matrix(head["embedding"])
 

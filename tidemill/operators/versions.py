@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
+from tidemill.session import literal_row, no_rows
+
 MANIFEST = ("version bigint, operation string, paths array<string>, batch_id string, committed_at string, "
             "schema string, note string")
 
@@ -49,7 +51,7 @@ class VersionedTable:
         try:
             return self.spark.read.schema(MANIFEST).json(f"{self.path}/_manifest/*")
         except AnalysisException:
-            return self.spark.createDataFrame([], MANIFEST)
+            return no_rows(self.spark, MANIFEST)
 
     def head(self, version: int | None = None) -> Row | None:
         """Manifest row of the newest, or the given, version."""
@@ -90,11 +92,9 @@ class VersionedTable:
     def _commit(self, operation: str, paths: list[str], schema: StructType, as_of: str, batch_id: str | None,
                 note: str | None, head: Row | None) -> int:
         version = (head["version"] if head else 0) + 1
-        row = [(version, operation, paths, batch_id, as_of, json.dumps(schema.jsonValue()), note)]
+        row = (version, operation, paths, batch_id, as_of, json.dumps(schema.jsonValue()), note)
         # An existing entry makes the write fail, so two writers cannot both commit the same version.
-        self.spark.createDataFrame(row, MANIFEST).coalesce(1).write.mode("errorifexists").json(
-            f"{self.path}/_manifest/{version:010d}"
-        )
+        literal_row(self.spark, row, MANIFEST).write.mode("errorifexists").json(f"{self.path}/_manifest/{version:010d}")
         return version
 
     def _store(self, df: DataFrame) -> str:

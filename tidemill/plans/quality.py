@@ -181,7 +181,34 @@ def customer_sources(spark, sf_dir):
     return {"billing_system": billing, "crm_system": crm, "support_desk": support}
 
 
-@job("golden_customers")
+GOLDEN_SQL = """
+    span AS (SELECT o_custkey, max(o_orderdate) AS last, min(o_orderdate) AS first FROM orders GROUP BY 1),
+    base AS (SELECT *, CAST(c_custkey AS VARCHAR) AS key, lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS digits, c_mktsegment || ', ' || n_name AS address
+      FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN span ON o_custkey = c_custkey),
+    raw AS (
+      SELECT 'billing_system' AS system, 3 AS trust, 'C-' || key AS customer_id, c_name AS customer_name, lower(c_name) || '@example.com' AS email, '+1' || digits AS phone,
+        address, CASE WHEN c_nationkey = 0 THEN 'US' ELSE n_name END AS country, first AS updated_at FROM base
+      UNION ALL SELECT 'crm_system', 2, 'C-' || key, c_name, lower(c_name) || '@example.com', '+1' || digits, address, n_name, last FROM base
+      UNION ALL SELECT 'support_desk', 1, 'S-' || key, c_name, lower(c_name) || '@support.io', CASE WHEN c_acctbal >= 0 THEN '+2' || digits END, address, n_name, NULL FROM base),
+    keyed AS (SELECT *, system || '::' || customer_id AS rid, email || '|' || phone AS contact, CASE WHEN phone IS NULL THEN 5 ELSE 6 END / 6.0::DOUBLE AS completeness FROM raw),
+    scored AS (SELECT *, round(completeness * 0.7::DOUBLE + CASE WHEN updated_at IS NULL THEN 0.2::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE,
+      1.0::DOUBLE - floor(abs(epoch_us(TIMESTAMP '2001-08-02') - epoch_us(updated_at)) / 86400000000) / 365.0::DOUBLE)) END * 0.3::DOUBLE, 3) AS score FROM keyed),
+    texts AS (SELECT customer_name, address, min(contact) AS matched FROM scored WHERE contact IS NOT NULL GROUP BY 1, 2),
+    final AS (SELECT s.*, coalesce(contact, matched, customer_id) AS composite_key,
+      CASE WHEN contact IS NULL AND matched IS NOT NULL THEN 'schema_normalization|fuzzy_name_address_match' ELSE 'schema_normalization' END AS rule
+      FROM scored s LEFT JOIN texts t ON t.customer_name = s.customer_name AND t.address = s.address),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY composite_key ORDER BY trust DESC, score DESC, rid DESC) AS t,
+      row_number() OVER (PARTITION BY composite_key ORDER BY score DESC, trust DESC, rid DESC) AS b FROM final),
+    golden AS (SELECT t.composite_key, b.customer_id, b.customer_name, t.email, t.phone, t.address, t.country, g.data_quality_score, g.completeness_fraction,
+      t.system AS primary_source, t.rid AS primary_source_record, g.source_systems, g.conflict_rules_applied, t.updated_at AS last_updated_at
+      FROM ranked t JOIN ranked b ON b.composite_key = t.composite_key AND b.b = 1
+      JOIN (SELECT composite_key, max(score) AS data_quality_score, round(max(completeness), 6) AS completeness_fraction,
+        string_agg(DISTINCT system, '|' ORDER BY system) AS source_systems, string_agg(DISTINCT rule, '|' ORDER BY rule) AS conflict_rules_applied
+        FROM final GROUP BY 1) g ON g.composite_key = t.composite_key WHERE t.t = 1)
+"""
+
+
+@job("golden_customers", f"WITH {GOLDEN_SQL} SELECT * FROM golden")
 def golden_customers(spark, sf_dir):
     golden = matching.golden_records(customer_sources(spark, sf_dir), AS_OF)
     return matching.flatten_lists(golden, ["source_systems", "conflict_rules_applied"]).drop("created_at").withColumn(
@@ -212,7 +239,10 @@ def survivorship(spark, sf_dir):
     )
 
 
-@job("golden_summary")
+@job("golden_summary", f"""
+    WITH {GOLDEN_SQL} SELECT count(*) AS records_in_golden_table, count(DISTINCT primary_source) AS unique_sources,
+      round(avg(data_quality_score), 3) AS avg_quality_score FROM golden
+""")
 def golden_summary(spark, sf_dir):
     return matching.golden_summary(matching.golden_records(customer_sources(spark, sf_dir), AS_OF))
 

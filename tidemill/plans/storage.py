@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.payloads import schema_columns, schema_fingerprint
 from tidemill.operators import columns, registry, sinks, versions
 from tidemill.plans.catalog import job, table, tables
-from tidemill.session import fresh_dir
+from tidemill.session import fresh_dir, no_rows
 from tidemill.sources import dispatch, files
 from tidemill.sources.tables import catalogue_frame
 from tidemill.streaming.sync import TableSync
@@ -64,7 +64,7 @@ def schema_registry(spark, sf_dir):
         [(n, schema_fingerprint(df.schema), len(schema_columns(df.schema)), i) for i, (n, df) in enumerate(frames.items())],
         "source_name string, schema_hash string, columns int, seen_order int",
     )
-    known = spark.createDataFrame([], "source_name string, version int, schema_hash string")
+    known = no_rows(spark, "source_name string, version int, schema_hash string")
     counts = registry.table_stats(frames)
     return registry.register_schemas(known, seen).join(seen.select("source_name", "columns"), "source_name").join(
         counts.withColumnRenamed("table_name", "source_name"), "source_name"
@@ -80,7 +80,7 @@ def schema_versions(spark, sf_dir):
     seen = table(spark, sf_dir, "documents").select(
         F.col("source").alias("source_name"), F.col("lang").alias("schema_hash"), F.col("doc_id").alias("seen_order")
     )
-    known = spark.createDataFrame([], "source_name string, version int, schema_hash string")
+    known = no_rows(spark, "source_name string, version int, schema_hash string")
     return registry.register_schemas(known, seen)
 
 

@@ -19,7 +19,8 @@ AS_OF = "2024-01-31 00:00:00"
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream; its event time is in UTC."""
     schema = table(spark, sf_dir, "events").schema
-    return intake.file_stream(spark, sf_dir, schema, pattern="events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    # Written as a pattern, the path may be one file or a folder of files.
+    return intake.file_stream(spark, f"{sf_dir}/events.parque[t]", schema).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def resent(events: DataFrame) -> DataFrame:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -60,6 +63,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
 
 
+def literal_row(spark: SparkSession, values: Sequence, ddl: str) -> DataFrame:
+    """One row of literals in one partition; unlike ``createDataFrame`` it needs no Python worker."""
+    columns = []
+    for value, field in zip(values, StructType.fromDDL(ddl).fields, strict=True):
+        c = F.array(*[F.lit(v) for v in value]) if isinstance(value, (list, tuple)) else F.lit(value)
+        columns.append(c.cast(field.dataType).alias(field.name))
+    return spark.range(0, 1, 1, 1).select(*columns)
+
+
+def no_rows(spark: SparkSession, ddl: str) -> DataFrame:
+    return literal_row(spark, [None] * len(StructType.fromDDL(ddl).fields), ddl).limit(0)
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """New, not yet existing path below the shared folder."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.times import parse_utc
 from tidemill.operators.columns import stamp
+from tidemill.session import literal_row
 from tidemill.sources import files, synthetic
 from tidemill.sources.paged import paged_api
 
@@ -19,7 +20,7 @@ def webhook_rows(spark: SparkSession, payload: Mapping, received_at: str) -> Dat
     if not isinstance(payload, Mapping):
         raise ValueError("a webhook payload must be an object")
     text = json.dumps({**payload, "received_at": received_at})
-    holder = spark.createDataFrame([(text,)], "body string")
+    holder = literal_row(spark, [text], "body string")
     schema = spark.sql("SELECT schema_of_json(:body)", {"body": text}).first()[0]
     return holder.select(F.from_json("body", F.lit(schema)).alias("r")).select("r.*")
 

@@ -126,7 +126,8 @@ def ingest_unique(path: str, key: str, ts: str, seconds: int = DEDUP_SECONDS) ->
         accepted = f"{path}/accepted"
         earlier = None
         if batch_id > 0:
-            earlier = spark.read.parquet(accepted).filter(F.col("batch_id") < batch_id).select(key, F.col(ts).alias("_seen"))
+            schema = unique.drop("_copies").schema.add("batch_id", "int")
+            earlier = spark.read.schema(schema).parquet(accepted).filter(F.col("batch_id") < batch_id).select(key, F.col(ts).alias("_seen"))
             # The oldest row of the batch bounds the look-back; the filter reaches the file statistics.
             oldest = unique.agg(F.min(ts)).first()[0]
             if oldest is not None:
