@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 from tidemill.functions.payloads import json_or_raw
 
@@ -126,7 +126,7 @@ def ingest_unique(path: str, key: str, ts: str, seconds: int = DEDUP_SECONDS) ->
         accepted = f"{path}/accepted"
         earlier = None
         if batch_id > 0:
-            schema = unique.drop("_copies").schema.add("batch_id", "int")
+            schema = unique.drop("_copies").schema.add("batch_id", IntegerType())
             earlier = spark.read.schema(schema).parquet(accepted).filter(F.col("batch_id") < batch_id).select(key, F.col(ts).alias("_seen"))
             # The oldest row of the batch bounds the look-back; the filter reaches the file statistics.
             oldest = unique.agg(F.min(ts)).first()[0]
