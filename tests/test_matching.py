@@ -173,3 +173,25 @@ def test_missing_required_column(spark):
     counts = quality.violation_counts(spark.createDataFrame([("a",)], "email string"), quality.CUSTOMER_RULES)
     found = {r["rule"]: r["violations"] for r in counts.collect()}
     assert found["email:contains"] == 1 and found["customer_id:required"] == 1
+
+
+def test_both_limits(spark):
+    left, right = strings(5, 20, (10, 40), "abcd"), strings(5, 20, (10, 40), "abcd") + ["zz"]
+    want = {k: d for k, d in within(left, right, percent=85).items() if d <= 2}
+    assert pairs(spark, left, right, min_percent=85, max_distance=2) == want
+
+
+def test_best_match_equals_brute_force(spark):
+    right = strings(6, 60, (18, 45), "abcdefgh ")
+    left = strings(6, 60, (18, 45), "abcdefgh ")[::2] + [s[:-4] + "xyz" for s in right[::3]] + ["q" + s + "q" for s in right[::7]]
+    left = sorted(set(left))
+    want = {}
+    for a in left:
+        ranked = [(-100.0 * (max(len(a), len(b)) - edits(a, b)) / max(len(a), len(b)), b) for b in right]
+        score, key = min(r for r in ranked)
+        if -score >= 85:
+            want[a] = (key, -score)
+    df = spark.createDataFrame([(b, b) for b in right], "t string, k string")
+    got = matching.best_fuzzy_match(spark.createDataFrame([(a,) for a in left], "t string"), df, "t", "k")
+    assert {r["t"]: (r["matched_key"], r["score"]) for r in got.collect()} == want
+    assert any(score < 95 for _, score in want.values())

@@ -126,7 +126,7 @@ def similar_strings(left: DataFrame, right: DataFrame, min_percent: int | None =
 
     ``left`` has one column ``l`` and ``right`` one column ``r``, both distinct.
     The limit is ``max_distance`` (at most 2) edits, or
-    ``100 * (1 - distance / longer length) >= min_percent`` (at least 85). The result is exact:
+    ``100 * (1 - distance / longer length) >= min_percent`` (at least 85), or both. The result is exact:
 
     * Two short strings within two edits become equal when each loses at most two
       characters, so their deletion variants are equi-joined.
@@ -134,25 +134,35 @@ def similar_strings(left: DataFrame, right: DataFrame, min_percent: int | None =
       most ``GRAM`` grams. Taking the rarest first keeps common phrases out of
       the join keys. An action: the keys of both sides are checkpointed.
     """
-    if (min_percent is None) == (max_distance is None):
-        raise ValueError("give either min_percent or max_distance")
+    if min_percent is None and max_distance is None:
+        raise ValueError("give min_percent, max_distance or both")
     if (max_distance or 0) > 2 or (min_percent is not None and min_percent < MATCH_PERCENT):
         raise ValueError(f"limits are two edits or {MATCH_PERCENT} percent")
 
     def longest(n: Column) -> Column:
         """Length of the longest possible partner."""
+        limits = []
         if max_distance is not None:
-            return n + max_distance
-        return F.floor(n * 100 / min_percent).cast("int")
+            limits.append(n + max_distance)
+        if min_percent is not None:
+            limits.append(F.floor(n * 100 / min_percent).cast("int"))
+        return F.least(*limits) if len(limits) > 1 else limits[0]
+
+    def most_edits(n: Column) -> Column:
+        """Edits allowed when the longer string has length ``n``."""
+        limits = []
+        if max_distance is not None:
+            limits.append(F.lit(max_distance))
+        if min_percent is not None:
+            limits.append(F.floor(n * (100 - min_percent) / 100).cast("int"))
+        return F.least(*limits) if len(limits) > 1 else limits[0]
 
     def budget(n: Column) -> Column:
-        """Most edits that a pair with this string may have."""
-        if max_distance is not None:
-            return F.lit(max_distance)
-        return F.floor(longest(n) * (100 - min_percent) / 100).cast("int")
+        """Most edits that a pair with a string of this length may have."""
+        return most_edits(longest(n))
 
     longer = F.greatest(F.length("l"), F.length("r"))
-    allowed = F.lit(max_distance) if max_distance is not None else F.floor(longer * (100 - min_percent) / 100).cast("int")
+    allowed = most_edits(longer)
 
     def checked(pairs: DataFrame, sizes: Column) -> DataFrame:
         # With a limit the distance is -1 beyond it, and stops early.
@@ -179,26 +189,37 @@ def similar_strings(left: DataFrame, right: DataFrame, min_percent: int | None =
 
 
 def best_fuzzy_match(left: DataFrame, right: DataFrame, text: str, key: str, min_percent: int = MATCH_PERCENT) -> DataFrame:
-    """Best right key for each distinct left text: ``(text, matched_key, score)``.
+    """Best right key for each distinct left text: ``(text, matched_key, score)``. Ties go to the smallest key.
 
-    Equal strings have the top score, so they are settled by an equi join first;
-    only the rest goes through the approximate join. Ties go to the smallest key.
-    An action: the distinct texts are checkpointed, for they are used several times.
+    The search goes from strict to lax and only texts without a match go on:
+    equal texts by an equi join, then up to two edits, then the full limit. That
+    is exact, for a pair with more than two edits scores lower than any with at
+    most two. An action: the texts and the matches of the first steps are
+    checkpointed, for they are used several times.
     """
     ensure_checkpoint_dir(left.sparkSession)
-    canonical = right.filter(F.col(text).isNotNull()).groupBy(text).agg(F.min(key).alias("_key")).checkpoint()
-    wanted = left.filter(F.col(text).isNotNull()).select(text).distinct()
-    looked = wanted.join(canonical, text, "left").checkpoint()
-    exact = looked.filter(F.col("_key").isNotNull()).select(
-        text, F.col("_key").alias("matched_key"), F.lit(100.0).alias("score")
-    )
-    open_texts = looked.filter(F.col("_key").isNull()).select(F.col(text).alias("l"))
-    pairs = similar_strings(open_texts, canonical.select(F.col(text).alias("r")), min_percent=min_percent)
-    longer = F.greatest(F.length("l"), F.length("r"))
-    scored = pairs.withColumn("score", F.lit(100.0) * (longer - F.col("distance")) / longer)
-    keyed = scored.join(canonical.withColumnRenamed(text, "r"), "r")
-    best = keyed.groupBy("l").agg(F.max("score").alias("score"), F.min_by("_key", F.struct(-F.col("score"), "_key")).alias("matched_key"))
-    return exact.unionByName(best.select(F.col("l").alias(text), "matched_key", "score"))
+    canonical = right.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("r")).agg(F.min(key).alias("_key")).checkpoint()
+    wanted = left.filter(F.col(text).isNotNull()).select(F.col(text).alias("l")).distinct()
+    looked = wanted.join(canonical, wanted["l"] == canonical["r"], "left").select("l", "_key").checkpoint()
+    exact = looked.filter(F.col("_key").isNotNull()).select("l", F.col("_key").alias("matched_key"), F.lit(100.0).alias("score"))
+
+    def best(texts: DataFrame, **limit: int) -> DataFrame:
+        pairs = similar_strings(texts, canonical.select("r"), **limit)
+        longer = F.greatest(F.length("l"), F.length("r"))
+        scored = pairs.withColumn("score", F.lit(100.0) * (longer - F.col("distance")) / longer).join(canonical, "r")
+        top = F.min_by(F.struct("_key", "score"), F.struct(-F.col("score"), "_key"))
+        return scored.groupBy("l").agg(top.alias("b")).select("l", F.col("b._key").alias("matched_key"), "b.score")
+
+    open_texts = looked.filter(F.col("_key").isNull()).select("l")
+    if open_texts.isEmpty():
+        return exact.withColumnRenamed("l", text)
+    near = best(open_texts, min_percent=min_percent, max_distance=2).checkpoint()
+    # Texts this short cannot have more than two edits.
+    rest = open_texts.filter(F.floor(F.length("l") * 100 / min_percent) > SHORT).join(near, "l", "left_anti").checkpoint()
+    found = exact.unionByName(near)
+    if not rest.isEmpty():
+        found = found.unionByName(best(rest, min_percent=min_percent))
+    return found.withColumnRenamed("l", text)
 
 
 def finalize_keys(df: DataFrame, min_percent: int = MATCH_PERCENT) -> DataFrame:
