@@ -10,8 +10,10 @@ from tidemill.llm.common import read, stored
 from tidemill.llm.histogram_shards import shard_by_bytes
 from tidemill.llm.pareto_mix import pareto_mix
 from tidemill.llm.prefix_counts import token_counts
+from tidemill.llm.qgram_leaks import find_leaks
 from tidemill.llm.quality_rules import learn_rules, text_statistics
 from tidemill.llm.record_files import read_records, write_records
+from tidemill.llm.toxicity import in_holdout, score, train
 
 JOBS = {}
 SQL: dict[str, str] = {}
@@ -132,3 +134,21 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(length('### ' || r || ': ' || t || '</turn>' || chr(10))) AS BIGINT) AS formatted_chars
 FROM f GROUP BY conv_id
 """
+
+
+@job
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, read(spark, sf_dir, "labels"))
+    return score(docs, model).select(
+        "doc_id", in_holdout(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@job
+def op4_qgram_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage, with the items and their edit distance."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_leaks(docs, read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
