@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.chat_events import digests, format_conversations, message_events
 from tidemill.llm.common import read, stored
+from tidemill.llm.group_jaccard import jaccard_components
 from tidemill.llm.histogram_shards import shard_by_bytes
 from tidemill.llm.pareto_mix import pareto_mix
 from tidemill.llm.prefix_counts import token_counts
@@ -152,3 +153,27 @@ def op4_qgram_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_leaks(docs, read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+@job
+def op9_group_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under Jaccard similarity 0.9 of three-word shingles."""
+    return jaccard_components(read(spark, sf_dir, "documents"))
+
+
+SQL["op9_group_jaccard"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, p.n, q.n HAVING 100 * count(*) >= 90 * (p.n + q.n - count(*))),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) r ON r.x = d.doc_id
+"""
