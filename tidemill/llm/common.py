@@ -56,6 +56,52 @@ def column_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def bit_filter(rows: DataFrame, place: Column, bits: int) -> np.ndarray:
+    """Bits that are set at ``place`` of some row, as words of 32: fixed size, whatever the rows.
+
+    It lets a scan skip most rows that have no partner; more rows than bits only make it skip fewer.
+    """
+    words = rows.select(place.alias("p")).groupBy(F.shiftright("p", 5).cast("int").alias("w")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("p") % 32).cast("int"))).alias("b"))
+    got = words.toArrow()
+    out = np.zeros(1 << (bits - 5), np.uint32)
+    out[got.column("w").to_numpy()] = got.column("b").to_numpy().astype(np.uint32)
+    return out
+
+
+def is_set(words: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return (words[place >> 5] >> (place & 31).astype(np.uint32)) & np.uint32(1) == 1
+
+
+ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64 bits spread over all bits, one to one."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+
+class Powers:
+    """Powers of the hash base and of its inverse modulo 2**64, as many as needed so far."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+        self.inverse = np.uint64(pow(int(ODD), -1, 1 << 64))
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.up) <= n:
+            with np.errstate(over="ignore"):
+                self.up = np.concatenate([self.up, self.up * (self.up[-1] * ODD)])
+                self.down = np.concatenate([self.down, self.down * (self.down[-1] * self.inverse)])
+        return self.up, self.down
+
+
+POWERS = Powers()
+
+
 class Texts:
     """UTF-8 bytes of some rows of a string column without copies: row ``i`` is ``data[start[i]:end[i]]``; null is empty."""
 

@@ -10,12 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import Texts, column_name, discard, slices, stored
+from tidemill.llm.common import ODD, POWERS, Texts, bit_filter, column_name, discard, is_set, mixed, slices, stored
 from tidemill.llm.components import components
 
 U = np.uint64
-ODD = U(0x9E3779B97F4A7C15)
-INVERSE = U(pow(int(ODD), -1, 1 << 64))
 #: Bits of a row of the token-group matrix.
 BITS = 2048
 #: Members of a group, and tokens of all its members together.
@@ -23,38 +21,11 @@ MEMBERS, GROUP_TOKENS = 32, 500_000
 SEEDS = 16
 
 
-def mixed(x: np.ndarray | U) -> np.ndarray:
-    """64 bits spread over all bits, one to one."""
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-        return x ^ (x >> U(31))
-
-
 LETTERS = mixed(np.arange(1, 257, dtype=np.uint64) * ODD)
 LETTERS[ord("A") : ord("Z") + 1] = LETTERS[ord("a") : ord("z") + 1]
 BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
-class _Powers:
-    """Powers of the hash base and of its inverse, as many as needed so far."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        while len(self.up) <= n:
-            with np.errstate(over="ignore"):
-                k = len(self.up)
-                self.up = np.concatenate([self.up, self.up * (self.up[-1] * ODD)])
-                self.down = np.concatenate([self.down, self.down * (self.down[-1] * INVERSE)])
-                assert len(self.up) == 2 * k
-        return self.up, self.down
-
-
-POWERS = _Powers()
-
-
 def shingle_sets(texts: Texts, width: int = 3, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Rows and 64-bit hashes of the distinct shingles, sorted by both.
 
@@ -181,30 +152,19 @@ def set_table(docs: DataFrame, percent: int, width: int, seed: int) -> DataFrame
     return docs.mapInArrow(run, "doc_id long, n long, set_hash long, check_hash long, signatures array<long>")
 
 
-def _filter_bits(ids: DataFrame, column: str, bits: int = 25) -> np.ndarray:
-    """A bit for each hash of the ids, 4 MB in all: lets the next scan skip rows; more ids only make it skip fewer."""
-    place = F.pmod(F.xxhash64(column), F.lit(1 << bits))
-    words = ids.groupBy(F.shiftright(place, 5).cast("int").alias("w")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (place % 32).cast("int"))).alias("b"))
-    out = np.zeros(1 << (bits - 5), np.int64)
-    got = words.toArrow()
-    out[got.column("w").to_numpy()] = got.column("b").to_numpy()
-    return out
-
-
 def token_table(docs: DataFrame, wanted: DataFrame, width: int, seed: int) -> DataFrame:
     """``cls, n, tokens, bits`` of the classes in ``wanted(cls, rep)``, from the texts of their representatives.
 
     No text is shuffled: a scan with a bit filter of the representatives passes on the sets of a few rows more than needed.
     """
-    given = docs.sparkSession.sparkContext.broadcast(_filter_bits(wanted, "rep"))
+    given = docs.sparkSession.sparkContext.broadcast(bit_filter(wanted, F.pmod(F.xxhash64("rep"), F.lit(1 << 25)), 25))
     keyed = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 25)).alias("place"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = given.value
         for whole in batches:
             place = whole.column(2).to_numpy()
-            keep = (words[place >> 5] >> (place % 32)) & 1 == 1
+            keep = is_set(words, place)
             for batch in slices(iter([whole.filter(pa.array(keep))])):
                 rows = batch.num_rows
                 owner, tokens = shingle_sets(Texts(batch.column(1)), width, seed)

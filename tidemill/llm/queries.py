@@ -14,6 +14,7 @@ from tidemill.llm.prefix_counts import token_counts
 from tidemill.llm.qgram_leaks import find_leaks
 from tidemill.llm.quality_rules import learn_rules, text_statistics
 from tidemill.llm.record_files import read_records, write_records
+from tidemill.llm.repeat_removal import remove_repeats
 from tidemill.llm.toxicity import in_holdout, score, train
 
 JOBS = {}
@@ -177,3 +178,10 @@ reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y F
 SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, r.component_id
 FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) r ON r.x = d.doc_id
 """
+
+
+@job
+def op6_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of all documents without strings of 200 bytes that start more than once."""
+    left = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
