@@ -6,14 +6,12 @@ import json
 import os
 import re
 
-import regex
-
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Fixed value: the splitting pattern of the byte-level vocabulary.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: The splitting pattern of the byte-level vocabulary, for texts without any character of OTHER.
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 #: Any character on which Unicode versions or engines may differ; texts with one are split by the library itself.
-OTHER = re.compile(r"[^\t\n\x0b\x0c\r\x20-\x7e¡-ɏ‐-‧€]")
+OTHER = re.compile(r"[^\t\n\x0b\x0c\r\x20-\x7e¡-±´-¸º»¿-ɏ‐-‧€]")
 
 
 class TwoGenerations(dict):

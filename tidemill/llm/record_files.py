@@ -11,6 +11,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import slices, stored
-from tidemill.llm.pieces import Splitter, TwoGenerations
+from tidemill.llm.pieces import Splitter
 from tidemill.session import fresh_dir
 
 FRAME = struct.Struct("<QI")
@@ -54,32 +55,33 @@ def deserialized(sequence: bytes) -> np.ndarray:
 
 
 class Encoder(Splitter):
-    """Ids of texts as bytes. The library encodes each piece once; equal pieces come from a bounded store."""
+    """Ids of texts as little-endian bytes. The library encodes each piece once; equal pieces come from a bounded store."""
 
     def __init__(self, path: str):
         super().__init__(path)
         self.kind = "<u2" if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-        self.known = TwoGenerations(None, 200_000)
+        self.code = "H" if self.kind == "<u2" else "I"
+        self.limit, self.known, self.old = 300_000, {}, {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self.split(t) for t in texts]
-        new, here = [], {}
-        for p in set(chain.from_iterable(split)):
-            ids = self.known.get(p)
-            if ids is None:
-                ids = self.known.old.get(p)
+        here = set(chain.from_iterable(split))
+        known = self.known
+        new = []
+        for p in here.difference(known):
+            ids = self.old.get(p)
             if ids is not None:
-                here[p] = ids
+                known[p] = ids
             elif isinstance(p, bytes):
-                here[p] = np.array([self.special_ids[p.decode()]], self.kind).tobytes()
+                known[p] = array(self.code, [self.special_ids[p.decode()]]).tobytes()
             else:
                 new.append(p)
         for p, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            here[p] = np.array(e.ids, self.kind).tobytes()
-        for p, ids in here.items():
-            if p not in self.known:
-                self.known.put(p, ids)
-        return [b"".join(map(here.__getitem__, pieces)) for pieces in split]
+            known[p] = array(self.code, e.ids).tobytes()
+        out = [b"".join(map(known.__getitem__, pieces)) for pieces in split]
+        if len(known) > self.limit:
+            self.known, self.old = {}, known
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -110,7 +112,7 @@ def write_records(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, out, name, offset, start = TaskContext.get().partitionId(), None, "", 0, 0
-        for batch in slices(batches):
+        for batch in slices(batches, limit=1 << 22):
             e = encoder(vocabulary)
             if out is None:
                 system, folder = fs.FileSystem.from_uri(root)
