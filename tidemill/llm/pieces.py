@@ -9,7 +9,7 @@ import re
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: The splitting pattern of the byte-level vocabulary, for texts without any character of OTHER.
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+PIECES = re.compile(r" ?[^\W\d_]+| ?\d+|'(?:s|t|re|ve|m|ll|d)| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 #: Any character on which Unicode versions or engines may differ; texts with one are split by the library itself.
 OTHER = re.compile(r"[^\t\n\x0b\x0c\r\x20-\x7e¡-±´-¸º»¿-ɏ‐-‧€]")
 
