@@ -215,7 +215,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     1. Each set gives signatures of its parts (see ``signatures``): similar sets share one. Classes that share a signature
        with another are candidates; only their sets are built again from the texts.
     2. All candidates of a signature are compared with the first of them, and links make components.
-    3. Where a signature still holds classes of two components, classes are queries and the components, cut into groups of
+    3. Where a signature still holds classes of two components (see ``_across``), classes are queries and the components, cut into groups of
        similar documents (at most MEMBERS members and about GROUP_TOKENS tokens), are the groups of the token-group matrix: a row
        of bits stands for the union of the members' tokens. A query's overlap with a group is at most its size less the
        bits that the row lacks; only groups that this bound lets through are opened, and their members compared.
@@ -242,7 +242,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     star = meet.where("first < cls").select(F.col("first").alias("a"), F.col("cls").alias("b")).distinct()
     links = stored(_verified(star, sets, percent), "jaccard-links")
     linked = components(links)
-    rest = _across(meet, sets, linked, percent)
+    rest = _across(meet, sets, links, linked, percent)
     final = components(links.union(rest)) if not rest.isEmpty() else linked
     root = F.coalesce("root", "cls")
     own = classes.join(final.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "rep", root.alias("root"))
@@ -255,38 +255,72 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     return done
 
 
-def _across(meet: DataFrame, sets: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
-    """Links between classes of different components that share a signature."""
-    placed = meet.select("sig", "cls").join(linked.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "sig", "cls", F.coalesce("root", "cls").alias("root"))
-    mixed_sig = placed.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("sig")
-    open_rows = stored(placed.join(mixed_sig, "sig"), "jaccard-open")
-    members = sets.select("cls", "n", "bits").join(linked.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "cls", "n", "bits", F.coalesce("root", "cls").alias("root"))
+def _across(meet: DataFrame, sets: DataFrame, links: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
+    """Links between classes of different components that share a signature.
+
+    A class with u elements that no other open class has can overlap at most n - u elements with any of them, so only
+    with sets of at most (1 + 1 / t)(n - u) - n elements it can reach similarity t. Classes that nobody in their signature's
+    rows is small enough for are settled without a comparison; of many slightly different copies those go that have
+    too much of their own. Of the others the class with the least of its own is compared with all of its signature first,
+    which joins most of what can be joined; the components left then ask each other's groups.
+    """
+    p = F.lit(percent)
+    root = linked.withColumnRenamed("node", "cls")
+    placed = meet.select("sig", "cls").join(root, "cls", "left").select("sig", "cls", F.coalesce("root", "cls").alias("root"))
+
+    def several(rows: DataFrame) -> DataFrame:
+        ends = rows.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("sig")
+        return rows.join(ends, "sig")
+
+    first = stored(several(placed), "jaccard-open")
+    owners = first.select("cls", "root").distinct().join(sets.select("cls", "n", "tokens"), "cls")
+    own = owners.select("cls", F.explode("tokens").alias("t")).groupBy("t").agg(F.min("cls").alias("cls"), F.count("*").alias("of"))
+    own = own.where("of = 1").groupBy("cls").agg(F.count("*").alias("u"))
+    free = F.col("n") - F.coalesce("u", F.lit(0))
+    reach = stored(owners.select("cls", "root", "n").join(own, "cls", "left").select(
+        "cls", "root", "n", (F.floor((100 + p) * free / p) - F.col("n")).alias("reach")), "jaccard-reach")
+    fits = lambda x, y: (
+        (F.col(f"{x}.reach") >= F.col(f"{y}.n")) & (F.col(f"{y}.reach") >= F.col(f"{x}.n"))
+        & (100 * F.least(f"{x}.n", f"{y}.n") >= p * F.greatest(f"{x}.n", f"{y}.n")))
+    known = first.select("sig", "cls").join(reach, "cls").where(100 * F.col("reach") >= p * F.col("n"))
+    one = F.struct("cls", "root", "n", "reach")
+    lead = known.groupBy("sig").agg(F.min_by(one, F.struct((F.col("n") - F.col("reach")) / F.col("n"), "cls")).alias("x"))
+    star = known.select("sig", one.alias("y")).join(lead, "sig").where((F.col("x.root") != F.col("y.root")) & fits("x", "y"))
+    near = stored(_verified(star.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct(), sets, percent), "jaccard-near")
+    joined = components(links.union(near)) if not near.isEmpty() else linked
+    reach = reach.drop("root").join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    rows = several(known.drop("root").join(reach.select("cls", "root"), "cls"))
+    for _ in range(2):
+        least = rows.groupBy("sig").agg(F.min("n").alias("least"))
+        rows = several(rows.join(least, "sig").where("reach >= least").drop("least"))
+    rows = stored(rows, "jaccard-rows")
+    alive = rows.select("cls").distinct()
+    members = reach.join(alive, "cls").join(sets.select("cls", "bits"), "cls")
     sizes = members.groupBy("root").agg(F.count("*").alias("size"), F.sum("n").alias("mass"))
     cut = F.greatest(F.ceil(F.col("size") / MEMBERS), F.ceil(F.col("mass") / GROUP_TOKENS))
     in_group = stored(
         members.join(sizes, "root").withColumn("chunk", F.pmod(F.xxhash64("cls"), cut)).select(
-            "cls", "n", "bits", "root", "size", F.xxhash64("root", "chunk").alias("gid")), "jaccard-groups")
+            "cls", "n", "reach", "bits", "root", "size", F.xxhash64("root", "chunk").alias("gid")), "jaccard-groups")
     # one row of the matrix: the bits of all members, word by word
     word = F.posexplode("bits").alias("k", "w")
     union = in_group.select("gid", word).groupBy("gid", "k").agg(F.bit_or("w").alias("w")).groupBy("gid").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("k", "w"))), lambda x: x["w"]).alias("row"))
-    span = in_group.groupBy("gid").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    rows = open_rows.join(in_group.select("cls", "gid", "size"), "cls")
-    query = rows.select("sig", F.col("cls").alias("q"), F.col("root").alias("rq"), F.col("size").alias("sq"))
-    group = rows.select("sig", "gid", "root", "size").distinct()
+    span = in_group.groupBy("gid").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("reach").alias("far"))
+    found = rows.select("sig", "cls").join(in_group.select("cls", "gid", "size", "root", "n", "reach"), "cls")
+    query = found.select("sig", F.col("cls").alias("q"), F.col("root").alias("rq"), F.col("size").alias("sq"), F.col("n").alias("nq"),
+                         F.col("reach").alias("eq"))
+    group = found.select("sig", "gid", "root", "size").distinct().join(span, "gid")
     # the class of the smaller component asks
     asks = (F.col("sq") < F.col("size")) | ((F.col("sq") == F.col("size")) & (F.col("rq") < F.col("root")))
-    pairs = query.join(group, "sig").where((F.col("rq") != F.col("root")) & asks).select("q", "gid").distinct()
-    p = F.lit(percent)
+    may = (F.col("eq") >= F.col("low")) & (F.col("far") >= F.col("nq")) & (
+        100 * F.col("nq") >= p * F.col("low")) & (100 * F.col("high") >= p * F.col("nq"))
+    pairs = query.join(group, (query["sig"] == group["sig"]) & (F.col("rq") != F.col("root")) & asks & may).select("q", "gid").distinct()
     asked = pairs.join(sets.select(F.col("cls").alias("q"), "n", "bits"), "q").join(union.join(span, "gid"), "gid")
-    opened = asked.where(
-        (100 * (F.col("n") - _missing(F.col("bits"), F.col("row"))) >= p * F.col("n"))
-        & (100 * F.col("n") >= p * F.col("low")) & (100 * F.col("high") >= p * F.col("n")))
+    most = F.col("n") - _missing(F.col("bits"), F.col("row"))
+    opened = asked.where((100 + p) * most >= p * (F.col("n") + F.greatest("low", F.ceil(p * F.col("n") / 100))))
     inside = opened.select("gid", "q").join(in_group.select("gid", "cls"), "gid").select(F.col("q").alias("a"), F.col("cls").alias("b"))
-    out = stored(_verified(inside, sets, percent), "jaccard-more")
-    discard(open_rows, in_group)
+    out = stored(near.union(_verified(inside, sets, percent)), "jaccard-more")
+    discard(first, near, rows, in_group)
     return out
 
 
