@@ -118,7 +118,7 @@ def _places(docs: DataFrame, repeated: np.ndarray, open_: np.ndarray, hot: np.nd
         sent: set[tuple[int, int]] = set()
         for batch in slices(batches):
             a = Anchored(batch.column(0), seen)
-            where = (a.anchor >> U(64 - BITS)).astype(np.int64)
+            where = (a.anchor & U((1 << BITS) - 1)).astype(np.int64)
             for i in range(0, len(where), 50_000):
                 k = i + np.flatnonzero(is_set(many, where[i : i + 50_000]))
                 some, hot_ones = is_set(several, where[k]), is_set(crowd, where[k])
@@ -249,7 +249,7 @@ def repeated_spans(docs: DataFrame, group: int = GROUP) -> DataFrame:
     counts = stored(_count_anchors(rows), "repeat-anchors")
     heads = counts.groupBy("anchor").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).where("total > 1")
     heads = stored(heads, "repeat-heads")
-    at = F.shiftrightunsigned("anchor", 64 - BITS)
+    at = F.col("anchor").bitwiseAND((1 << BITS) - 1)  # anchors are the least of many: only their low bits are evenly spread
     places = stored(_places(
         rows, bit_filter(heads, at, BITS), bit_filter(heads.where((F.col("kinds") > 1) & (F.col("kinds") <= group)), at, BITS),
         bit_filter(heads.where(F.col("kinds") > group), at, BITS)), "repeat-places")
