@@ -8,10 +8,10 @@ inside checksummed data does no harm; the checksum itself is CRC-32. The index h
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -23,8 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import slices, stored
-from tidemill.llm.pieces import Splitter
+from tidemill.llm.common import ODD, POWERS, mixed, slices, stored
+from tidemill.llm.pieces import OTHER, Splitter
 from tidemill.session import fresh_dir
 
 FRAME = struct.Struct("<QI")
@@ -54,43 +54,137 @@ def deserialized(sequence: bytes) -> np.ndarray:
     return np.frombuffer(sequence, "<u2" if sequence[0] == 2 else "<u4", offset=1)
 
 
+#: Character classes of texts without any character of OTHER: letters, digits, other signs, white space, the space.
+LETTER, DIGIT, SIGN, WHITE, BLANK, NONE = range(6)
+
+
+def _classes() -> np.ndarray:
+    table = np.full(0x2100, SIGN, np.int8)
+    for c in range(len(table)):
+        if re.match(r"[^\W\d_]", chr(c)):
+            table[c] = LETTER
+        elif re.match(r"\d", chr(c)):
+            table[c] = DIGIT
+        elif chr(c).isspace():
+            table[c] = BLANK if c == 32 else WHITE
+    return table
+
+
+CLASS = _classes()
+LETTERS = mixed(np.arange(1, len(CLASS) + 1, dtype=np.uint64) * ODD)
+
+
+def piece_starts(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts laid one behind the other begin; ``first`` marks the first character of each text.
+
+    A space goes with the run of letters, digits or signs behind it; of other white space before a run the last
+    character stands alone; an apostrophe takes an English ending with it. This is what the pattern of ``pieces`` finds.
+    """
+    kind = CLASS[codes]
+    before = np.concatenate([[NONE], kind[:-1]]).astype(np.int8)
+    before[first] = NONE
+    solid = kind < WHITE
+    ahead = np.concatenate([solid[1:], [False]])
+    ahead[first[first > 0] - 1] = False
+    start = (before == NONE) | np.where(
+        solid, (before == WHITE) | ((before < WHITE) & (before != kind)), (before < WHITE) | (((before == WHITE) | (before == BLANK)) & ahead))
+    marks = np.flatnonzero((codes == 39) & start)
+    if len(marks):
+        padded = np.concatenate([codes, [0, 0, 0]])
+        edge = np.concatenate([before == NONE, [True] * 3])
+        one, two = padded[marks + 1], padded[marks + 2]
+        near = ~edge[marks + 1]
+        short = near & np.isin(one, [ord(c) for c in "stmd"])
+        long = near & ~edge[marks + 2] & (((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l")))
+        took = short | long
+        end = marks[took] + np.where(short[took], 2, 3)
+        start[marks[took] + 1] = False
+        end = end[end < len(codes)]
+        start[end[kind[end] == LETTER]] = True
+    return np.flatnonzero(start)
+
+
 class Encoder(Splitter):
-    """Ids of texts as little-endian bytes. The library encodes each piece once; equal pieces come from a bounded store."""
+    """Ids of texts by one look-up for each piece.
+
+    The library encodes each different piece once; its ids stay in a flat array that a hash table of 64-bit piece
+    hashes points into. At ``limit`` pieces the table starts anew. Texts with characters of OTHER or with special strings
+    go whole to the library.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = 1_000_000):
         super().__init__(path)
         self.kind = "<u2" if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-        self.code = "H" if self.kind == "<u2" else "I"
-        self.limit, self.known, self.old = 400_000, {}, {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.split(t) for t in texts]
-        here = set(chain.from_iterable(split))
-        known = self.known
-        new = []
-        for p in here.difference(known):
-            ids = self.old.get(p)
-            if ids is not None:
-                known[p] = ids
-            elif isinstance(p, bytes):
-                known[p] = array(self.code, [self.special_ids[p.decode()]]).tobytes()
-            else:
-                new.append(p)
-        # words after a space stay apart when written one behind the other: one call encodes them all
-        lined = [p for p in new if p[0] == " " and p[1:].isalpha()]
-        if lined:
-            e = self.library.encode("".join(lined), add_special_tokens=False)
-            ends = np.flatnonzero(np.diff(np.asarray(e.word_ids, np.int32), append=-1)) + 1
-            ids, width, a = array(self.code, e.ids).tobytes(), array(self.code).itemsize, 0
-            for p, b in zip(lined, (ends * width).tolist(), strict=True):
-                known[p] = ids[a:b]
-                a = b
-        other = [p for p in new if p not in known]
-        for p, e in zip(other, self.library.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            known[p] = array(self.code, e.ids).tobytes()
-        out = [b"".join(map(known.__getitem__, pieces)) for pieces in split]
-        if len(known) > self.limit:
-            self.known, self.old = {}, known
+        self.limit, self.bits = limit, (2 * limit).bit_length()
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.at = np.zeros(1 << self.bits, np.int32)
+        self.begin, self.flat, self.used = np.zeros(1, np.int64), np.zeros(0, self.kind), 0
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key, or the empty one where it would go."""
+        slot = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        open_ = np.arange(len(keys))
+        while len(open_):
+            found = self.keys[slot[open_]]
+            open_ = open_[(found != keys[open_]) & (found != 0)]
+            slot[open_] = (slot[open_] + 1) % len(self.keys)
+        return slot
+
+    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+        made = [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+        numbers = self.used + np.arange(len(keys))
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(m) for m in made])])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(made), self.kind)])
+        self.used += len(keys)
+        left = np.arange(len(keys))
+        while len(left):  # of keys that want one slot the last written has it, the others look on
+            slot = self._slots(keys[left])
+            self.keys[slot] = keys[left]
+            mine = self.keys[slot] == keys[left]
+            self.at[slot[mine]] = numbers[left[mine]]
+            left = left[~mine]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        odd = [i for i, t in enumerate(texts) if OTHER.search(t) or (self.special and self.special.search(t))]
+        out: list[np.ndarray] = [np.zeros(0, self.kind)] * len(texts)
+        for i in odd:
+            out[i] = np.array(self.library.encode(texts[i], add_special_tokens=False).ids, self.kind)
+        odd = set(odd)
+        plain = [i for i, t in enumerate(texts) if t and i not in odd]
+        if not plain:
+            return out
+        joined = "".join(texts[i] for i in plain)
+        codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        size = np.array([len(texts[i]) for i in plain], np.int64)
+        first = np.cumsum(size) - size
+        start = piece_starts(codes, first)
+        end = np.append(start[1:], len(codes))
+        up, down = POWERS.upto(len(codes) + 1)
+        with np.errstate(over="ignore"):
+            upto = np.concatenate([[np.uint64(0)], np.cumsum(LETTERS[codes] * up[: len(codes)], dtype=np.uint64)])
+            keys = mixed((upto[end] - upto[start]) * down[start] + (end - start).astype(np.uint64)) | np.uint64(1)
+        if self.used > self.limit:
+            self._clear()
+        slot = self._slots(keys)
+        new = np.flatnonzero(self.keys[slot] == 0)
+        if len(new):
+            if self.used + len(new) > len(self.keys) // 2:  # very many pieces at once: a larger table
+                self.bits = (2 * (self.used + len(new))).bit_length()
+                self._clear()
+                new = np.arange(len(keys))
+            fresh, where = np.unique(keys[new], return_index=True)
+            self._learn(fresh, [joined[a:b] for a, b in zip(start[new[where]].tolist(), end[new[where]].tolist(), strict=True)])
+            slot = self._slots(keys)
+        number = self.at[slot]
+        many = self.begin[number + 1] - self.begin[number]
+        upto_ids = np.concatenate([[0], np.cumsum(many)])
+        ids = self.flat[np.repeat(self.begin[number] - upto_ids[:-1], many) + np.arange(upto_ids[-1])]
+        edges = upto_ids[np.searchsorted(start, np.append(first, len(codes)))]
+        for i, a, b in zip(plain, edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            out[i] = ids[a:b]
         return out
 
 
@@ -130,8 +224,8 @@ def write_records(
                 name = f"part-{part:06d}-{uuid.uuid4().hex}.rec"
                 out = system.open_output_stream(f"{folder}/{name}")
             end = np.array([end_id], e.kind).tobytes()
-            ids = [x + end for x in e.encode([t or "" for t in batch.column(1).to_pylist()])]
             width = len(end)
+            ids = [x.tobytes() + end for x in e.encode([t or "" for t in batch.column(1).to_pylist()])]
             records = [framed(bytes((width,)) + x) for x in ids]
             out.write(b"".join(records))
             size = np.array([len(r) for r in records], np.int64)
