@@ -116,7 +116,7 @@ class Texts:
         self.start, self.end = edges[:-1] - first, edges[1:] - first
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = (1 << 21) - 2) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that the texts of one piece take about ``limit`` bytes; one text stays whole."""
     for batch in batches:
         if not batch.num_rows:

@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import discard, stored
 
 
+#: Link tables of at most so many rows are taken by one task: no shuffle is worth its many small tasks for them.
+SMALL = 100_000
+
+
+def _sized(rows: DataFrame) -> tuple[DataFrame, int]:
+    n = rows.count()
+    return (rows.coalesce(1) if n <= SMALL else rows), n
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``links(a, b)``; two nodes have one root if a path joins them.
 
@@ -16,22 +25,25 @@ def components(links: DataFrame) -> DataFrame:
     any shape, chains and stars alike. Each round is written to the shared folder; a node with very many links is
     aggregated before the shuffle and its links are split by the join. Self-links make single nodes.
     """
-    edges = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    moves = []
-    while not moves or not edges.isEmpty():
+    table = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
+    edges, left = _sized(table)
+    moves: list[DataFrame] = []
+    while not moves or left:
         first = edges.groupBy("a").agg(F.min_by("b", F.xxhash64("b", F.lit(len(moves)))).alias("b"))
         ahead = F.xxhash64("b", F.lit(len(moves))) < F.xxhash64("a", F.lit(len(moves)))
         move = stored(first.select("a", F.when(ahead, F.col("b")).otherwise(F.col("a")).alias("to")), "moves")
         moves.append(move)
-        left = edges.join(move, "a").select(F.col("to").alias("x"), F.col("b").alias("a"))
-        both = left.join(move, "a").select(F.col("x").alias("a"), F.col("to").alias("b"))
+        ends = move.coalesce(1) if left <= SMALL else move
+        half = edges.join(ends, "a").select(F.col("to").alias("x"), F.col("b").alias("a"))
+        both = half.join(ends, "a").select(F.col("x").alias("a"), F.col("to").alias("b"))
         following = stored(both.where(F.col("a") != F.col("b")).distinct(), "links")
-        discard(edges)
-        edges = following
+        discard(table)
+        table = following
+        edges, left = _sized(table)
     out = moves[0].select(F.col("a").alias("node"), F.col("to").alias("root"))
     for move in moves[1:]:
         out = out.join(move.select(F.col("a").alias("root"), "to"), "root", "left").select(
             "node", F.coalesce("to", "root").alias("root"))
     done = stored(out, "components")
-    discard(edges, *moves)
+    discard(table, *moves)
     return done

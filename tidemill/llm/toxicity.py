@@ -75,8 +75,8 @@ def trigram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 def character_model(counts: DataFrame) -> np.ndarray:
     """Log-probability of a class after two others, interpolated with the shorter contexts; at most 64 ** 3 counts are collected."""
     c3 = np.zeros(CLASSES**3)
-    for k, n in counts.collect():
-        c3[k] = n
+    got = counts.toArrow()
+    c3[got.column("trigram").to_numpy()] = got.column("n").to_numpy()
     c3 = c3.reshape(CLASSES, CLASSES, CLASSES)
     c2, c1 = c3.sum(0), c3.sum((0, 1))
     p1 = (c1 + 1) / (c1.sum() + CLASSES)
@@ -239,10 +239,10 @@ def train(
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.list_(pa.int32()))], names=["label", "v"])
 
     table = seen.mapInArrow(vectors, "label int, v array<int>").toArrow()
-    y = np.asarray(table.column("label").to_pylist(), float)
-    per_row = [len(v) for v in table.column("v").to_pylist()]
-    columns = np.asarray([x for v in table.column("v").to_pylist() for x in v], np.int64)
-    weights, bias = _fit(np.repeat(np.arange(len(y)), per_row), columns, y, len(place), steps)
+    y = table.column("label").to_numpy().astype(float)
+    lists = table.column("v").combine_chunks()
+    per_row = lists.value_lengths().to_numpy()
+    weights, bias = _fit(np.repeat(np.arange(len(y)), per_row), lists.flatten().to_numpy(), y, len(place), steps)
     return ToxicityModel(characters, {f: float(weights[k]) for f, k in place.items()}, bias)
 
 
