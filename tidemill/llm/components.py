@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import discard, stored
 
 
-#: Link tables of at most so many rows are taken by one task: no shuffle is worth its many small tasks for them.
-SMALL = 100_000
+#: Narrow tables of at most so many rows (some 10 MB) are taken by one task: no shuffle is worth its many small tasks for them.
+SMALL = 250_000
 
 
-def _sized(rows: DataFrame) -> tuple[DataFrame, int]:
+def sized(rows: DataFrame) -> tuple[DataFrame, int]:
+    """A stored narrow table, in one partition if it is small, and its number of rows."""
     n = rows.count()
     return (rows.coalesce(1) if n <= SMALL else rows), n
 
@@ -26,7 +27,7 @@ def components(links: DataFrame) -> DataFrame:
     aggregated before the shuffle and its links are split by the join. Self-links make single nodes.
     """
     table = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    edges, left = _sized(table)
+    edges, left = sized(table)
     moves: list[DataFrame] = []
     while not moves or left:
         first = edges.groupBy("a").agg(F.min_by("b", F.xxhash64("b", F.lit(len(moves)))).alias("b"))
@@ -39,7 +40,7 @@ def components(links: DataFrame) -> DataFrame:
         following = stored(both.where(F.col("a") != F.col("b")).distinct(), "links")
         discard(table)
         table = following
-        edges, left = _sized(table)
+        edges, left = sized(table)
     out = moves[0].select(F.col("a").alias("node"), F.col("to").alias("root"))
     for move in moves[1:]:
         out = out.join(move.select(F.col("a").alias("root"), "to"), "root", "left").select(

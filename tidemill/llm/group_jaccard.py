@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import ODD, POWERS, Texts, bit_filter, column_name, discard, is_set, mixed, slices, stored
-from tidemill.llm.components import components
+from tidemill.llm.components import components, sized
 
 U = np.uint64
 #: Bits of a row of the token-group matrix.
@@ -242,8 +242,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     star = meet.where("first < cls").select(F.col("first").alias("a"), F.col("cls").alias("b")).distinct()
     links = stored(_verified(star, sets, percent), "jaccard-links")
     linked = components(links)
-    rest = _across(meet, sets, links, linked, percent)
-    final = components(links.union(rest)) if not rest.isEmpty() else linked
+    final = _across(meet, sets, links, linked, percent)
     root = F.coalesce("root", "cls")
     own = classes.join(final.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "rep", root.alias("root"))
     least = own.groupBy("root").agg(F.min("rep").alias("component_id"))
@@ -251,12 +250,12 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     out = table.select("doc_id", "n", F.when(F.col("n") > 0, F.col("set_hash")).alias("set_hash")).join(placed, "set_hash", "left")
     done = stored(out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")),
                   "jaccard-components")
-    discard(table, classes, meet, sets, links, linked, rest)
+    discard(table, classes, meet, sets, links, linked, final)
     return done
 
 
 def _across(meet: DataFrame, sets: DataFrame, links: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
-    """Links between classes of different components that share a signature.
+    """Components after all classes of different components that share a signature are compared: ``node, root``.
 
     A class with u elements that no other open class has can overlap at most n - u elements with any of them, so only
     with sets of at most (1 + 1 / t)(n - u) - n elements it can reach similarity t. Classes that nobody in their signature's
@@ -272,13 +271,16 @@ def _across(meet: DataFrame, sets: DataFrame, links: DataFrame, linked: DataFram
         ends = rows.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("sig")
         return rows.join(ends, "sig")
 
-    first = stored(several(placed), "jaccard-open")
+    first_table = stored(several(placed), "jaccard-open")
+    first, size = sized(first_table)
+    if not size:
+        return linked
     owners = first.select("cls", "root").distinct().join(sets.select("cls", "n", "tokens"), "cls")
     own = owners.select("cls", F.explode("tokens").alias("t")).groupBy("t").agg(F.min("cls").alias("cls"), F.count("*").alias("of"))
     own = own.where("of = 1").groupBy("cls").agg(F.count("*").alias("u"))
     free = F.col("n") - F.coalesce("u", F.lit(0))
-    reach = stored(owners.select("cls", "root", "n").join(own, "cls", "left").select(
-        "cls", "root", "n", (F.floor((100 + p) * free / p) - F.col("n")).alias("reach")), "jaccard-reach")
+    reach, _ = sized(stored(owners.select("cls", "root", "n").join(own, "cls", "left").select(
+        "cls", "root", "n", (F.floor((100 + p) * free / p) - F.col("n")).alias("reach")), "jaccard-reach"))
     fits = lambda x, y: (
         (F.col(f"{x}.reach") >= F.col(f"{y}.n")) & (F.col(f"{y}.reach") >= F.col(f"{x}.n"))
         & (100 * F.least(f"{x}.n", f"{y}.n") >= p * F.greatest(f"{x}.n", f"{y}.n")))
@@ -286,14 +288,16 @@ def _across(meet: DataFrame, sets: DataFrame, links: DataFrame, linked: DataFram
     one = F.struct("cls", "root", "n", "reach")
     lead = known.groupBy("sig").agg(F.min_by(one, F.struct((F.col("n") - F.col("reach")) / F.col("n"), "cls")).alias("x"))
     star = known.select("sig", one.alias("y")).join(lead, "sig").where((F.col("x.root") != F.col("y.root")) & fits("x", "y"))
-    near = stored(_verified(star.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct(), sets, percent), "jaccard-near")
-    joined = components(links.union(near)) if not near.isEmpty() else linked
+    pairs = star.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
+    near, found = sized(stored(_verified(pairs, sets, percent), "jaccard-near"))
+    joined = components(links.union(near)) if found else linked
     reach = reach.drop("root").join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     rows = several(known.drop("root").join(reach.select("cls", "root"), "cls"))
-    for _ in range(2):
-        least = rows.groupBy("sig").agg(F.min("n").alias("least"))
-        rows = several(rows.join(least, "sig").where("reach >= least").drop("least"))
-    rows = stored(rows, "jaccard-rows")
+    least = rows.groupBy("sig").agg(F.min("n").alias("least"))
+    rows = several(rows.join(least, "sig").where("reach >= least").drop("least"))
+    rows, left = sized(stored(rows, "jaccard-rows"))
+    if not left:
+        return joined
     alive = rows.select("cls").distinct()
     members = reach.join(alive, "cls").join(sets.select("cls", "bits"), "cls")
     sizes = members.groupBy("root").agg(F.count("*").alias("size"), F.sum("n").alias("mass"))
@@ -306,10 +310,10 @@ def _across(meet: DataFrame, sets: DataFrame, links: DataFrame, linked: DataFram
     union = in_group.select("gid", word).groupBy("gid", "k").agg(F.bit_or("w").alias("w")).groupBy("gid").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("k", "w"))), lambda x: x["w"]).alias("row"))
     span = in_group.groupBy("gid").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("reach").alias("far"))
-    found = rows.select("sig", "cls").join(in_group.select("cls", "gid", "size", "root", "n", "reach"), "cls")
-    query = found.select("sig", F.col("cls").alias("q"), F.col("root").alias("rq"), F.col("size").alias("sq"), F.col("n").alias("nq"),
+    places = rows.select("sig", "cls").join(in_group.select("cls", "gid", "size", "root", "n", "reach"), "cls")
+    query = places.select("sig", F.col("cls").alias("q"), F.col("root").alias("rq"), F.col("size").alias("sq"), F.col("n").alias("nq"),
                          F.col("reach").alias("eq"))
-    group = found.select("sig", "gid", "root", "size").distinct().join(span, "gid")
+    group = places.select("sig", "gid", "root", "size").distinct().join(span, "gid")
     # the class of the smaller component asks
     asks = (F.col("sq") < F.col("size")) | ((F.col("sq") == F.col("size")) & (F.col("rq") < F.col("root")))
     may = (F.col("eq") >= F.col("low")) & (F.col("far") >= F.col("nq")) & (
@@ -319,9 +323,9 @@ def _across(meet: DataFrame, sets: DataFrame, links: DataFrame, linked: DataFram
     most = F.col("n") - _missing(F.col("bits"), F.col("row"))
     opened = asked.where((100 + p) * most >= p * (F.col("n") + F.greatest("low", F.ceil(p * F.col("n") / 100))))
     inside = opened.select("gid", "q").join(in_group.select("gid", "cls"), "gid").select(F.col("q").alias("a"), F.col("cls").alias("b"))
-    out = stored(near.union(_verified(inside, sets, percent)), "jaccard-more")
-    discard(first, near, rows, in_group)
-    return out
+    more, found = sized(stored(_verified(inside, sets, percent), "jaccard-more"))
+    discard(first_table, in_group)
+    return components(links.union(near).union(more)) if found else joined
 
 
 def one_each(docs: DataFrame, percent: int = 90, width: int = 3) -> DataFrame:

@@ -222,13 +222,13 @@ def _ordered_groups(contexts: DataFrame) -> DataFrame:
 
 
 def _counted_windows(places: DataFrame) -> DataFrame:
-    """The same for hot anchors: their windows are counted by hash, combined before the shuffle."""
-    windows = places.select("anchor", "context", "before", F.posexplode("windows").alias("k", "w"))
-    repeated = windows.groupBy("anchor", "w").agg(F.min("context").alias("x"), F.max("context").alias("y")).where("x < y")
-    start = F.col("k") - F.col("before")
-    span = F.struct(start.cast("int").alias("from"), (start + SPAN).cast("int").alias("to"))
-    return windows.join(repeated.select("anchor", "w"), ["anchor", "w"]).groupBy("anchor", "context").agg(
-        F.collect_set(span).alias("spans"))
+    """The same for hot anchors: their windows are counted by column and hash, combined before the shuffle."""
+    windows = places.select("anchor", "context", "before", F.posexplode("windows").alias("k", "w")).select(
+        "anchor", "context", (F.col("k") - F.col("before")).cast("int").alias("from"), "w")
+    place = ["anchor", "from", "w"]
+    repeated = windows.groupBy(*place).agg(F.min("context").alias("x"), F.max("context").alias("y")).where("x < y")
+    span = F.struct("from", (F.col("from") + SPAN).alias("to"))
+    return windows.join(repeated.select(*place), place).groupBy("anchor", "context").agg(F.collect_set(span).alias("spans"))
 
 
 def repeated_spans(docs: DataFrame, group: int = GROUP) -> DataFrame:

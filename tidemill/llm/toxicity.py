@@ -26,7 +26,7 @@ AS_SIGN, PLAIN_SIGN, DOUBLED, DRAWN, GAP, BREAK = (math.log(p) for p in (0.5, 0.
 WORDS = re.compile(r"[^\W\d_]+")
 _SIGN = r"[0-9@$!|+]"
 TRIGGER = re.compile(rf"{_SIGN}(?=[^\W\d_])|(?<=[^\W\d_])[0-9@$|+]|([^\W\d_])\1\1")
-SPACED = re.compile(rf"(?<![^\W_])(?:[^\W_]|[@$!|+])(?:[ .*_-]{{1,3}}(?:[^\W_]|[@$!|+])){{2,}}(?![^\W_])")
+SPACED = re.compile(rf"(?<![^\W_])(?<![@$!|+])(?:[^\W_]|[@$!|+])(?:[ .*_-]{{1,3}}(?:[^\W_]|[@$!|+])){{2,}}(?![^\W_])")
 SPACE = re.compile(r"\s")
 EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "@$!|+")
 
