@@ -115,3 +115,34 @@ def test_many_events(spark):
 
 def test_rate_stream(spark):
     assert synthetic.rate_stream(spark, 10, 1).isStreaming
+
+
+@pytest.fixture(scope="module")
+def unordered(spark, tmp_path_factory):
+    """Events as 400 files in order of key, not of time."""
+    folder = str(tmp_path_factory.mktemp("unordered") / "events.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartitionByRange(400, "event_id").write.parquet(folder)
+    return folder.rsplit("/", 1)[0]
+
+
+@pytest.mark.parametrize("name", ["dedup_stream", "sliding_counts", "stream_stats", "intake_stats"])
+def test_no_row_is_lost_on_many_unordered_files(spark, unordered, name):
+    from tidemill.plans import catalog
+
+    catalog.load_all()
+    one = catalog.JOBS[name](spark, "/root/testdata/sf0.001")
+    many = catalog.JOBS[name](spark, unordered).select(*one.columns)
+    assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
+
+
+@pytest.mark.parametrize("per_batch", [1, 10])
+def test_repeats_beyond_the_window_and_rows_without_key_stay(spark, per_batch):
+    root = fresh_dir(spark, "s")
+    lost = ("x", "a", "{}", None)
+    nobody = (None, "a", "{}", "2024-01-01T00:00:00Z")
+    drop(spark, f"{root}/in", [row(1, 300), row(1, 0), lost], [row(1, 10), row(1, 310), nobody], [nobody, lost, row(2, 5)])
+    intake.drain(stream(spark, f"{root}/in", per_batch), f"{root}/cp", intake.ingest_unique(root, "event_id", "ts"))
+    kept = [(r["event_id"], r["ts"] is None) for r in spark.read.parquet(f"{root}/accepted").collect()]
+    assert sorted(kept, key=str) == sorted([("e1", False)] * 2 + [("e2", False)] + [("x", True)] * 2 + [(None, False)] * 2, key=str)
+    total = spark.read.parquet(f"{root}/stats").agg(F.sum("total"), F.sum("new"), F.sum("duplicates")).first()
+    assert tuple(total) == (9, 7, 2)

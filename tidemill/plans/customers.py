@@ -99,12 +99,12 @@ def risk_summary_job(spark, sf_dir):
 
 @job("strategy_lines", f"""
     WITH {ACTIVITY_SQL}, high AS (SELECT *, row_number() OVER (ORDER BY total_spent DESC, customer_id) AS pos FROM levels WHERE risk_level = 'HIGH'),
-    lines AS (SELECT 'Offer from ' || n_name AS t, row_number() OVER (ORDER BY n_nationkey) AS pos FROM nation WHERE n_nationkey < 3)
+    lines AS (SELECT 'Offer from ' || n_name AS t, row_number() OVER (ORDER BY n_nationkey) AS pos FROM nation)
     SELECT customer_id, coalesce(t, 'No specific strategy generated') AS ai_strategy FROM high LEFT JOIN lines USING (pos)
 """)
 def strategy_lines(spark, sf_dir):
     levels = retention_risk(customer_activity(spark, sf_dir), AS_OF, "AUTOMOBILE")
-    nation = table(spark, sf_dir, "nation").filter("n_nationkey < 3")
+    nation = table(spark, sf_dir, "nation")
     numbered = nation.agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("n")).select(
         F.array_join(F.transform("n", lambda e: F.concat((e["n_nationkey"] + 1).cast("string"), F.lit(". Offer from "), e["n_name"])), "\n").alias("content")
     )

@@ -241,11 +241,11 @@ def price_rank_depth(spark, sf_dir):
 
 @job("dense_ranks", """
     SELECT c_nationkey AS nation, c_custkey AS customer, CAST(dense_rank() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC) AS INTEGER) AS rank
-    FROM customer QUALIFY rank <= 5
+    FROM customer
 """)
 def dense_ranks(spark, sf_dir):
     w = Window.partitionBy("c_nationkey").orderBy(F.desc("c_acctbal"))
-    ranked = table(spark, sf_dir, "customer").withColumn("rank", F.dense_rank().over(w)).filter("rank <= 5")
+    ranked = table(spark, sf_dir, "customer").withColumn("rank", F.dense_rank().over(w))
     return ranked.select(F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("customer"), "rank")
 
 
@@ -273,12 +273,12 @@ PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 @job("priority_sort", """
     SELECT o_orderkey, o_orderpriority, o_orderdate FROM orders
     ORDER BY CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2
-             WHEN '4-NOT SPECIFIED' THEN 3 WHEN '5-LOW' THEN 4 ELSE 5 END, o_orderdate DESC, o_orderkey LIMIT 50
+             WHEN '4-NOT SPECIFIED' THEN 3 WHEN '5-LOW' THEN 4 ELSE 5 END, o_orderdate DESC, o_orderkey
 """)
 def priority_sort(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate").orderBy(
         columns.priority_order(F.col("o_orderpriority"), PRIORITIES), F.desc("o_orderdate"), "o_orderkey"
-    ).limit(50)
+    )
 
 
 @job("keyset_page", """

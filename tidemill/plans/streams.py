@@ -33,7 +33,7 @@ def resent(events: DataFrame) -> DataFrame:
 @job("dedup_stream", "SELECT event_id, event_type, user_id, value FROM events")
 def dedup_stream(spark, sf_dir):
     root = fresh_dir(spark, "dedup")
-    unique = intake.dedup(resent(event_stream(spark, sf_dir)), "event_id", "ts")
+    unique = intake.dedup(resent(event_stream(spark, sf_dir)), "event_id", "ts", intake.REPLAY)
     intake.drain(unique, f"{root}/checkpoint", intake.to_folder(f"{root}/out"))
     return spark.read.parquet(f"{root}/out").select("event_id", "event_type", "user_id", "value")
 
@@ -55,7 +55,7 @@ def intake_stats(spark, sf_dir):
 """)
 def sliding_counts(spark, sf_dir):
     root = fresh_dir(spark, "sliding")
-    counts = intake.windowed_counts(event_stream(spark, sf_dir), "ts", [], "1 hour", "30 minutes",
+    counts = intake.windowed_counts(event_stream(spark, sf_dir), "ts", [], "1 hour", "30 minutes", lateness=None,
                                     aggs={"total": F.sum(F.col("value").cast("decimal(18,2)")).cast("double")})
     intake.drain(counts, f"{root}/checkpoint", intake.to_folder(f"{root}/out"), "update")
     rows = intake.current_rows(spark, f"{root}/out", ["window_start", "window_end"])
@@ -67,7 +67,7 @@ def sliding_counts(spark, sf_dir):
 """)
 def stream_stats(spark, sf_dir):
     root = fresh_dir(spark, "stats")
-    counts = intake.windowed_counts(event_stream(spark, sf_dir), "ts", ["event_type"], "1 day")
+    counts = intake.windowed_counts(event_stream(spark, sf_dir), "ts", ["event_type"], "1 day", lateness=None)
     intake.drain(counts, f"{root}/checkpoint", intake.to_folder(f"{root}/out"), "update")
     rows = intake.current_rows(spark, f"{root}/out", ["window_start", "window_end", "event_type"])
     return rows.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")

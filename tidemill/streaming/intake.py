@@ -21,6 +21,8 @@ from tidemill.functions.payloads import json_or_raw
 FLUSH_INTERVAL = "2 seconds"
 DEDUP_WINDOW = "1 hour"
 DEDUP_SECONDS = 3600
+#: Lateness under which no row of stored files is late.
+REPLAY = "36500 days"
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet", files_per_batch: int = 100,
@@ -92,7 +94,11 @@ def thin_duplicates(df: DataFrame, key: str, ts: str, seconds: int = DEDUP_SECON
 
 
 def dedup(stream: DataFrame, key: str, ts: str, window: str = DEDUP_WINDOW, seconds: int = DEDUP_SECONDS) -> DataFrame:
-    """One row per key within the event-time window; state expires with the watermark."""
+    """One row per key; state expires when the watermark is ``window`` past a key's row.
+
+    Rows that arrive later than ``window`` behind the newest are dropped by the engine. Give ``REPLAY`` where stored files
+    may come in any order of time: no row is late then, and the state holds every key.
+    """
     return thin_duplicates(stream, key, ts, seconds).withWatermark(ts, window).dropDuplicatesWithinWatermark([key])
 
 
@@ -111,35 +117,43 @@ def route(path: str, error: Column, key: str, payload: str, good_columns: Sequen
 
 
 def ingest_unique(path: str, key: str, ts: str, seconds: int = DEDUP_SECONDS) -> Callable[[DataFrame, int], None]:
-    """Writer that keeps rows whose key was not accepted within the window, with statistics per batch.
+    """Writer that keeps rows whose key has no accepted row within ``seconds`` before or after, with statistics per batch.
 
-    Repeats inside the batch collapse by a partial aggregation; accepted keys of
-    the recent past come from earlier batch folders, pruned by event time.
+    A key's rows are taken by time: each is accepted unless an accepted one, of this batch or an earlier, is within the
+    window. Rows of one key and time collapse by a partial aggregation first. Accepted keys of earlier batches come
+    from their folders, pruned by event time. Rows without key or time are no duplicates of anything and stay.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        columns = [c for c in batch.columns if c != key]
-        unique = batch.groupBy(key).agg(
-            F.min_by(F.struct(*columns), ts).alias("_r"), F.count(F.lit(1)).alias("_copies")
-        ).select(key, "_r.*", "_copies")
+        others = [c for c in batch.columns if c not in (key, ts)]
+        known = F.col(key).isNotNull() & F.col(ts).isNotNull()
+        rest = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("_none"))
+        each = batch.filter(known).groupBy(key, ts).agg(F.min_by(rest, F.xxhash64(*(others or [key]))).alias("_o"), F.count(F.lit(1)).alias("_copies"))
+        lists = each.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(ts, "_copies", "_o")), lambda x, y: (
+            F.when(x[ts] < y[ts], -1).when(x[ts] > y[ts], 1).otherwise(0))).alias("_rows"))
         accepted = f"{path}/accepted"
-        earlier = None
+        none = F.array().cast("array<timestamp>")
         if batch_id > 0:
-            schema = unique.drop("_copies").schema.add("batch_id", IntegerType())
-            earlier = spark.read.schema(schema).parquet(accepted).filter(F.col("batch_id") < batch_id).select(key, F.col(ts).alias("_seen"))
-            # The oldest row of the batch bounds the look-back; the filter reaches the file statistics.
-            oldest = unique.agg(F.min(ts)).first()[0]
-            if oldest is not None:
-                earlier = earlier.filter(F.col("_seen") >= F.lit(oldest) - F.expr(f"INTERVAL {seconds} SECONDS"))
-            earlier = earlier.groupBy(key).agg(F.max("_seen").alias("_seen"))
-        if earlier is None:
-            tagged = unique.withColumn("_new", F.lit(True))
+            span = each.agg(F.min(ts), F.max(ts)).first()
+            earlier = spark.read.schema(batch.schema.add("batch_id", IntegerType())).parquet(accepted).filter(
+                (F.col("batch_id") < batch_id) & F.col(key).isNotNull())
+            if span[0] is not None:
+                reach = F.expr(f"INTERVAL {seconds} SECONDS")
+                earlier = earlier.filter((F.col(ts) >= F.lit(span[0]) - reach) & (F.col(ts) <= F.lit(span[1]) + reach))
+            seen = earlier.groupBy(key).agg(F.collect_set(F.col(ts).cast("timestamp")).alias("_seen"))
+            lists = lists.join(seen, key, "left").withColumn("_seen", F.coalesce("_seen", none))
         else:
-            gap = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_seen").cast("timestamp"))
-            tagged = unique.join(earlier, key, "left").withColumn(
-                "_new", F.col("_seen").isNull() | (gap > seconds * 1_000_000)
-            ).drop("_seen")
+            lists = lists.withColumn("_seen", none)
+        micros = lambda c: F.unix_micros(c.cast("timestamp"))
+        near = lambda taken, t: F.exists(taken, lambda e: F.abs(micros(e) - micros(t)) <= seconds * 1_000_000)
+        times = F.aggregate("_rows", F.col("_seen"), lambda taken, r: F.when(
+            near(taken, r[ts]), taken).otherwise(F.concat(taken, F.array(r[ts].cast("timestamp")))))
+        marked = lists.withColumn("_new", F.array_except(times, "_seen")).select(key, "_new", F.explode("_rows").alias("_r"))
+        tagged = marked.select(
+            key, F.col(f"_r.{ts}").alias(ts), *[F.col(f"_r._o.{c}").alias(c) for c in others], F.col("_r._copies").alias("_copies"),
+            F.array_contains("_new", F.col(f"_r.{ts}").cast("timestamp")).alias("_new"))
+        tagged = tagged.unionByName(batch.filter(~known).select("*", F.lit(1).cast("long").alias("_copies"), F.lit(True).alias("_new")))
         staged = f"{path}/tagged/batch_id={batch_id}"
         tagged.write.mode("overwrite").parquet(staged)
         stored = spark.read.parquet(staged)
@@ -154,12 +168,17 @@ def ingest_unique(path: str, key: str, ts: str, seconds: int = DEDUP_SECONDS) ->
     return write
 
 
-def windowed_counts(stream: DataFrame, ts: str, keys: Sequence[str], size: str, slide: str | None = None, lateness: str = "10 minutes",
+def windowed_counts(stream: DataFrame, ts: str, keys: Sequence[str], size: str, slide: str | None = None, lateness: str | None = "10 minutes",
                     aggs: Mapping[str, Column] | None = None) -> DataFrame:
-    """Counts (and further aggregates) per event-time window; old windows leave the state with the watermark."""
+    """Counts (and further aggregates) per event-time window; old windows leave the state with the watermark.
+
+    Rows later than ``lateness`` are dropped by the engine. ``None`` sets no watermark: no row is lost, and the state holds all
+    windows, which suits the replay of stored files.
+    """
     window = F.window(ts, size, slide) if slide else F.window(ts, size)
     columns = [F.count(F.lit(1)).alias("n")] + [c.alias(name) for name, c in (aggs or {}).items()]
-    grouped = stream.withWatermark(ts, lateness).groupBy(window.alias("w"), *keys).agg(*columns)
+    timed = stream.withWatermark(ts, lateness) if lateness else stream
+    grouped = timed.groupBy(window.alias("w"), *keys).agg(*columns)
     return grouped.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "n", *(aggs or {}))
 
 
