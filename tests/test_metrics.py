@@ -75,3 +75,13 @@ def test_aggregate_tool(spark):
 def test_argmax_keeps_nulls(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, None)], "k string, o int, v string")
     assert aggregates.argmax(df, ["k"], ["v"], ["o"]).first()["v"] is None
+
+
+def test_label_values_are_escaped(spark):
+    from pyspark.sql import functions as F
+
+    from tidemill.operators.sinks import metric_lines
+
+    labels = F.create_map(F.lit("a"), F.lit('x"\\\n'), F.lit("b"), F.lit(None).cast("string"))
+    line = metric_lines(spark.range(1), F.lit("m"), F.lit(1), labels, F.lit(2)).first()[0]
+    assert line == 'm{a="x\\"\\\\\\n",b=""} 1 2'

@@ -64,10 +64,18 @@ def write_with_summary(df: DataFrame, path: str, summary_path: str, as_of: str,
 
 
 def metric_lines(df: DataFrame, name: Column, value: Column, labels: Column, ts: Column) -> DataFrame:
-    """Prometheus text lines ``name{label="v"} value ts`` (not an action); labels in key order."""
+    """Prometheus text lines ``name{label="v"} value ts`` (not an action); labels in key order.
+
+    Backslash, quote and line end are escaped in label values; a null value is an empty label.
+    """
+
+    def escaped(v: Column) -> Column:
+        v = F.replace(F.coalesce(v, F.lit("")), F.lit("\\"), F.lit("\\\\"))
+        return F.replace(F.replace(v, F.lit('"'), F.lit('\\"')), F.lit("\n"), F.lit("\\n"))
+
     pairs = F.transform(
         F.array_sort(F.map_entries(labels)),
-        lambda e: F.concat(e["key"], F.lit('="'), e["value"], F.lit('"')),
+        lambda e: F.concat(e["key"], F.lit('="'), escaped(e["value"]), F.lit('"')),
     )
     return df.select(
         F.concat(name, F.lit("{"), F.array_join(pairs, ","), F.lit("} "), value.cast("string"), F.lit(" "), ts.cast("string")).alias("value")

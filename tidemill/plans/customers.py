@@ -130,7 +130,7 @@ def daily_digest(tickets: DataFrame, day: Column, ranked: list[str], levels: dic
     )
     order = [priority_order(F.col("priority"), ranked), F.desc("created_at"), F.asc("id")]
     top = top_per_group(dated, ["day"], order, DIGEST_CHARS // SHORTEST_LINE + 1, "place")
-    line = F.concat(F.lit("- ["), "priority", F.lit("] "), "title", F.lit(": "), preview(F.col("description"), DESCRIPTION_CHARS), F.lit("..."))
+    line = F.concat(F.lit("- ["), "priority", F.lit("] "), "title", F.lit(": "), preview(F.coalesce("description", F.lit("")), DESCRIPTION_CHARS), F.lit("..."))
     lists = top.groupBy("day").agg(F.array_sort(F.collect_list(F.struct("place", line.alias("line")))).alias("l")).select(
         "day", preview(F.array_join(F.transform("l", lambda e: e["line"]), "\n"), DIGEST_CHARS).alias("issues")
     )
