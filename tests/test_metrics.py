@@ -30,6 +30,26 @@ def test_single_sample_has_no_increase(spark):
     assert rates.counter_deltas(series(spark, SAMPLES[-1:]), ["s"], "ts", "v").count() == 0
 
 
+def test_sliding_rate_sums_series(spark):
+    rows = [("x", *r) for r in SAMPLES] + [("y", "a", "2024-01-01 00:00:10", 1.0), ("y", "a", "2024-01-01 00:01:10", 4.0)]
+    df = spark.createDataFrame(rows, "k string, s string, t string, v double").withColumn("ts", F.col("t").cast("timestamp_ntz"))
+    deltas = rates.counter_deltas(df, ["k", "s"], "ts", "v").withColumn("all", F.lit(1))
+    got = {str(r["at"])[14:]: r["rate"] for r in rates.sliding_rate(deltas, ["all"], "ts", 5, "1 minute", 60).collect()}
+    grown = {1: 5.0 + 3.0, 2: 4.0, 7: 5.0}  # by minute
+    want = {f"{at:02}:00": sum(v for m, v in grown.items() if at - 5 <= m < at) / 300 for at in range(2, 13)}
+    assert got == {k: pytest.approx(v) for k, v in want.items() if v}
+
+
+def test_chunks_follow_the_row_count(spark):
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    df = spark.range(3000).select(F.lit("a").alias("s"), (start + F.make_dt_interval(secs=(F.col("id") * 4).cast("decimal(18,6)"))).alias("ts"),
+                                  (F.col("id") % 7).alias("v"), "id")
+    assert [rates.fitting_chunk(df, ["s"], "ts", n) for n in (3000, 900, 15, 14)] == ["1 day", "1 hour", "1 minute", "1 second"]
+    cut = rates.fitting_chunk(df, ["s"], "ts", 20)
+    one, many = (rates.counter_deltas(df, ["s"], "ts", "v", "id", chunk=c) for c in ("1 day", cut))
+    assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty() and one.count() == 2999
+
+
 def test_latest_and_resample(spark):
     latest = rates.latest_samples(series(spark, SAMPLES), ["s"], "ts", "v")
     assert {r["s"]: r["v"] for r in latest.collect()} == {"a": 9.0, "b": 1.0}

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,15 +137,39 @@ def test_cells(spark):
     homes = vector_search.assign_cells(v, cells)
     assert homes.count() == 80
     assert ranks(vector_search.knn_by_cells(homes, q, cells, 3, probes=5)) == brute(vs, qs, 3)
-    few = vector_search.knn_by_cells(homes, q, cells, 3, probes=2)
-    assert few.count() > 0 and ranks(vector_search.knn_by_cells(homes, q, cells, 3, probes=1, max_broadcast=1)) == brute(vs, qs, 3)
+    assert ranks(vector_search.knn_by_cells(homes, q, cells, 3, probes=5, max_broadcast=1, vector_block=10)) == brute(vs, qs, 3)
+    few = ranks(vector_search.knn_by_cells(homes, q, cells, 3, probes=1))
+    assert few and few != brute(vs, qs, 3)
+    assert ranks(vector_search.knn_by_cells(homes, q, cells, 3, probes=1, max_broadcast=1, vector_block=7)) == few
 
 
-def test_overfetch_and_two_stages(spark):
+@pytest.mark.parametrize("limit", [100, 1])
+def test_unusable_vectors_match_nothing(spark, limit):
+    vs, v = vectors(spark, 30, 4, 1)
+    qs, q = vectors(spark, 3, 4, 2, "query_id")
+    odd = spark.createDataFrame([(100, None), (101, [1.0, None, 0.0, 0.0]), (102, [1.0, 2.0]), (None, [1.0, 0.0, 0.0, 0.0])], v.schema)
+    asked = q.unionByName(spark.createDataFrame([(9, None)], q.schema))
+    assert ranks(vector_search.knn(v.unionByName(odd), asked, 4, max_broadcast=limit, vector_block=10)) == brute(vs, qs, 4)
+    cells = vector_search.train_cells(v.unionByName(odd.limit(2)), 2)
+    assert vector_search.assign_cells(v.unionByName(odd), cells).count() == 30
+
+
+def test_small_tiles_give_the_same(spark, monkeypatch):
+    vs, v = vectors(spark, 60, 6, 1)
+    qs, q = vectors(spark, 5, 6, 2, "query_id")
+    monkeypatch.setattr(vector_search, "TILE", 3)
+    q_ids, rows = np.array([i for i, _ in qs]), vector_search._matrix(pd.Series([np.array(x) for _, x in qs]))
+    ids, mine = np.array([i for i, _ in vs]), vector_search._matrix(pd.Series([np.array(x) for _, x in vs]))
+    found = vector_search._block_topk(q_ids, rows, ids, mine, 4, None)
+    assert {(a, b) for a, b in zip(found["query_id"], found["doc_id"])} == {(a, b) for a, b, _ in brute(vs, qs, 4)}
+
+
+def test_unwanted_words_and_two_stages(spark):
     vs, v = vectors(spark, 20, 4, 5)
     _, q = vectors(spark, 2, 4, 6, "query_id")
     items = v.withColumn("text", F.when(F.col("doc_id") % 2 == 0, "a wireless set").otherwise("a wired set"))
-    assert all(i % 2 for _, i, _ in ranks(vector_search.knn_without(items, "text", "WIRELESS", q, 3)))
+    left = ranks(vector_search.knn_without(items, "text", "WIRELESS", q, 9))
+    assert len(left) == 18 and all(i % 2 for _, i, _ in left)
     assert ranks(vector_search.two_stage(items, F.col("doc_id") < 0, q)) == set()
     some = vector_search.two_stage(items, F.col("doc_id") > 3, q, 2, candidate_limit=5)
     assert all(4 <= i <= 8 for _, i, _ in ranks(some))

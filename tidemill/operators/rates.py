@@ -17,15 +17,29 @@ def _increase(value: Column, before: Column) -> Column:
     return F.when(value < before, value).otherwise(value - before)
 
 
+#: Samples of one series that a task sorts.
+CHUNK_ROWS = 1_000_000
+
+
+def fitting_chunk(df: DataFrame, series: Sequence[str], ts: str, chunk_rows: int = CHUNK_ROWS) -> str:
+    """Longest of day, hour, minute and second in which no series has more than ``chunk_rows`` samples (a second if none). An action."""
+    for chunk in ("1 day", "1 hour", "1 minute"):
+        fullest = df.groupBy(*series, F.window(ts, chunk).getField("start")).count().agg(F.max("count")).first()[0]
+        if (fullest or 0) <= chunk_rows:
+            return chunk
+    return "1 second"
+
+
 def counter_deltas(df: DataFrame, series: Sequence[str], ts: str, value: str, tie: str | None = None,
-                   chunk: str = "1 day") -> DataFrame:
+                   chunk: str | None = None) -> DataFrame:
     """Increase from sample to sample: ``(series, ts, delta)``.
 
     A long series is cut into time chunks, so no task has to sort a whole
     series; the step between two chunks comes from one first/last summary row
-    per chunk.
+    per chunk. Without ``chunk`` the length follows the row count (see :func:`fitting_chunk`).
     """
     series = list(series)
+    chunk = chunk or fitting_chunk(df, series, ts)
     order = [ts] + ([tie] if tie else [])
     rows = df.withColumn("_chunk", F.window(ts, chunk).getField("start"))
     w = Window.partitionBy(*series, "_chunk").orderBy(*order)
@@ -56,6 +70,20 @@ def windowed_rate(deltas: DataFrame, keys: Sequence[str], ts: str, window: str,
     return grown.withColumn("rate", F.col("increase").cast("double") / F.lit(float(seconds))).drop("increase")
 
 
+def sliding_rate(deltas: DataFrame, keys: Sequence[str], ts: str, steps: int, step: str, step_seconds: int) -> DataFrame:
+    """``(keys, at, rate)``: at the end of each step the increase per second over the last ``steps`` steps, summed over all
+    series of a key. Moments whose window holds no delta are left out.
+
+    Deltas are summed by step before each sum goes to the windows it lies in.
+    """
+    grown = windowed_increase(deltas, keys, ts, step)
+    ahead = F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("_ahead")
+    spread = grown.select(*keys, "window_start", "increase", ahead)
+    at = F.col("window_start") + F.make_dt_interval(secs=(F.col("_ahead") * step_seconds).cast("decimal(18,6)"))
+    total = spread.groupBy(*keys, at.alias("at")).agg(F.sum("increase").alias("_increase"))
+    return total.select(*keys, "at", (F.col("_increase").cast("double") / F.lit(float(steps * step_seconds))).alias("rate"))
+
+
 def resample(df: DataFrame, series: Sequence[str], ts: str, value: str, step: str, tie: str | None = None) -> DataFrame:
     """Last sample of each series in every step."""
     rank = F.struct(*([ts] + ([tie] if tie else [])))

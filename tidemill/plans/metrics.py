@@ -37,6 +37,20 @@ def counter_rate(spark, sf_dir):
     return rates.windowed_rate(event_counters(spark, sf_dir), ["event_type"], "ts", "1 hour", 3600)
 
 
+@job("rate_sliding", """
+    WITH d AS (SELECT event_type, ts, CAST(value AS DECIMAL(18,2)) AS v,
+      lag(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY event_type, user_id % 10 ORDER BY ts, event_id) AS b FROM events),
+    m AS (SELECT event_type, time_bucket(INTERVAL 1 MINUTE, ts) AS w, CASE WHEN v < b THEN v ELSE v - b END AS delta FROM d WHERE b IS NOT NULL)
+    SELECT event_type, w + n * INTERVAL 1 MINUTE AS at, CAST(sum(delta) AS DOUBLE) / 300 AS rate FROM m, range(1, 6) r(n) GROUP BY 1, 2
+""")
+def rate_sliding(spark, sf_dir):
+    """Rate over five minutes at every minute, of ten counters for each type, summed by type."""
+    events = table(spark, sf_dir, "events").select(
+        "event_type", (F.col("user_id") % 10).alias("shard"), "ts", "event_id", F.col("value").cast("decimal(18,2)").alias("v"))
+    deltas = rates.counter_deltas(events, ["event_type", "shard"], "ts", "v", "event_id")
+    return rates.sliding_rate(deltas, ["event_type"], "ts", 5, "1 minute", 60)
+
+
 @job("resample_1m", """
     SELECT event_type, time_bucket(INTERVAL 1 MINUTE, ts) AS step_start, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1, 2
 """)

@@ -203,9 +203,8 @@ def knn_filtered(spark, sf_dir):
 
 
 @job("knn_not", f"""
-    WITH {CENTRES_SQL}, top AS (SELECT s.*, text FROM sims s JOIN documents d ON d.doc_id = s.doc_id
-      QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, s.doc_id) <= 30)
-    SELECT query_id, doc_id, score, CAST({TOP10} AS INTEGER) AS rank FROM top WHERE lower(text) NOT LIKE '%the%' QUALIFY rank <= 10
+    WITH {CENTRES_SQL} SELECT query_id, s.doc_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, s.doc_id) AS INTEGER) AS rank
+    FROM sims s JOIN documents d ON d.doc_id = s.doc_id WHERE lower(text) NOT LIKE '%the%' QUALIFY rank <= 10
 """)
 def knn_not(spark, sf_dir):
     return vector_search.knn_without(vector_items(spark, sf_dir), "text", "the", label_centres(spark, sf_dir))
