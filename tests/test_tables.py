@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemill.operators import joins, registry, sinks, versions
+from tidemill.operators import buckets, joins, registry, sinks, versions
 from tidemill.plans import storage
 from tidemill.session import fresh_dir
 from tidemill.streaming.sync import TableSync, due, schedule_retries
@@ -60,6 +60,41 @@ def test_two_writers_cannot_commit_one_version(spark):
         table._commit("replace", [], frame(spark).schema, "d", None, None, None)
 
 
+def stored_files(table):
+    return set(table.read().inputFiles())
+
+
+def test_a_key_touches_one_bucket(spark):
+    table = buckets.BucketedTable(spark, fresh_dir(spark, "b"), ["k"], 8)
+    with pytest.raises(ValueError):
+        table.read()
+    assert table.upsert(frame(spark), ["t"]) == 0 and not table.exists()
+    assert table.upsert(frame(spark, *[(i, "a", 1) for i in range(200)], (7, "b", 2)), ["t"]) == 8
+    before = stored_files(table)
+    assert len(before) == 8 and table.read().count() == 200
+    assert table.upsert(frame(spark, (7, "old", 0), (7, "new", 3)), ["t"]) == 1
+    assert len(before & stored_files(table)) == 7 and len(stored_files(table)) == 8
+    assert table.read().filter("k = 7").first()["v"] == "new" and table.read().count() == 200
+    before = stored_files(table)
+    table.insert_absent(frame(spark, (7, "x", 9), (500, "y", 9), (500, "z", 1), (None, "n", 1)), ["t"])
+    assert before <= stored_files(table) and len(stored_files(table)) <= 10
+    table.insert_absent(frame(spark, (500, "w", 0)), ["t"])
+    assert [tuple(r) for r in table.read().filter("k = 500").collect()] == [(500, "z", 1)] and table.read().count() == 202
+    before = stored_files(table)
+    assert table.replace_keys(frame(spark, (500, "p", 1), (500, "q", 1))) == 1
+    assert sorted(r["v"] for r in table.read().filter("k = 500").collect()) == ["p", "q"] and table.read().count() == 203
+
+
+def test_a_bucket_shows_new_columns(spark):
+    table = buckets.BucketedTable(spark, fresh_dir(spark, "b"), ["k"], 4)
+    table.upsert(frame(spark, *[(i, "a", 1) for i in range(9)]), ["t"])
+    table.upsert(frame(spark).withColumn("extra", F.lit(1)), ["t"])
+    assert table.read().columns == ["k", "v", "t", "extra"] and table.read().count() == 9
+    table.upsert(spark.createDataFrame([(1, 7, 2.5)], "k int, t int, more double"), ["t"])
+    row = table.read().filter("k = 1").first()
+    assert (row["v"], row["t"], row["extra"], row["more"]) == (None, 7, None, 2.5)
+
+
 rows_of = st.lists(st.tuples(st.integers(0, 4), st.sampled_from("abc"), st.integers(0, 3)), max_size=8)
 
 
@@ -88,14 +123,13 @@ def source(spark, *rows):
 def test_sync_in_steps(spark, page_size):
     sync = TableSync(spark, fresh_dir(spark, "s"), "id", "updated_at")
     first = [(1, "free", "2024-01-01", None), (2, "pro", "2024-01-02", None), (3, "pro", "2024-01-02", None)]
-    sync.run_once(source(spark, *first), "d1", page_size)
+    assert sync.run_once(source(spark, *first), page_size) == 3
     assert sync.mark().row_count == 3
-    same = sync.run_once(source(spark, *first), "d1", page_size)
-    assert same == 1  # nothing new, no new version
+    assert sync.run_once(source(spark, *first), page_size) == 0  # nothing new
     # Ties at the page edge, an update, inserts and a soft delete.
     later = [(1, "team", "2024-01-03", None), (2, "pro", "2024-01-03", "2024-01-03"), (3, "pro", "2024-01-02", None),
              (4, "free", "2024-01-03", None), (5, "free", "2024-01-03", None), (6, "free", "2024-01-03", None)]
-    sync.run_once(source(spark, *later), "d2", page_size)
+    assert sync.run_once(source(spark, *later), page_size) == 5
     assert sorted((r["id"], r["plan"]) for r in sync.table.read().collect()) == [(1, "team"), (2, "pro"), (3, "pro"), (4, "free"), (5, "free"), (6, "free")]
     assert sorted(r["id"] for r in sync.active().collect()) == [1, 3, 4, 5, 6]
     assert sync.mark().row_count == 8
@@ -104,8 +138,8 @@ def test_sync_in_steps(spark, page_size):
 def test_sync_adds_a_column_without_new_rows(spark):
     sync = TableSync(spark, fresh_dir(spark, "s"), "id", "updated_at")
     df = source(spark, (1, "free", "2024-01-01", None))
-    sync.run_once(df, "d1")
-    sync.run_once(df.withColumn("seats", F.lit(3)), "d2")
+    sync.run_once(df)
+    sync.run_once(df.withColumn("seats", F.lit(3)))
     assert "seats" in sync.table.read().columns and sync.table.read().count() == 1
 
 

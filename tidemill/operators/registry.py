@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.payloads import schema_columns, schema_fingerprint
+from tidemill.operators.buckets import BucketedTable
 from tidemill.operators.versions import VersionedTable
 from tidemill.session import literal_row, no_rows
 
@@ -17,6 +18,7 @@ SCHEMA_ROWS = "source_name string, version int, schema_hash string, columns stri
 RUN_ROWS = ("source_name string, source_type string, run_id string, status string, row_count bigint, "
             "schema_version int, error string, attempt int, finished_at string")
 FAILURE_ROWS = "source_name string, source_type string, run_id string, attempt int, error string, payload string, failed_at string"
+RECORD_KEYS = {"schemas": ["source_name", "schema_hash"], "runs": ["run_id"], "failures": ["run_id", "attempt"]}
 LINEAGE_ROWS = ("ts string, user string, tool string, inputs array<string>, output string, format string, "
                 "schema string, row_count bigint")
 
@@ -40,19 +42,16 @@ def register_schemas(known: DataFrame, seen: DataFrame) -> DataFrame:
 
 @dataclass
 class RunRegistry:
-    """Schema versions, runs and failures of ingestion jobs, kept in versioned tables."""
+    """Schema versions, runs and failures of ingestion jobs; a record touches one bucket of its table."""
 
     spark: SparkSession
     path: str
 
-    def _table(self, name: str) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.path}/{name}")
+    def _table(self, name: str) -> BucketedTable:
+        return BucketedTable(self.spark, f"{self.path}/{name}", RECORD_KEYS[name])
 
     def _rows(self, name: str, ddl: str) -> DataFrame:
-        try:
-            return self._table(name).read()
-        except ValueError:  # no version yet
-            return no_rows(self.spark, ddl)
+        return self._table(name).read(like=no_rows(self.spark, ddl))
 
     def schemas(self) -> DataFrame:
         return self._rows("schemas", SCHEMA_ROWS)
@@ -73,18 +72,18 @@ class RunRegistry:
             return known["same"]
         version = (known["top"] or 0) + 1
         row = (source, version, digest, json.dumps(schema_columns(df.schema)), as_of)
-        self._table("schemas").append(literal_row(self.spark, row, SCHEMA_ROWS), as_of, f"{source}:{digest}")
+        self._table("schemas").insert_absent(literal_row(self.spark, row, SCHEMA_ROWS), ["version"])
         return version
 
     def record_success(self, source: str, kind: str, run_id: str, row_count: int, version: int, as_of: str, attempt: int = 1) -> None:
         row = (source, kind, run_id, "success", row_count, version, None, attempt, as_of)
-        self._table("runs").upsert(literal_row(self.spark, row, RUN_ROWS), ["run_id"], ["attempt"], as_of)
+        self._table("runs").upsert(literal_row(self.spark, row, RUN_ROWS), ["attempt"])
 
     def record_failure(self, source: str, kind: str, run_id: str, attempt: int, error: str, payload: Mapping, as_of: str) -> None:
         failure = (source, kind, run_id, attempt, error, json.dumps(payload, sort_keys=True), as_of)
-        self._table("failures").append(literal_row(self.spark, failure, FAILURE_ROWS), as_of, f"{run_id}:{attempt}")
+        self._table("failures").insert_absent(literal_row(self.spark, failure, FAILURE_ROWS), ["failed_at"])
         row = (source, kind, run_id, "failed", None, None, error, attempt, as_of)
-        self._table("runs").upsert(literal_row(self.spark, row, RUN_ROWS), ["run_id"], ["attempt"], as_of)
+        self._table("runs").upsert(literal_row(self.spark, row, RUN_ROWS), ["attempt"])
 
 
 def health(runs: DataFrame, failures: DataFrame, as_of: str) -> DataFrame:

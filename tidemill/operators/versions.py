@@ -50,7 +50,9 @@ class VersionedTable:
         """One row per version; empty when the table does not exist."""
         try:
             return self.spark.read.schema(MANIFEST).json(f"{self.path}/_manifest/*")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return no_rows(self.spark, MANIFEST)
 
     def head(self, version: int | None = None) -> Row | None:
@@ -198,26 +200,3 @@ def transform_and_load(spark: SparkSession, query: str, fn: Callable[[DataFrame]
     """Query → caller's frame function → table."""
     out = spark.sql(query).transform(fn)
     return target.append(out, as_of) if mode == "append" else target.replace(out, as_of)
-
-
-def promote(staging: VersionedTable, production: VersionedTable, enriched: DataFrame, key: Sequence[str],
-            order: Sequence[str], as_of: str, batch_id: str | None = None) -> int:
-    """Insert enriched staging rows whose key is new to production, then clear staging."""
-    version = production.insert_absent(enriched, key, order, as_of, batch_id)
-    staging.clear(as_of)
-    return version
-
-
-def refresh_buckets(view: VersionedTable, facts: DataFrame, touched: DataFrame, bucket: str,
-                    build: Callable[[DataFrame], DataFrame], as_of: str, batch_id: str | None = None) -> int:
-    """Recompute only the buckets of a stored view that new facts fall into.
-
-    ``facts`` carries the ``bucket`` column, ``touched`` lists the buckets, and
-    ``build`` aggregates facts to view rows, which keep the bucket column.
-    """
-    buckets = touched.select(bucket).distinct()
-    fresh = build(facts.join(buckets, bucket, "left_semi"))
-    if not view.exists():
-        return view.replace(fresh, as_of, batch_id, "refresh")
-    kept = view.read().join(buckets, bucket, "left_anti")
-    return view.replace(kept.unionByName(fresh), as_of, batch_id, "refresh")

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.times import trunc_ntz
+from tidemill.operators.buckets import BucketedTable
 from tidemill.operators.joins import enrich, split_enriched
-from tidemill.operators.versions import VersionedTable, promote, refresh_buckets
 from tidemill.plans.catalog import job, tables
 from tidemill.plans.sales import hourly_sales
-from tidemill.session import fresh_dir
+from tidemill.session import fresh_dir, remove_dir
 
 ORDER_COLUMNS = (
     "order_id", "customer_id", "product_id", "product_name", "category", "quantity", "unit_price", "currency",
@@ -43,30 +43,39 @@ def enrich_orders(staged: DataFrame, lookups: Lookups) -> DataFrame:
 
 
 class OrderFlow:
-    """Staging, production, rejects and the hourly view of one order pipeline."""
+    """Staging, production, rejects and the hourly view of one order pipeline.
 
-    def __init__(self, spark: SparkSession, path: str, lookups: Lookups):
-        self.lookups = lookups
-        self.staging, self.production, self.rejects, self.hourly = (
-            VersionedTable(spark, f"{path}/{n}") for n in ("staging", "production", "rejects", "hourly")
-        )
+    Production and rejects lie by hash of the order id, production also by month, and the view by hash of the hour: a batch searches
+    the buckets of its orders, reads production of its months, and rewrites the view's buckets of its hours. It writes at most one
+    file for each bucket and month, so choose ``buckets`` by the size of a month.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, lookups: Lookups, buckets: int = 4):
+        self.spark, self.path, self.lookups = spark, path, lookups
+        self.month = F.coalesce(F.date_format("order_timestamp", "yyyy-MM"), F.lit("none"))
+        self.production = BucketedTable(spark, f"{path}/production", ["order_id"], buckets, self.month)
+        self.rejects = BucketedTable(spark, f"{path}/rejects", ["order_id"], buckets)
+        self.hourly = BucketedTable(spark, f"{path}/hourly", ["hour"], buckets)
 
-    def run(self, batch: DataFrame, as_of: str, batch_id: str) -> None:
+    def run(self, batch: DataFrame, batch_id: str) -> None:
         """Stage a batch, promote its new complete orders, keep the rest as rejects, refresh touched hours.
 
-        Repeating a batch id changes nothing.
+        Repeating a batch changes nothing, whether it came to its end or not. An action.
         """
-        self.staging.append(batch, as_of, f"stage:{batch_id}")
-        good, bad = split_enriched(enrich_orders(self.staging.read(), self.lookups))
+        staging = f"{self.path}/staging/{batch_id}"
+        batch.write.mode("overwrite").parquet(staging)
+        staged = self.spark.read.schema(batch.schema).parquet(staging)
+        good, bad = split_enriched(enrich_orders(staged, self.lookups))
         self.rejects.insert_absent(bad.select("order_id", "order_timestamp", F.array_join("missing", "|").alias("missing")),
-                                   ["order_id"], ["order_timestamp"], as_of, f"reject:{batch_id}")
-        # The batch itself counts too: staging is empty when a run is repeated after its promotion.
-        hours = self.staging.read().select("order_timestamp").unionByName(batch.select("order_timestamp")).select(
-            trunc_ntz("hour", F.col("order_timestamp")).alias("hour"))
-        promote(self.staging, self.production, good.select(*ORDER_COLUMNS), ["order_id"], ["order_timestamp"], as_of, f"promote:{batch_id}")
-        facts = self.production.read().withColumn("hour", trunc_ntz("hour", F.col("order_timestamp")))
-        refresh_buckets(self.hourly, facts, hours, "hour", lambda df: hourly_sales(
-            df, "order_timestamp", "category", "quantity", "total_amount_usd", "customer_id"), as_of, f"hourly:{batch_id}")
+                                   ["order_timestamp"])
+        self.production.insert_absent(good.select(*ORDER_COLUMNS), ["order_timestamp"])
+        months = [r[0] for r in staged.select(self.month).distinct().collect()]  # one value for each month of the batch
+        hour = trunc_ntz("hour", F.col("order_timestamp")).alias("hour")
+        facts = self.production.read(months, like=good.select(*ORDER_COLUMNS)).withColumn("hour", hour)
+        facts = facts.join(staged.select(hour).distinct(), "hour", "left_semi")
+        fresh = hourly_sales(facts, "order_timestamp", "category", "quantity", "total_amount_usd", "customer_id")
+        self.hourly.replace_keys(fresh)
+        remove_dir(self.spark, staging)
 
 
 def table_orders(spark, sf_dir) -> tuple[DataFrame, Lookups]:
@@ -106,9 +115,9 @@ TABLE_ORDERS_SQL = """
 def order_promotion(spark, sf_dir):
     """Two batches, the second of which repeats the first; the refreshed hourly view is the result."""
     staged, lookups = table_orders(spark, sf_dir)
-    flow = OrderFlow(spark, fresh_dir(spark, "orders"), lookups)
-    flow.run(staged.filter("currency = 'A'"), "2002-01-01", "1")
-    flow.run(staged, "2002-01-02", "2")
+    flow = OrderFlow(spark, fresh_dir(spark, "orders"), lookups, buckets=2)
+    flow.run(staged.filter("currency = 'A'"), "1")
+    flow.run(staged, "2")
     return flow.hourly.read()
 
 

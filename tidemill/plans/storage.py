@@ -50,8 +50,8 @@ def incremental_sync(spark, sf_dir):
         F.max("l_shipdate").alias("updated_at"), F.count(F.lit(1)).alias("lines")
     ).withColumn("status", F.lit("SHIPPED"))
     sync = TableSync(spark, fresh_dir(spark, "sync"), "order_id", "updated_at")
-    sync.run_once(initial, "2001-08-02")
-    sync.run_once(initial.unionByName(shipped, allowMissingColumns=True), "2002-01-01")
+    sync.run_once(initial)
+    sync.run_once(initial.unionByName(shipped, allowMissingColumns=True))
     return sync.table.read()
 
 

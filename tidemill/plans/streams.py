@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.payloads import is_json
-from tidemill.operators import sinks, versions
+from tidemill.operators import sinks
+from tidemill.operators.buckets import BucketedTable
 from tidemill.operators.joins import enrich, split_enriched
 from tidemill.plans.catalog import job, table, tables
 from tidemill.plans.sales import hourly_sales
@@ -163,9 +164,9 @@ def order_flow(spark, sf_dir):
         "customer": (customer.select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("category")), "user_id"),
         "product": (part.select(F.col("p_partkey").alias("product"), "p_name"), "product"),
     })
-    staging, production = versions.VersionedTable(spark, f"{root}/staging"), versions.VersionedTable(spark, f"{root}/production")
-    staging.replace(tagged, AS_OF)
-    good, rejects = split_enriched(staging.read())
+    sinks.write_parquet(tagged, f"{root}/staging")
+    good, rejects = split_enriched(spark.read.parquet(f"{root}/staging"))
     sinks.write_parquet(rejects, f"{root}/rejects")
-    versions.promote(staging, production, good, ["event_id"], ["ts"], AS_OF, "run-1")
+    production = BucketedTable(spark, f"{root}/production", ["event_id"])
+    production.insert_absent(good, ["ts"])
     return hourly_sales(production.read(), "ts", "category", "user_id", "value", "user_id")

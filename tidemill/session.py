@@ -80,3 +80,9 @@ def no_rows(spark: SparkSession, ddl: str) -> DataFrame:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """New, not yet existing path below the shared folder."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate folder of :func:`fresh_dir` on whatever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

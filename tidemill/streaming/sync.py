@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import json
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
+from tidemill.operators.buckets import BucketedTable, not_there
 from tidemill.operators.columns import keyset_page
-from tidemill.operators.versions import VersionedTable, added_columns
+from tidemill.session import fresh_dir, literal_row, remove_dir
+
+MARK_ROWS = "last_sync string, last_key string, row_count bigint"
 
 
 @dataclass(frozen=True)
@@ -24,24 +26,33 @@ class Mark:
 
 @dataclass
 class TableSync:
-    """Keeps a versioned copy of a source table.
+    """Keeps a copy of a source table, stored by hash of its key.
 
     The first run copies everything, later runs only rows above the mark
-    ``(updated_at, key)``, which is committed together with the rows. New source
-    columns are added, deleted rows keep their ``deleted_at`` and stay readable.
+    ``(updated_at, key)``. A batch is stored once, merged, and then its mark is
+    written: a crash in between repeats the batch, which changes nothing. New
+    source columns are added, deleted rows keep their ``deleted_at`` and stay readable.
     """
 
     spark: SparkSession
     path: str
     key: str
     updated_at: str
+    buckets: int = 16
 
     @property
-    def table(self) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.path}/table")
+    def table(self) -> BucketedTable:
+        return BucketedTable(self.spark, f"{self.path}/table", [self.key], self.buckets)
 
     def mark(self) -> Mark | None:
-        return _mark(self.table.head())
+        try:
+            marks = self.spark.read.schema(MARK_ROWS).json(f"{self.path}/marks")
+        except AnalysisException as error:
+            if not_there(error):
+                return None
+            raise
+        last = marks.agg(F.max_by(F.struct(*marks.columns), "row_count")).first()[0]
+        return Mark(**last.asDict()) if last is not None else None
 
     def pending(self, source: DataFrame, mark: Mark | None) -> DataFrame:
         """Source rows above the mark; the filter reaches the source."""
@@ -60,27 +71,28 @@ class TableSync:
             return mark, 0
         return Mark(edge[0], edge[1], (mark.row_count if mark else 0) + edge[2]), edge[2]
 
-    def run_once(self, source: DataFrame, as_of: str, page_size: int | None = None) -> int:
-        """Bring the copy up to date and return its version.
+    def run_once(self, source: DataFrame, page_size: int | None = None) -> int:
+        """Bring the copy up to date and return the number of rows taken.
 
         Without ``page_size`` all pending rows go in one batch, which is what
         scales; with it, pages are taken in key order until one comes up short.
         """
-        head = self.table.head()
+        taken, mark = 0, self.mark()
         while True:
-            mark = _mark(head)
-            batch = self.pending(source, mark)
-            if page_size is not None and head is not None:
+            batch, whole = self.pending(source, mark), page_size is None or mark is None
+            if not whole:
                 batch = keyset_page(batch, self.updated_at, self.key, page_size)
-            reached, count = self._advance(batch, mark)
-            drift = bool(head) and bool(added_columns(StructType.fromJson(json.loads(head["schema"])), batch.schema))
-            if head is not None and count == 0 and not drift:
-                return head["version"]
-            note = json.dumps(asdict(reached)) if reached else None
-            version = self.table.upsert(batch, [self.key], [self.updated_at], as_of, note=note)
-            if page_size is None or head is None or count < page_size:
-                return version
-            head = self.table.head()
+            landing = fresh_dir(self.spark, "landing")
+            batch.write.parquet(landing)  # the mark is taken from the rows that are merged
+            stored = self.spark.read.schema(batch.schema).parquet(landing)
+            mark, count = self._advance(stored, mark)
+            self.table.upsert(stored, [self.updated_at])
+            if count:
+                literal_row(self.spark, (mark.last_sync, mark.last_key, mark.row_count), MARK_ROWS).write.mode("append").json(f"{self.path}/marks")
+            remove_dir(self.spark, landing)
+            taken += count
+            if whole or count < page_size:
+                return taken
 
     def active(self, deleted_at: str = "deleted_at") -> DataFrame:
         """Rows that are not soft-deleted."""
@@ -88,10 +100,6 @@ class TableSync:
         return rows.filter(F.col(deleted_at).isNull()) if deleted_at in rows.columns else rows
 
 
-def _mark(head: Row | None) -> Mark | None:
-    return Mark(**json.loads(head["note"])) if head is not None and head["note"] else None
-
-
 # Retry delays double from two seconds up to a minute; the fourth failure is final.
 BACKOFF_BASE, BACKOFF_CAP, MAX_ATTEMPTS = 2.0, 60.0, 4
 
