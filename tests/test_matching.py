@@ -150,6 +150,15 @@ def test_fuzzy_key_goes_to_the_best_match(spark):
                    "5": ("e|1", "r|fuzzy_name_address_match")}
 
 
+def test_records_without_name_or_address_stay_apart(spark):
+    columns = "customer_id string, customer_name string, address string, composite_key string, conflict_rules_applied string"
+    rows = [("1", None, None, "a@x|1", "r"), ("2", None, None, None, "r"), ("3", " ", "", None, "r"), ("4", "Emily Clark", None, None, "r")]
+    got = {r["customer_id"]: r["composite_key"] for r in matching.finalize_keys(spark.createDataFrame(rows, columns)).collect()}
+    assert got == {"1": "a@x|1", "2": "2", "3": "3", "4": "4"}
+    blank = spark.createDataFrame([("", "k"), ("  ", "k")], "t string, k string")
+    assert matching.best_fuzzy_match(blank, blank, "t", "k").isEmpty()
+
+
 def test_best_match_ties_take_the_smallest_key(spark):
     left = spark.createDataFrame([("abcdefghijk",)], "t string")
     right = spark.createDataFrame([("abcdefghijx", "k2"), ("abcdefghijy", "k1")], "t string, k string")

@@ -82,3 +82,15 @@ def test_sql_tool(spark):
     assert log.read().first()["inputs"] == ["sales.t"]
     with pytest.raises(PermissionError):
         registry.run_sql(spark, "SELECT 1", f"{root}/no", {"finance.ledger": spark.range(1)})
+
+
+@pytest.mark.parametrize("sql", [
+    "SELECT * FROM finance.secret", "SELECT 1 WHERE EXISTS (SELECT 1 FROM Finance.secret)", "WITH x AS (SELECT * FROM finance.secret) SELECT * FROM x",
+    "SELECT * FROM finance_ledger", "SELECT * FROM parquet.`/tmp/x`", "CREATE TABLE y AS SELECT * FROM spark_catalog.finance.secret",
+])
+def test_sql_names_no_restricted_table(spark, sql):
+    with pytest.raises(PermissionError):
+        registry.check_query(spark, sql, ["ops"])
+    if "parquet" not in sql:
+        registry.check_query(spark, sql, ["finance"])
+    registry.check_query(spark, "SELECT * FROM sales_t JOIN range(3)", [])

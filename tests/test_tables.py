@@ -243,3 +243,16 @@ def test_transform_and_load(spark):
     versions.transform_and_load(spark, "SELECT id FROM numbers4", lambda d: d.filter("id > 1"), table, "d")
     assert table.read().count() == 2
     assert joins.concat_batches([table.read(), table.read()]).count() == 4
+
+
+def test_union_keeps_exact_types(spark):
+    def one(kind):
+        return spark.range(1).select(F.lit("2024-01-02" if kind in ("date", "timestamp_ntz") else "1").cast(kind).alias("x"))
+
+    for kinds, want in {("decimal(10,2)", "decimal(12,4)"): "decimal(12,4)", ("decimal(10,2)", "int"): "decimal(12,2)", ("date", "timestamp_ntz"): "timestamp_ntz",
+                        ("int", "double"): "double", ("int", "smallint"): "bigint", ("int", "string"): "string", ("decimal(38,0)", "decimal(38,38)"): "string"}.items():
+        assert dict(joins.union_diagonal(*map(one, kinds)).dtypes)["x"] == want, kinds
+
+
+def test_cross_without_limit_is_the_callers_choice(spark):
+    assert joins.join_datasets(spark.range(3), spark.range(20), how="cross", cross_limit=None).count() == 60

@@ -7,21 +7,25 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (ByteType, DataType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType,
+                               TimestampNTZType, TimestampType)
 
 JOIN_KINDS = {"inner": "inner", "left": "left", "outer": "full", "full": "full", "right": "right",
               "semi": "left_semi", "anti": "left_anti"}
 
 
 def join_datasets(left: DataFrame, right: DataFrame, on: Sequence[str] = (), how: str = "inner",
-                  cross_limit: int = 1000) -> DataFrame:
+                  cross_limit: int | None = 1000) -> DataFrame:
     """Equi join by column names; clashing right columns get the suffix ``_right``.
 
     ``cross`` ignores ``on``. Its right side must be a small list: more than
-    ``cross_limit`` rows raise an error instead of multiplying the data.
+    ``cross_limit`` rows raise an error instead of multiplying the data, unless the caller gives no limit.
     """
     clashes = [c for c in right.columns if c in set(left.columns) and (how == "cross" or c not in set(on))]
     right = right.withColumnsRenamed({c: f"{c}_right" for c in clashes})
     if how == "cross":
+        if cross_limit is None:
+            return left.crossJoin(right)
         if len(right.take(cross_limit + 1)) > cross_limit:
             raise ValueError(f"cross join needs a right side of at most {cross_limit} rows")
         return left.crossJoin(F.broadcast(right))
@@ -74,23 +78,36 @@ def absent_from(df: DataFrame, target: DataFrame, key: str) -> DataFrame:
     return df.join(target.select(key), key, "left_anti")
 
 
+def _common_type(seen: set[DataType]) -> DataType:
+    """Narrowest type that holds all values of the given ones exactly (floats as double), string as the last resort."""
+    # Digits of the whole-number types.
+    digits = {ByteType(): 3, ShortType(): 5, IntegerType(): 10, LongType(): 19}
+    decimals = {t for t in seen if isinstance(t, DecimalType)}
+    if len(seen) == 1:
+        return next(iter(seen))
+    if seen <= set(digits):
+        return LongType()
+    if seen <= {*digits, *decimals}:
+        whole = max([t.precision - t.scale for t in decimals] + [digits[t] for t in seen - decimals])
+        scale = max(t.scale for t in decimals)
+        return DecimalType(whole + scale, scale) if whole + scale <= 38 else StringType()
+    if seen <= {*digits, *decimals, FloatType(), DoubleType()}:
+        return DoubleType()
+    for time in (TimestampType(), TimestampNTZType()):
+        if seen <= {DateType(), time}:
+            return time
+    return StringType()
+
+
 def union_diagonal(*frames: DataFrame) -> DataFrame:
-    """Union by name; absent columns become null and differing types become strings."""
-    types: dict[str, set[str]] = {}
+    """Union by name; absent columns become null and differing types their widest common type."""
+    types: dict[str, set[DataType]] = {}
     for frame in frames:
         for field in frame.schema.fields:
-            types.setdefault(field.name, set()).add(field.dataType.simpleString())
-    mixed = {name for name, seen in types.items() if len(seen) > 1}
-    numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
-
-    def common(name: str) -> str:
-        seen = types[name]
-        if seen <= numeric:
-            return "double" if seen & {"float", "double"} else "bigint"
-        return "string"
-
+            types.setdefault(field.name, set()).add(field.dataType)
+    mixed = {name: _common_type(seen) for name, seen in types.items() if len(seen) > 1}
     aligned = [
-        f.withColumns({c: F.col(c).cast(common(c)) for c in f.columns if c in mixed}) if mixed else f for f in frames
+        f.withColumns({c: F.col(c).cast(mixed[c]) for c in f.columns if c in mixed}) if mixed else f for f in frames
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), aligned)
 

@@ -189,7 +189,7 @@ def similar_strings(left: DataFrame, right: DataFrame, min_percent: int | None =
 
 
 def best_fuzzy_match(left: DataFrame, right: DataFrame, text: str, key: str, min_percent: int = MATCH_PERCENT) -> DataFrame:
-    """Best right key for each distinct left text: ``(text, matched_key, score)``. Ties go to the smallest key.
+    """Best right key for each distinct left text: ``(text, matched_key, score)``. Ties go to the smallest key, blank texts match nothing.
 
     The search goes from strict to lax and only texts without a match go on:
     equal texts by an equi join, then up to two edits, then the full limit. That
@@ -198,8 +198,8 @@ def best_fuzzy_match(left: DataFrame, right: DataFrame, text: str, key: str, min
     checkpointed, for they are used several times.
     """
     ensure_checkpoint_dir(left.sparkSession)
-    canonical = right.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("r")).agg(F.min(key).alias("_key")).checkpoint()
-    wanted = left.filter(F.col(text).isNotNull()).select(F.col(text).alias("l")).distinct()
+    canonical = right.filter(F.trim(text) != "").groupBy(F.col(text).alias("r")).agg(F.min(key).alias("_key")).checkpoint()
+    wanted = left.filter(F.trim(text) != "").select(F.col(text).alias("l")).distinct()
     looked = wanted.join(canonical, wanted["l"] == canonical["r"], "left").select("l", "_key").checkpoint()
     exact = looked.filter(F.col("_key").isNotNull()).select("l", F.col("_key").alias("matched_key"), F.lit(100.0).alias("score"))
 
@@ -225,10 +225,12 @@ def best_fuzzy_match(left: DataFrame, right: DataFrame, text: str, key: str, min
 def finalize_keys(df: DataFrame, min_percent: int = MATCH_PERCENT) -> DataFrame:
     """Key of each record: contact key, else best fuzzy match on name and address, else its own id.
 
+    Records that lack a name or an address are matched by contact key only.
     An action: the records are checkpointed, for matching reads them several times.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    text = F.concat(F.coalesce("customer_name", F.lit("")), F.lit("|"), F.coalesce("address", F.lit("")))
+    known = (F.trim("customer_name") != "") & (F.trim("address") != "")
+    text = F.when(known, F.concat("customer_name", F.lit("|"), "address"))
     tagged = df.withColumn("_text", text).checkpoint()
     settled = tagged.filter(F.col("composite_key").isNotNull())
     unresolved = tagged.filter(F.col("composite_key").isNull())

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemill.functions.payloads import schema_columns, schema_fingerprint
 from tidemill.operators.buckets import BucketedTable
@@ -18,7 +20,9 @@ SCHEMA_ROWS = "source_name string, version int, schema_hash string, columns stri
 RUN_ROWS = ("source_name string, source_type string, run_id string, status string, row_count bigint, "
             "schema_version int, error string, attempt int, finished_at string")
 FAILURE_ROWS = "source_name string, source_type string, run_id string, attempt int, error string, payload string, failed_at string"
-RECORD_KEYS = {"schemas": ["source_name", "schema_hash"], "runs": ["run_id"], "failures": ["run_id", "attempt"]}
+RETRY_ROWS = ("run_id string, source_name string, source_type string, attempt int, outcome string, next_attempt int, "
+              "next_attempt_at timestamp_ntz")
+RECORD_KEYS = {"retries": ["run_id"], "schemas": ["source_name", "schema_hash"], "runs": ["run_id"], "failures": ["run_id", "attempt"]}
 LINEAGE_ROWS = ("ts string, user string, tool string, inputs array<string>, output string, format string, "
                 "schema string, row_count bigint")
 
@@ -62,6 +66,13 @@ class RunRegistry:
     def failures(self) -> DataFrame:
         return self._rows("failures", FAILURE_ROWS)
 
+    def retries(self) -> DataFrame:
+        return self._rows("retries", RETRY_ROWS)
+
+    def store_retries(self, rows: DataFrame) -> None:
+        """Keep the newest state of each run: waiting, given up, or done."""
+        self._table("retries").upsert(rows.select(*StructType.fromDDL(RETRY_ROWS).fieldNames()), ["attempt"])
+
     def schema_version(self, source: str, df: DataFrame, as_of: str) -> int:
         """Version of the frame's schema for the source, registering it when new."""
         digest = schema_fingerprint(df.schema)
@@ -135,6 +146,24 @@ def check_access(table: str, roles: Sequence[str], restricted: Mapping[str, str]
             raise PermissionError(f"{table} needs role {role}")
 
 
+def relations(spark: SparkSession, sql: str) -> list[list[str]]:
+    """Name parts of every relation that the parsed text mentions, its own WITH names left in; nothing is run."""
+    parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
+    return [[part.strip() for part in found.split(",")] for found in re.findall(r"UnresolvedRelation \[([^\]]*)\]", parsed)
+            + re.findall(r"UnresolvedTableOrView \[([^\]]*)\]", parsed)]
+
+
+def check_query(spark: SparkSession, sql: str, roles: Sequence[str], restricted: Mapping[str, str] = RESTRICTED) -> None:
+    """Raise ``PermissionError`` if a statement that is to be run names a restricted table, its view, or a path as a table."""
+    database = spark.catalog.currentDatabase()
+    for parts in relations(spark, sql):
+        if not all(re.fullmatch(r"\w+", part) for part in parts):
+            raise PermissionError(f"{'.'.join(parts)} is a path, not a table")
+        check_access(".".join(parts[-2:] if len(parts) > 1 else [database, *parts]), roles, restricted)
+        if len(parts) == 1:
+            check_access(parts[0], roles, {prefix.replace(".", "_"): role for prefix, role in restricted.items()})
+
+
 def table_stats(frames: Mapping[str, DataFrame]) -> DataFrame:
     """``(table_name, row_count, populated)`` for named frames in one job."""
     out = None
@@ -161,9 +190,11 @@ def run_sql(spark: SparkSession, sql: str, uri: str, tables: Mapping[str, DataFr
             lineage: VersionedTable | None = None, user: str = "", as_of: str = "") -> Artifact:
     """Run SQL over named frames and store the result; ``tables`` are the only inputs besides the catalog.
 
-    Access is checked before a name is resolved; a dot in a table name becomes
+    Access is checked before a name is resolved, for the given tables and for every
+    relation of the text; paths in place of tables are refused. A dot in a table name becomes
     an underscore in its view. With a ``lineage`` table the run is logged.
     """
+    check_query(spark, sql, roles)
     for name in tables or {}:
         check_access(name, roles)
     for name, df in (tables or {}).items():

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from tidemill.functions.payloads import schema_columns, schema_fingerprint
 from tidemill.operators import columns, registry, sinks, versions
 from tidemill.plans.catalog import job, table, tables
-from tidemill.session import fresh_dir, no_rows
+from tidemill.session import fresh_dir, literal_row, no_rows
 from tidemill.sources import dispatch, files
 from tidemill.sources.tables import catalogue_frame
-from tidemill.streaming.sync import TableSync
+from tidemill.streaming.sync import TableSync, due, schedule_retries
 
 
 @job("snapshots", """
@@ -146,6 +146,53 @@ def ingest_job(spark: SparkSession, book: registry.RunRegistry, task: Mapping, o
         return None
 
 
+def ingest_with_retries(spark: SparkSession, book: registry.RunRegistry, tasks: Iterable[Mapping], output: str, as_of: str) -> None:
+    """Run tasks; a failed one is stored with the time of its next attempt, or as a dead letter after the last."""
+    for task in tasks:
+        attempt = task.get("attempt", 1)
+        done = ingest_job(spark, book, task, output, as_of) is not None
+        if done and attempt == 1:
+            continue
+        row = (task["run_id"], task["source_name"], task["source_type"], attempt, as_of)
+        state = literal_row(spark, row, "run_id string, source_name string, source_type string, attempt int, failed_at timestamp_ntz")
+        if done:
+            state = state.withColumns({"outcome": F.lit("done"), "next_attempt": F.lit(None).cast("int"), "next_attempt_at": F.lit(None).cast("timestamp_ntz")})
+        else:
+            state = schedule_retries(state, "attempt", "failed_at")
+        book.store_retries(state)
+
+
+def run_due(spark: SparkSession, book: registry.RunRegistry, options: Mapping[str, Mapping], output: str, as_of: str) -> int:
+    """Try all runs again whose time has come, with the options of their source, and give their number.
+
+    Options are not stored with the runs, for they may hold credentials; a source without options waits on.
+    """
+    rows = due(book.retries(), as_of).orderBy("next_attempt_at", "run_id").collect()  # a run is a driver's task anyway
+    tasks = [{"run_id": r["run_id"], "source_name": r["source_name"], "source_type": r["source_type"], "attempt": r["next_attempt"],
+              "options": options[r["source_name"]]} for r in rows if r["source_name"] in options]
+    ingest_with_retries(spark, book, tasks, output, as_of)
+    return len(tasks)
+
+
+@job("ingest_retries", """
+    SELECT 'documents' AS source_name, 1 AS attempt, 'success' AS status, NULL AS outcome, count(*) AS row_count FROM documents
+    UNION ALL SELECT 'events', 2, 'success', 'done', count(*) FROM events UNION ALL SELECT 'ledger', 4, 'failed', 'dead_letter', NULL
+""")
+def ingest_retries(spark, sf_dir):
+    """A source that comes back after its first failure, and one that never does."""
+    root = fresh_dir(spark, "ingest")
+    book = registry.RunRegistry(spark, f"{root}/registry")
+    kinds = {"documents": "parquet_file", "events": "parquet_file", "ledger": "fax"}
+    options = {"documents": {"path": f"{sf_dir}/documents.parquet"}, "events": {"path": f"{root}/not-there-yet"}, "ledger": {}}
+    tasks = [{"source_name": n, "source_type": k, "run_id": f"{n}-1", "options": options[n]} for n, k in kinds.items()]
+    ingest_with_retries(spark, book, tasks, root, "2024-02-01 00:00:00")
+    options["events"] = {"path": f"{sf_dir}/events.parquet"}
+    for second in (1, 2, 6, 14):  # nothing is due after one second
+        run_due(spark, book, options, root, f"2024-02-01 00:00:{second:02}")
+    outcomes = book.retries().select("run_id", "outcome")
+    return book.runs().join(outcomes, "run_id", "left").select("source_name", "attempt", "status", "outcome", "row_count")
+
+
 @job("ingest_runs", """
     SELECT 'documents' AS source_name, 'success' AS status, count(*) AS row_count, CAST(1 AS INTEGER) AS schema_version FROM documents
     UNION ALL SELECT 'events', 'success', count(*), 1 FROM events UNION ALL SELECT 'ledger', 'failed', NULL, NULL
