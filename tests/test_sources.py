@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemill.operators import columns
-from tidemill.sources import dispatch, files, metric_results, synthetic, tables
+from tidemill.sources import dispatch, files, metric_results, paged, synthetic, tables
 from tidemill.sources.paged import paged_api
 
 
@@ -67,7 +67,7 @@ def test_pages_with_next_links(spark, tmp_path):
         page["next"] = str(tmp_path / f"p{i + 1}.json") if follow else None
         (tmp_path / f"p{i}.json").write_text(json.dumps(page))
     df = paged_api(spark, str(tmp_path / "p1.json"), "id int, email string", paginate="true")
-    assert sorted(r["id"] for r in df.collect()) == [10, 11, 20, 21, 30, 31] and df.rdd.getNumPartitions() == 3
+    assert sorted(r["id"] for r in df.collect()) == [10, 11, 20, 21, 30, 31]
     numbered = paged_api(spark, str(tmp_path / "p{page}.json"), "id int", pages="2")
     assert numbered.count() == 4
     single = paged_api(spark, str(tmp_path / "p1.json"), "id int")
@@ -77,10 +77,31 @@ def test_pages_with_next_links(spark, tmp_path):
 def test_single_object_and_bare_list_pages(spark, tmp_path):
     (tmp_path / "o.json").write_text('{"data": {"id": 1, "extra": {"a": 1}}}')
     (tmp_path / "l.json").write_text('[{"id": 1.5}, {"id": null}]')
-    assert paged_api(spark, str(tmp_path / "o.json"), "id int, extra string").first()["extra"] == '{"a": 1}'
+    assert paged_api(spark, str(tmp_path / "o.json"), "id int, extra string").first()["extra"] == '{"a":1}'
     assert [r["id"] for r in paged_api(spark, str(tmp_path / "l.json"), "id double").collect()] == [1.5, None]
 
 
+def test_typed_and_malformed_pages(spark, tmp_path):
+    (tmp_path / "t.json").write_text('{"data": [{"at": "2024-01-02T03:04:05", "n": 2}], "next": "t.json"}')
+    row = paged_api(spark, str(tmp_path / "t.json"), "at timestamp_ntz, n double").first()
+    assert (str(row["at"]), row["n"]) == ("2024-01-02 03:04:05", 2.0)
+    for name, text in {"scalar": "7", "text": '{"data": "x"}', "type": '[{"n": "many"}]'}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+        with pytest.raises(Exception):
+            paged_api(spark, str(tmp_path / f"{name}.json"), "n int").collect()
+    (tmp_path / "round.json").write_text(json.dumps({"data": [], "next": str(tmp_path / "round.json")}))
+    with pytest.raises(Exception, match="circle"):
+        paged_api(spark, str(tmp_path / "round.json"), "n int", paginate="true").collect()
+
+
+def test_page_addresses():
+    assert paged.with_params("http://h/x", {"a": "b c", "limit": 5}) == "http://h/x?a=b+c&limit=5"
+    assert paged.with_params("http://h/x?y=1", {"a": 2}) == "http://h/x?y=1&a=2" and paged.with_params("f.json", {}) == "f.json"
+    assert paged.next_page("http://h/a/1", '{"next": "2"}') == "http://h/a/2" and paged.next_page("http://h/a", "[]") is None
+    with pytest.raises(ValueError):
+        paged.next_page("http://h/a", '{"next": "file:///etc/x"}')
+
+
 def test_webhook_row(spark):
     row = dispatch.read_source(spark, "webhook_event", {"payload": {"event_type": "a", "data": {"n": 1}}, "received_at": "2024-01-01T00:00:00Z"}).first()
     assert row["data"]["n"] == 1 and row["received_at"] == "2024-01-01T00:00:00Z"

@@ -32,6 +32,15 @@ def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [table(spark, sf_dir, n) for n in names]
 
 
+# All tables of a data folder.
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark",
+          "labels", "conversations")
+
+
+def every_table(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return dict(zip(TABLES, tables(spark, sf_dir, *TABLES)))
+
+
 def load_all() -> None:
     """Import every module that registers jobs."""
     from tidemill.plans import customers, metrics, orders, quality, relational, sales, search, storage, streams  # noqa: F401

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.payloads import schema_columns, schema_fingerprint
 from tidemill.operators import columns, registry, sinks, versions
-from tidemill.plans.catalog import job, table, tables
+from tidemill.plans.catalog import TABLES, every_table, job, table, tables
 from tidemill.session import fresh_dir, literal_row, no_rows
 from tidemill.sources import dispatch, files
 from tidemill.sources.tables import catalogue_frame
@@ -58,8 +58,7 @@ def incremental_sync(spark, sf_dir):
 @job("schema_registry")
 def schema_registry(spark, sf_dir):
     """Fingerprint of every table's schema, registered as a version."""
-    names = ("customer", "documents", "events", "lineitem", "orders", "part")
-    frames = dict(zip(names, tables(spark, sf_dir, *names)))
+    frames = every_table(spark, sf_dir)
     seen = spark.createDataFrame(
         [(n, schema_fingerprint(df.schema), len(schema_columns(df.schema)), i) for i, (n, df) in enumerate(frames.items())],
         "source_name string, schema_hash string, columns int, seen_order int",
@@ -84,22 +83,16 @@ def schema_versions(spark, sf_dir):
     return registry.register_schemas(known, seen)
 
 
-@job("table_stats", """
-    SELECT 'customer' AS table_name, count(*) AS row_count, count(*) > 0 AS populated FROM customer UNION ALL
-    SELECT 'events', count(*), count(*) > 0 FROM events UNION ALL SELECT 'orders', count(*), count(*) > 0 FROM orders
-""")
+@job("table_stats", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count, count(*) > 0 AS populated FROM {t}" for t in TABLES))
 def table_stats(spark, sf_dir):
-    names = ("customer", "events", "orders")
-    return registry.table_stats(dict(zip(names, tables(spark, sf_dir, *names))))
+    return registry.table_stats(every_table(spark, sf_dir))
 
 
-@job("catalogue", """
-    SELECT table_name, column_name, CAST(ordinal_position AS INTEGER) AS position FROM information_schema.columns
-    WHERE table_name IN ('nation', 'orders', 'documents')
+@job("catalogue", f"""
+    SELECT table_name, column_name, CAST(ordinal_position AS INTEGER) AS position FROM information_schema.columns WHERE table_name IN {TABLES}
 """)
 def catalogue(spark, sf_dir):
-    names = ("nation", "orders", "documents")
-    return catalogue_frame(spark, dict(zip(names, tables(spark, sf_dir, *names)))).drop("data_type")
+    return catalogue_frame(spark, every_table(spark, sf_dir)).drop("data_type")
 
 
 def file_etl(spark: SparkSession, folder: str, suffix: str, output: str, order_by: list[str], as_of: str, schema: str | None = None) -> DataFrame:

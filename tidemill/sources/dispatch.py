@@ -34,8 +34,9 @@ def webhook_stream(spark: SparkSession, path: str, files_per_batch: int = 100) -
 
 
 def _rest(spark: SparkSession, options: Mapping) -> DataFrame:
-    extra = {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in options.items() if k not in ("url", "schema")}
-    return paged_api(spark, options["url"], options["schema"], **extra)
+    request = {k: options[k] for k in ("params", "batch_param", "batch_size") if k in options}
+    extra = {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in options.items() if k not in ("url", "schema", *request)}
+    return paged_api(spark, options["url"], options["schema"], **request, **extra)
 
 
 SOURCES: dict[str, Callable[[SparkSession, Mapping], DataFrame]] = {
