@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import random
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -9,77 +9,45 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import matching, quality
 
-AS_OF = "2025-11-13 17:00:15"
-PEOPLE = [
-    ("CUST-001", "Alice Johnson", "alice.johnson@example.com", "+1 415 555 0101", "123 Market St, San Francisco, CA", "United States", "2024-05-18T12:30:00Z"),
-    ("CUST-002", "Brian Müller", "brian.mueller@example.com", "+49 30 1234 9876", "Unter den Linden 5, Berlin", "Germany", "2024-05-10T09:20:00Z"),
-    ("CUST-003", "Carla Lopes", "carla.lopes@example.com", "+33 1 22 33 44 55", "10 Rue Oberkampf, Paris", "France", "2023-11-02T08:00:00Z"),
-    ("CUST-004", "Diego Fernández", "diego.fernandez@example.com", "+34 91 123 45 67", "Gran Via 45, Madrid", "Spain", "2022-09-14T18:40:00Z"),
-    ("CUST-005", "Emily Clark", "emily.clark@example.com", "+1 617 555 0182", "77 Massachusetts Ave, Boston, MA", "USA", "2024-01-05T14:00:00Z"),
-    ("CUST-006", "Farid Khan", "farid.khan@example.com", "+44 20 7946 0999", "221B Baker Street, London", "United Kingdom", "2019-06-12T07:15:00Z"),
-]
-
-
-def ago(days):
-    return (datetime(2025, 11, 13, 17, 0, 14) - timedelta(days=days)).isoformat() + "+00:00"
-
-
-def seven_sources(spark):
-    """Six people as seven systems know them, plus two strays."""
-    out = {k: [] for k in matching.SOURCE_TRUST}
-    for i, (cid, name, mail, phone, place, country, at) in enumerate(PEOPLE, start=1):
-        crm_mail = "c.lopes+crm@example.net" if cid == "CUST-003" else mail.replace("@example.com", "@corp.test")
-        out["billing_system"].append((cid, name, mail, phone, place, country, at))
-        out["crm_system"].append((cid, name.upper() if i % 2 == 0 else name, crm_mail, phone.replace(" ", ""), place, country, ago(30 + i)))
-        out["erp_exports"].append((cid, name, mail.upper(), phone, place, country, ago(120 + i)))
-        out["finance_excel"].append((cid, name, mail, phone, place, country, at))
-        out["marketing_automation"].append((cid, name.replace(" ", ""), mail.replace("example.com", "marketing.io"), None if i % 3 == 0 else phone, country, ago(10 + i)))
-        out["support_desk"].append((cid, f"{name} (Support)", mail, phone, place, country, ago(200 + i)))
-        out["legacy_duckdb"].append((cid, name, mail, phone, place, country, at))
-    out["marketing_automation"].append(("TMP-777", "Em Clarke", "em.clarke@marketing.io", None, "Canada", ago(2)))
-    out["support_desk"].append(("LEG-888", "Emily Clark", "emilyc@legacy-data.com", None, "Unknown", "USA", "2017-03-01T00:00:00Z"))
-    columns = {
-        "billing_system": "customer_id, customer_name, email, phone, address, country, updated_at",
-        "crm_system": "CustomerID, CustomerName, emailAddress, phone_number, mailing_address, CountryCode, last_update",
-        "erp_exports": "cust_id, cust_name, contact_email, contact_phone, street_address, country_code, modified_at",
-        "finance_excel": "customer_id, customer_full_name, email, phone, addr, country, last_touch",
-        "marketing_automation": "cust_id, customer_name, email, phone, country, updated_at",
-        "support_desk": "customer_id, customer_name, contact_email, phone, address, country, updated_at",
-        "legacy_duckdb": "customer_id, cust_name, email, phone, address, country, updated_at",
+AS_OF = "2024-07-01 00:00:00"
+
+
+def three_systems(spark):
+    """One customer known to all three systems, one without address and one of a single system."""
+    rows = {
+        "billing_system": ("customer_id, customer_name, email, phone, address, country, updated_at", [
+            ("K1", "ada moss", "Ada@Mill.example", "+1 (20) 300", "4 Pond Lane", "USA", "2024-06-21T00:00:00Z")]),
+        "crm_system": ("CustomerID, CustomerName, emailAddress, phone_number, mailing_address, CountryCode, last_update", [
+            ("K1", "ADA MOSS", " ada@mill.example", "+120300", "4 Pond Lane ", "United States", "2023-07-02T00:00:00Z"),
+            ("K3", "cy dune", "cy@mill.example", "+44 77", "9 Hill Rd", "United Kingdom", "2024-04-22T00:00:00Z")]),
+        "support_desk": ("customer_id, customer_name, contact_email, phone, address, country, updated_at", [
+            ("S9", " Ada moss", "ada@help.example", None, "4 Pond Lane", "US", None),
+            ("S10", "Bo Ferry", "bo@help.example", None, None, "France", "2024-06-30T12:00:00Z")]),
+    }
+    return {k: spark.createDataFrame(v, ", ".join(f"{c} string" for c in columns.split(", "))) for k, (columns, v) in rows.items()}
+
+
+def test_golden_records(spark):
+    golden = {r["composite_key"]: r for r in matching.golden_records(three_systems(spark), AS_OF).collect()}
+    # Six columns count: 0.7 * share + 0.3 * (1 - days / 365), or 0.2 for the recency of an unknown date.
+    want = {
+        "ada@mill.example|+120300": (round(0.7 + 0.3 * (1 - 10 / 365), 3), 1.0, "billing_system", "Ada Moss", "ada@mill.example", "US"),
+        "cy@mill.example|+4477": (round(0.7 + 0.3 * (1 - 70 / 365), 3), 1.0, "crm_system", "Cy Dune", "cy@mill.example", "GB"),
+        "S10": (round(0.7 * 4 / 6 + 0.3, 3), round(4 / 6, 6), "support_desk", "Bo Ferry", "bo@help.example", "FR"),
     }
-    return {k: spark.createDataFrame(v, ", ".join(f"{c} string" for c in columns[k].split(", "))) for k, v in out.items()}
-
-
-def test_twenty_golden_records(spark):
-    golden = {r["composite_key"]: r for r in matching.golden_records(seven_sources(spark), AS_OF).collect()}
-    assert len(golden) == 20
-    # (key, score, completeness, primary source, name, number of systems) as in the published result.
-    for key, score, share, source, name, systems in [
-        ("TMP-777", 0.765, 4 / 6, "marketing_automation", "Em Clarke", 1),
-        ("LEG-888", 0.583, 5 / 6, "support_desk", "Emily Clark", 1),
-        ("emily.clark@example.com|+16175550182", 0.897, 1.0, "billing_system", "Emily Clark", 5),
-        ("emily.clark@corp.test|+16175550182", 0.971, 1.0, "crm_system", "Emily Clark", 1),
-        ("farid.khan@corp.test|+442079460999", 0.97, 1.0, "crm_system", "Farid Khan", 1),
-        ("brian.mueller@corp.test|+493012349876", 0.974, 1.0, "crm_system", "Brian Müller", 1),
-        ("alice.johnson@example.com|+14155550101", 0.901, 1.0, "billing_system", "Alice Johnson", 5),
-        ("CUST-006", 0.754, 4 / 6, "marketing_automation", "Faridkhan", 1),
-        ("CUST-003", 0.756, 4 / 6, "marketing_automation", "Carlalopes", 1),
-        ("c.lopes+crm@example.net|+33122334455", 0.973, 1.0, "crm_system", "Carla Lopes", 1),
-        ("diego.fernandez@marketing.io|+34911234567", 0.872, 5 / 6, "marketing_automation", "Diegofernández", 1),
-        ("farid.khan@example.com|+442079460999", 0.896, 1.0, "billing_system", "Farid Khan", 5),
-    ]:
-        r = golden[key]
-        assert (r["data_quality_score"], round(r["completeness_fraction"], 6)) == (score, round(share, 6)), key
-        assert (r["primary_source"], r["customer_name"], len(r["source_systems"])) == (source, name, systems), key
-        assert r["conflict_rules_applied"] == [matching.BASE_RULE]
-    assert golden["farid.khan@example.com|+442079460999"]["country"] == "GB"
-    assert golden["LEG-888"]["last_updated_at"] == datetime(2017, 3, 1)
-    summary = matching.golden_summary(matching.golden_records(seven_sources(spark), AS_OF)).first()
-    assert (summary["records_in_golden_table"], summary["unique_sources"]) == (20, 4)
+    got = {k: (r["data_quality_score"], round(r["completeness_fraction"], 6), r["primary_source"], r["customer_name"], r["email"], r["country"])
+           for k, r in golden.items()}
+    assert got == want
+    ada = golden["ada@mill.example|+120300"]
+    assert ada["source_systems"] == ["billing_system", "crm_system", "support_desk"]
+    assert ada["conflict_rules_applied"] == [matching.BASE_RULE, f"{matching.BASE_RULE}|{matching.FUZZY_RULE}"]
+    assert ada["last_updated_at"] == datetime(2024, 6, 21) and golden["S10"]["conflict_rules_applied"] == [matching.BASE_RULE]
+    summary = matching.golden_summary(matching.golden_records(three_systems(spark), AS_OF)).first()
+    assert tuple(summary) == (3, 3, 0.9)
 
 
 def test_golden_columns(spark):
-    assert matching.golden_records(seven_sources(spark), AS_OF).columns == list(matching.GOLDEN_COLUMNS)
+    assert matching.golden_records(three_systems(spark), AS_OF).columns == list(matching.GOLDEN_COLUMNS)
 
 
 def edits(a, b):
@@ -169,7 +137,7 @@ def test_quality_score_bounds(spark):
     df = spark.createDataFrame([("1", "n", "e", "p", "a", "c", "2025-11-13 00:00:00"), ("1", None, None, None, None, None, None),
                                 (None, None, None, None, None, None, "1990-01-01 00:00:00")],
                                "customer_id string, customer_name string, email string, phone string, address string, country string, updated_at string")
-    scored = quality.record_quality(df.withColumn("updated_at", F.col("updated_at").cast("timestamp")), AS_OF)
+    scored = quality.record_quality(df.withColumn("updated_at", F.col("updated_at").cast("timestamp")), "2025-11-13 17:00:15")
     assert [r["data_quality_score"] for r in scored.collect()] == [1.0, 0.177, 0.0]
 
 
