@@ -22,8 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component under Jaccard similarity 0.9 of three-word shingles: that with the least doc_id."""
-    return group_jaccard.one_each(docs)
+    """One document of each component under Jaccard similarity 0.8 of five-word shingles: that with the least doc_id."""
+    return group_jaccard.one_each(docs, percent=80, width=5)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,6 +39,24 @@ def test_stages_keep_the_columns_and_decide(spark, stages):
     assert in_order[0].start == 0 and all(a.start + a.n_tokens == b.start for a, b in zip(in_order, in_order[1:], strict=False))
 
 
+def test_stages_follow_the_five_word_components(spark, stages):
+    toxic, near, leaks, mix, records = (s[2] for s in stages)
+    found = group_jaccard.jaccard_components(toxic, 80, 5)
+    assert near.count() == found.select("component_id").distinct().count()
+    assert qgram_leaks.find_leaks(leaks, read(spark, SMALL, "benchmark")).where("size(leaks) > 0").isEmpty()
+    assert records.count() == mix.count() == pareto_mix.pareto_mix(leaks).agg({"copies": "sum"}).first()[0]
+
+
+def test_near_copies_under_five_words_and_four_fifths_go(spark):
+    words = [f"w{k}" for k in range(100)]
+    two = [f"x{k}" if k in (30, 60) else w for k, w in enumerate(words)]  # five words 86/106, three words 92/104
+    three = [f"y{k}" if k in (20, 50, 80) else w for k, w in enumerate(words)]  # five words 81/111
+    rows = [(k, " ".join(w), "en", "s", 1) for k, w in enumerate((words, two, three))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 2]
+
+
 def test_nothing_else_imports_the_subpackage():
     for path in [*(ROOT / "tidemill").rglob("*.py"), ROOT / "bench.py"]:
         if "llm" not in path.parts:
