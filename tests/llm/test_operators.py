@@ -203,6 +203,32 @@ def test_leaks_equal_brute_force(spark):
     assert got == wanted and wanted and len({i for i, _ in wanted}) < 45
 
 
+def test_planted_parts_of_items_are_found(spark):
+    """Items and passages are known here, not how items are cut."""
+    rnd = random.Random(41)
+    word = lambda letters="abcdefghij": "".join(rnd.choice(letters) for _ in range(rnd.randrange(2, 9)))
+    exact = lambda n: (" ".join(word() for _ in range(n)) + "a")[:n]
+    items = {1: exact(179), 2: exact(400), 4: exact(24).replace(" ", "a"), 5: exact(34).replace(" ", "a"), 7: "kappa rho", 8: exact(900)}
+    items[3] = exact(40).replace(" ", "b") + " abcde " + exact(34).replace(" ", "c")
+    planted, other = [(1, items[1][:160]), (2, items[2][15:165]), (3, items[3].replace("abcde", "vwxyz")), (7, "(Kappa \n Rho)!")], [
+        "kapparho", "xkappa rho", "kappa rhos"]
+    for k in (4, 5):
+        planted += [(k, items[k]), (k, items[k][:9] + "z" + items[k][10:])]
+    for k in (1, 2, 8):
+        for _ in range(12):
+            at = rnd.randrange(len(items[k]) - 71)
+            part = list(items[k][at : at + 71])
+            for x in rnd.sample(range(71), 6):
+                part[x] = rnd.choice(["", "z", part[x] + "z"])
+            planted.append((k, "".join(part)))
+    filler = lambda: " ".join(word("lmnopqrst") for _ in range(30))
+    rows = [(n, f"{filler()} {p} {filler()}", "s") for n, p in enumerate([p for _, p in planted] + other)]
+    rows += [(1000 + n, f"{filler()} {exact(300)}", "s") for n in range(30)]
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = {r.doc_id: {x.item_id for x in r.leaks} for r in qgram_leaks.find_leaks(table(spark, rows), bench).collect()}
+    assert found == {i: {planted[i][0]} if i < len(planted) else set() for i in found} and len(found) == len(rows)
+
+
 def test_leaks_in_blocks_and_empty_tables(spark, odd, odd_rows, none, monkeypatch):
     bench = spark.createDataFrame([(k, odd_rows[0][1][k * 60 : k * 60 + 150]) for k in range(8)], "item_id long, text string")
     key = lambda df: sorted((str(r.doc_id), sorted(x.item_id for x in r.leaks)) for r in df.collect())

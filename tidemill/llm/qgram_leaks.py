@@ -10,16 +10,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import column_name, slices, stored
+from tidemill.llm.common import POWERS, column_name, mixed, slices, stored
 
-Q = 12
-WINDOW, STEP = 120, 60
+Q = 8
+#: Every part of WINDOW + STEP - 1 characters of an item holds a whole window.
+WINDOW, STEP = 64, 8
+#: Items up to WHOLE characters are searched as a whole too, longer ones in windows of LONG every LONG / 2.
+WHOLE, LONG = 180, 120
 #: Edits per character of a probe.
-RATE = 0.06
+RATE = 0.1
+#: Items with fewer characters are searched without edits, between word borders.
+SHORT = 24
 BASE = np.uint64(0x9E3779B97F4A7C15)
 TABLE_BITS = 22
-#: Probes that one scan compares; more are taken in several scans.
+#: Probes that one scan compares, about; more are taken in several scans.
 BLOCK = 40_000
+#: Pairs of places that are counted at once, about.
+PAIRS = 1_000_000
 
 HIT = T.ArrayType(T.StructType([
     T.StructField("item_id", T.LongType()), T.StructField("distance", T.IntegerType()), T.StructField("length", T.IntegerType()),
@@ -37,30 +44,29 @@ def points(text: str) -> np.ndarray:
 
 def budget(length: int) -> int:
     """Edits allowed for a probe, so that the lemma still asks for a shared q-gram."""
-    return max(0, min(int(length * RATE), (length + 1) // Q - 2))
+    return max(0, min(int(length * RATE), length // Q - 1))
 
 
 def cut(length: int) -> list[tuple[int, int]]:
-    """Places of an item's probes: the whole item up to WINDOW + STEP, else windows every STEP and one at its end."""
-    if length <= WINDOW + STEP:
-        return [(0, length)]
-    return [(a, a + WINDOW) for a in range(0, length - WINDOW, STEP)] + [(length - WINDOW, length)]
+    """Places of an item's probes: the whole item or long windows, and windows of WINDOW every STEP with one at the end."""
+    out = {(0, length)} if length <= WHOLE else {(a, a + LONG) for a in [*range(0, length - LONG, LONG // 2), length - LONG]}
+    if length > WINDOW:
+        out |= {(a, a + WINDOW) for a in [*range(0, length - WINDOW, STEP), length - WINDOW]}
+    return sorted(out)
 
 
-def probes(benchmark: DataFrame, shortest: int = 24) -> DataFrame:
-    """``item_id, probe``: the normalised passages of each item that are searched for."""
+def passages(benchmark: DataFrame) -> DataFrame:
+    """``item_id, passage, n``: the normalised items that have any character, and the number of their probes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            ids, out = [], []
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                t = normal(t or "")
-                if len(t) >= shortest:
-                    out += [t[a:b] for a, b in cut(len(t))]
-                    ids += [i] * (len(out) - len(ids))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.string())], names=["item_id", "probe"])
+            rows = [(i, normal(t or "")) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            rows = [(i, t, len(cut(len(t)))) for i, t in rows if t]
+            ids, texts, n = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string()), pa.array(n, pa.int64())],
+                                             names=["item_id", "passage", "n"])
 
-    return benchmark.select("item_id", "text").mapInArrow(run, "item_id long, probe string")
+    return benchmark.select("item_id", "text").mapInArrow(run, "item_id long, passage string, n long")
 
 
 def grams(codes: np.ndarray) -> np.ndarray:
@@ -72,40 +78,96 @@ def grams(codes: np.ndarray) -> np.ndarray:
         b2 = BASE * BASE
         h2 = c[:-1] * BASE + c[1:]
         h4 = h2[:-2] * b2 + h2[2:]
-        h8 = h4[:-4] * (b2 * b2) + h4[4:]
-        h = h8[: len(codes) - Q + 1] * (b2 * b2) + h4[8 : 8 + len(codes) - Q + 1]
+        h = h4[:-4] * (b2 * b2) + h4[4:]
         return h ^ (h >> np.uint64(29))
 
 
+class ShortIndex:
+    """Items that are searched as they are, between word borders."""
+
+    def __init__(self, rows: list[tuple[int, str]]):
+        self.items: dict[int, dict[str, list[int | None]]] = {}
+        for i, t in rows:
+            self.items.setdefault(len(t), {}).setdefault(t, []).append(i)
+        self.hashes = {n: np.sort([self._hash(points(t), n)[0] for t in of]) for n, of in self.items.items()}
+        self.in_word = np.array([chr(c).isalnum() for c in range(0x110000)]) if rows else None
+
+    @staticmethod
+    def _hash(codes: np.ndarray, n: int) -> np.ndarray:
+        """Hash of the ``n`` characters from each place."""
+        up, down = POWERS.upto(len(codes) + 1)
+        with np.errstate(over="ignore"):
+            upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)], dtype=np.uint64)])
+            return (upto[n:] - upto[: len(codes) - n + 1]) * down[: len(codes) - n + 1]
+
+    def hits(self, codes: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, int | None, int, int]]:
+        """Document, item, length and end of each occurrence."""
+        if not self.items or not len(codes):
+            return
+        word = np.concatenate([[False], self.in_word[codes], [False]])
+        border = ~(word[:-1] & word[1:])
+        for n, of in self.items.items():
+            if len(codes) < n:
+                continue
+            at = np.flatnonzero(border[: len(codes) - n + 1] & border[n:])
+            at = at[np.isin(self._hash(codes, n)[at], self.hashes[n])]
+            for a in at:
+                for item in of.get(codes[a : a + n].tobytes().decode("utf-32-le", "surrogatepass"), ()):
+                    yield int(doc[a]), item, n, int(a) + n
+
+
+def best(mine: dict, item: int | None, distance: int, length: int, end: int) -> None:
+    """Keep the probe with least distance, of these the longest, of these the first."""
+    mine[item] = min(mine.get(item, (1 << 30, 0, 0)), (distance, -length, end))
+
+
 class ProbeIndex:
-    """The q-grams of a block of probes with their places."""
+    """The q-grams of a block of items with their places, and the probes of each item."""
 
     def __init__(self, rows: list[tuple[int, str]]):
-        self.items = np.array([-1 if i is None else i for i, _ in rows], np.int64)
-        self.null = np.array([i is None for i, _ in rows], bool)
+        self.short = ShortIndex([r for r in rows if len(r[1]) < SHORT])
+        rows = [r for r in rows if len(r[1]) >= SHORT]
+        self.ids = [i for i, _ in rows]
         self.codes = [points(t) for _, t in rows]
-        self.length = np.array([len(c) for c in self.codes], np.int64)
-        self.edits = np.array([budget(n) for n in self.length], np.int64)
+        span = np.array([(j, x, y - x) for j, c in enumerate(self.codes) for x, y in cut(len(c))], np.int64).reshape(-1, 3)
+        self.item, self.begin, self.length = span[:, 0], span[:, 1], span[:, 2]
+        self.edits = np.array([budget(int(n)) for n in self.length], np.int64)
         #: The lemma: an occurrence with k edits keeps at least so many of the probe's q-grams.
         self.least = self.length + 1 - Q * (self.edits + 1)
+        #: Of each item, the most edits and the least q-grams of any probe.
+        self.most, self.fewest = np.zeros(len(rows), np.int64), np.full(len(rows), 1 << 40)
+        np.maximum.at(self.most, self.item, self.edits)
+        np.minimum.at(self.fewest, self.item, self.least)
+        #: Keeps diagonals above zero.
+        self.shift = max(map(len, self.codes), default=0) + 1
+        #: Wide and narrow probes: their numbers, item and place as one key, and their length in each item.
+        self.kinds = []
+        for of in (self.length > WINDOW, self.length <= WINDOW):
+            each, wide = np.flatnonzero(of), np.zeros(len(rows), np.int64)
+            wide[self.item[each]] = self.length[each]
+            self.kinds.append((each, self.item[each] * self.shift + self.begin[each], wide))
         each = [grams(c) for c in self.codes]
         gram = np.concatenate([*each, np.zeros(0, np.uint64)])
         order = np.argsort(gram, kind="stable")
         self.gram = gram[order]
-        self.probe = np.repeat(np.arange(len(rows)), [len(e) for e in each])[order]
+        self.of = np.repeat(np.arange(len(rows)), [len(e) for e in each])[order]
         self.place = np.concatenate([*[np.arange(len(e)) for e in each], np.zeros(0, np.int64)])[order]
         self.table = np.zeros(1 << TABLE_BITS, bool)
         self.table[(gram >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
 
-    def hits(self, codes: np.ndarray, doc: np.ndarray) -> dict[int, dict[int, tuple[int, int]]]:
-        """For each document (``doc`` numbers the characters) the items found: item → (distance, end in ``codes``).
+    def hits(self, codes: np.ndarray, doc: np.ndarray) -> dict[int, dict[int | None, tuple[int, int, int]]]:
+        """For each document (``doc`` numbers the characters) the items found: item → (distance, -length, end in ``codes``).
 
-        Places whose q-gram is a probe's are kept where they lie as densely as the easiest probe needs; each is paired
-        with the probes' places, pairs are counted per probe in overlapping diagonal bands as wide as twice
-        its edits, and bands that reach the lemma's bound are aligned.
+        Places whose q-gram is an item's are kept where they lie as densely as the easiest probe needs; each is paired
+        with the items' places. Pairs stay whose item has enough of them for its easiest probe in a band of diagonals;
+        these are counted per probe in overlapping diagonal bands as wide as twice its edits, and bands that reach the
+        lemma's bound are aligned.
         """
+        out: dict[int, dict[int | None, tuple[int, int, int]]] = {}
+        for d, item, n, end in self.short.hits(codes, doc):
+            best(out.setdefault(d, {}), item, 0, n, end)
         if not len(self.gram) or len(codes) < Q:
-            return {}
+            return out
         gram = grams(codes)
         maybe = np.flatnonzero(self.table[(gram >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
         if len(maybe):
@@ -114,45 +176,73 @@ class ProbeIndex:
             maybe, left = maybe[real], left[real]
         least, reach = int(self.least.min()), int((self.length + self.edits).max())
         if len(maybe) < least:
-            return {}
+            return out
         # a place is needed only if some stretch of `reach` characters around it has `least` such places
-        ahead = np.searchsorted(maybe, maybe + reach) - np.arange(len(maybe)) >= least
-        marks = np.zeros(len(maybe) + 1, np.int64)
         to = np.searchsorted(maybe, maybe + reach)
+        ahead = to - np.arange(len(maybe)) >= least
+        marks = np.zeros(len(maybe) + 1, np.int64)
         np.add.at(marks, np.flatnonzero(ahead), 1)
         np.add.at(marks, to[ahead], -1)
         dense = np.cumsum(marks[:-1]) > 0
         maybe, left = maybe[dense], left[dense]
         many = np.searchsorted(self.gram, gram[maybe], side="right") - left
-        at = np.repeat(maybe, many)
-        k = np.repeat(left, many) + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
-        probe, diagonal = self.probe[k], at - self.place[k]
-        step = self.edits[probe] + 1
-        bands = []
-        for shift in (0, 1):
-            band = (diagonal + WINDOW * 4) // step - shift
-            key, count = np.unique(np.stack([doc[at], probe, band]), axis=1, return_counts=True)
-            bands.append((key, count, step))
+        found = [np.zeros((3, 0), np.int64)]
+        # no occurrence goes on where a new document begins or behind a wide gap
+        edges = np.flatnonzero((np.diff(maybe) > reach) | (np.diff(doc[maybe]) > 0)) + 1
+        upto = np.cumsum(many)
+        start = 0
+        while start < len(maybe):
+            full = np.searchsorted(upto, (upto[start - 1] if start else 0) + PAIRS)
+            stop = edges[np.searchsorted(edges, max(full, start + 1))] if len(edges) and edges[-1] >= max(full, start + 1) else len(maybe)
+            n = many[start:stop]
+            at = np.repeat(maybe[start:stop], n)
+            k = np.repeat(left[start:stop], n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+            keep = self._crowded(self.of[k], at - self.place[k])
+            if keep.any():
+                found.append(self._bands(doc, at[keep], k[keep]))
+            start = stop
+        return self._aligned(codes, doc, np.concatenate(found, axis=1), out)
+
+    def _crowded(self, item: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
+        """Pairs with enough others of their item in two neighbouring cells of diagonals; cells that share a hash count together."""
+        cell = (diagonal + self.shift) // (self.most[item] + 1)
+        bits = max(10, int(4 * len(item)).bit_length())
+        here, before, after = (
+            (mixed((item * (1 << 40) + cell + d).astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64) for d in (0, -1, 1))
+        count = np.bincount(here, minlength=1 << bits)
+        return count[here] + np.maximum(count[before], count[after]) >= self.fewest[item]
+
+    def _bands(self, doc: np.ndarray, at: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """Document, probe and band wherever the lemma's bound is reached."""
+        item, place, keys = self.of[k], self.place[k], []
+        rows, wide = len(self.length), len(doc) + 2 * self.shift + 2
+        for each, starts, length in self.kinds:
+            low = np.searchsorted(starts, item * self.shift + np.maximum(place + Q - length[item], 0))
+            many = np.maximum(np.searchsorted(starts, item * self.shift + place, side="right") - low, 0)
+            pair = np.repeat(np.arange(len(at)), many)
+            probe = each[np.repeat(low, many) + np.arange(len(pair)) - np.repeat(np.cumsum(many) - many, many)]
+            band = (at[pair] - place[pair] + self.begin[probe] + self.shift) // (self.edits[probe] + 1)
+            keys.append((doc[at[pair]] * rows + probe) * wide + band)
+        key = np.concatenate(keys)
         # a band is two steps wide: its own pairs and those of the next step
-        (first, n0, _), (second, n1, _) = bands
-        both, back = np.unique(np.concatenate([first, second], axis=1), axis=1, return_inverse=True)
-        total = np.bincount(back.ravel(), np.concatenate([n0, n1]))
-        found = both[:, total >= self.least[both[1]]]
-        return self._aligned(codes, doc, found)
-
-    def _aligned(self, codes: np.ndarray, doc: np.ndarray, bands: np.ndarray) -> dict[int, dict[int, tuple[int, int]]]:
-        out: dict[int, dict[int, tuple[int, int]]] = {}
+        both, total = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+        row, band = np.divmod(both + 1, wide)
+        d, probe = np.divmod(row, rows)
+        good = total >= self.least[probe]
+        return np.stack([d, probe, band - 1])[:, good]
+
+    def _aligned(self, codes: np.ndarray, doc: np.ndarray, bands: np.ndarray, out: dict) -> dict[int, dict[int | None, tuple[int, int, int]]]:
         for m in np.unique(self.length[bands[1]]) if bands.size else ():
             group = bands[:, self.length[bands[1]] == m]
             k = budget(int(m))
             for a in range(0, group.shape[1], 2000):
                 d, p, b = group[:, a : a + 2000]
-                begin = b * (k + 1) - WINDOW * 4 - k
-                distance, end = banded(codes, doc, d, begin, np.stack([self.codes[x] for x in p]), 2 * (k + 1) + 2 * k)
-                for x, y, s, e in zip(d[distance <= k], p[distance <= k], distance[distance <= k], end[distance <= k], strict=True):
-                    mine = out.setdefault(int(x), {})
-                    item = None if self.null[y] else int(self.items[y])
-                    mine[item] = min(mine.get(item, (1 << 30, 0, 0)), (int(s), int(e), int(m)))
+                begin = b * (k + 1) - self.shift - k
+                patterns = np.stack([self.codes[self.item[x]][self.begin[x] : self.begin[x] + m] for x in p])
+                distance, end = banded(codes, doc, d, begin, patterns, 2 * (k + 1) + 2 * k)
+                near = distance <= k
+                for x, y, s, e in zip(d[near], p[near], distance[near], end[near], strict=True):
+                    best(out.setdefault(int(x), {}), self.ids[self.item[y]], int(s), int(m), int(e))
         return out
 
 
@@ -182,21 +272,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Dat
     """All rows with ``leaks`` (``leaks_`` if there is such a column) added: an array of ``item_id, distance, length, end``.
 
     A document leaks an item if some stretch of its normalised text (lower case, white space as single spaces) is
-    within the edit budget of one of the item's probes: RATE edits per character, on the whole item or, for items
-    over 180 characters, on any window of 120 characters every 60. So a copied part of 180 characters is found
-    as well as the whole. ``distance`` and ``length`` belong to the item's best probe, ``end`` is the place behind it. Items
-    under 24 normalised characters are not searched for. Null and empty texts leak nothing, repeated rows are
-    found each. Whole texts are searched; rows stay where they are, nothing is shuffled. Probes go to the tasks in blocks
-    of about ``BLOCK``, whatever their number: more blocks mean more scans, not larger ones.
+    within the edit budget of one of the item's probes: RATE edits per character, on any window of 64 characters every 8
+    and one at the end, on the whole item up to 180 characters, and on windows of 120 every 60 of longer ones. So any part
+    of 71 characters with up to 6 edits is found. Items under 24 normalised characters are found without edits, where neither
+    end cuts a word (letters and digits). ``distance`` and ``length`` belong to the item's best probe: least distance, then
+    longest, then first; ``end`` is the place behind it. Null and empty texts leak nothing, repeated rows are
+    found each. Whole texts are searched; rows stay where they are, nothing is shuffled. Items go to the tasks in blocks
+    of about ``BLOCK`` probes, whatever their number: more blocks mean more scans, not larger ones.
     """
     spark = docs.sparkSession
     name = column_name(docs, "leaks")
-    table = stored(probes(benchmark), "leak-probes")
-    blocks = max(1, -(-table.count() // BLOCK))
+    table = stored(passages(benchmark), "leak-passages")
+    blocks = max(1, -(-(table.agg(F.sum("n")).first()[0] or 0) // BLOCK))
     schema = T.StructType([*docs.schema.fields, T.StructField(name, HIT)])
     out = docs.withColumn(name, F.array().cast(HIT))
     for block in range(blocks):
-        mine = table.where(F.pmod(F.xxhash64("item_id", "probe"), F.lit(blocks)) == block).distinct()
+        mine = table.where(F.pmod(F.xxhash64("item_id", "passage"), F.lit(blocks)) == block).select("item_id", "passage").distinct()
         given = spark.sparkContext.broadcast([tuple(r) for r in mine.collect()])
         out = out.mapInArrow(_search(given, name, text), schema)
     return out
@@ -216,9 +307,9 @@ def _search(given, name: str, text: str):
             before = batch.column(where).to_pylist()
             for d, items in found.items():
                 rows = {h["item_id"]: h for h in before[d]}
-                for item, (distance, end, length) in items.items():
-                    if item not in rows or distance < rows[item]["distance"]:
-                        rows[item] = {"item_id": item, "distance": distance, "length": length, "end": int(end - start[d])}
+                for item, (distance, less, end) in items.items():
+                    new = {"item_id": item, "distance": distance, "length": -less, "end": int(end - start[d])}
+                    rows[item] = min(rows.get(item, new), new, key=lambda h: (h["distance"], -h["length"], h["end"]))
                 before[d] = [rows[i] for i in sorted(rows, key=lambda i: (i is not None, i))]
             column = pa.array(before, batch.schema.field(where).type)
             yield batch.set_column(where, batch.schema.field(where), column)
