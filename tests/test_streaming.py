@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +148,28 @@ def test_repeats_beyond_the_window_and_rows_without_key_stay(spark, per_batch):
     assert sorted(kept, key=str) == sorted([("e1", False)] * 2 + [("e2", False)] + [("x", True)] * 2 + [(None, False)] * 2, key=str)
     total = spark.read.parquet(f"{root}/stats").agg(F.sum("total"), F.sum("new"), F.sum("duplicates")).first()
     assert tuple(total) == (9, 7, 2)
+
+
+def test_hot_keys_with_many_times_build_no_lists(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("all times of a key in one row")
+
+    for name in ("collect_list", "collect_set"):
+        monkeypatch.setattr(intake.F, name, refuse)
+    monkeypatch.setattr(intake, "BLOCK_CELLS", 3)
+    rnd, root, w = random.Random(3), fresh_dir(spark, "s"), 3600
+    spread = {"dense": 20_000, "chains": 900_000, "far": 9_000_000, "old": 600_000}
+    taken, total = {k: [] for k in spread}, 0
+    for batch_id in range(3):
+        rows = [(k, rnd.randrange(-n, n), "p") for k, n in spread.items() for _ in range(500)]
+        rows += [("edge", t + batch_id * 7200, "p") for t in (0, 3600, 3601, 7200)]
+        for k, t in sorted({(k, t) for k, t, _ in rows}):
+            if all(abs(t - e) > w for e in taken.setdefault(k, [])):
+                taken[k].append(t)
+        total += len(rows)
+        batch = spark.createDataFrame(rows, "k string, s long, p string").select("k", F.timestamp_seconds("s").alias("ts"), "p").repartition(5)
+        intake.ingest_unique(root, "k", "ts", w)(batch, batch_id)
+    got = spark.read.parquet(f"{root}/accepted").select("k", F.unix_seconds("ts")).collect()
+    assert sorted(map(tuple, got)) == sorted((k, t) for k, ts in taken.items() for t in ts)
+    stats = spark.read.parquet(f"{root}/stats").agg(F.sum("total"), F.sum("new")).first()
+    assert tuple(stats) == (total, len(got))

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, StructType
@@ -23,6 +25,8 @@ DEDUP_WINDOW = "1 hour"
 DEDUP_SECONDS = 3600
 #: Lateness under which no row of stored files is late.
 REPLAY = "36500 days"
+#: Cells of time, as long as the dedup window, that are ordered together.
+BLOCK_CELLS = 1024
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet", files_per_batch: int = 100,
@@ -116,43 +120,97 @@ def route(path: str, error: Column, key: str, payload: str, good_columns: Sequen
     return write
 
 
+def _cells(times: DataFrame, key: str, micros: int) -> DataFrame:
+    """``key, _cell, _start`` of each cell that has times: the first time of the chain that its times belong to.
+
+    A chain is cut where nothing follows within the window, which two neighbouring cells show. The start
+    is looked up among the cells of a block, and beyond it among the blocks of the key.
+    """
+    cells = times.groupBy(key, "_cell").agg(F.min("_t").alias("_low"), F.max("_t").alias("_high"))
+    before = cells.select(key, (F.col("_cell") + 1).alias("_cell"), F.col("_high").alias("_before"))
+    alone = F.col("_before").isNull() | (F.col("_low") - F.col("_before") > micros)
+    heads = cells.join(before, [key, "_cell"], "left").select(
+        key, "_cell", F.floor(F.col("_cell") / BLOCK_CELLS).alias("_block"), F.when(alone, F.col("_low")).alias("_head"))
+    inside = Window.partitionBy(key, "_block").orderBy("_cell")
+    earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = heads.groupBy(key, "_block").agg(F.max("_head").alias("_last")).select(key, "_block", F.max("_last").over(earlier).alias("_carried"))
+    return heads.withColumn("_own", F.max("_head").over(inside)).join(blocks, [key, "_block"]).select(
+        key, "_cell", F.coalesce("_own", "_carried").alias("_start"))
+
+
+def _accept(micros: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of sorted chains, the times farther than the window from the last one accepted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = 0
+        for batch in batches:
+            t, start = (batch.column(k).to_numpy() for k in (1, 2))
+            keep = t == start  # the first of a chain
+            ends = np.append(np.flatnonzero(keep), len(t))
+            if ends[0]:
+                ends = np.append(0, ends)
+            for i, end in zip(ends[:-1], ends[1:], strict=True):
+                if keep[i]:
+                    last, i = t[i], i + 1
+                while i < end:
+                    i += np.searchsorted(t[i:end], last + micros, side="right")
+                    if i < end:
+                        keep[i], last = True, t[i]
+                        i += 1
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    return run
+
+
 def ingest_unique(path: str, key: str, ts: str, seconds: int = DEDUP_SECONDS) -> Callable[[DataFrame, int], None]:
     """Writer that keeps rows whose key has no accepted row within ``seconds`` before or after, with statistics per batch.
 
     A key's rows are taken by time: each is accepted unless an accepted one, of this batch or an earlier, is within the
     window. Rows of one key and time collapse by a partial aggregation first. Accepted keys of earlier batches come
     from their folders, pruned by event time. Rows without key or time are no duplicates of anything and stay.
+
+    Only keys and times are put in order. Time is cut into cells, so wide that all times of a cell are within the
+    window of each other; earlier accepted rows meet times of their own and the neighbouring cells. The times left are cut
+    into chains by gaps above the window. A task streams through its chains and holds one accepted time; chains of
+    one key are spread over tasks, and a single chain without a gap is read by one task.
     """
+    micros = seconds * 1_000_000
+
+    def cell(t: str) -> Column:
+        return F.expr(f"({t} - pmod({t}, {micros + 1}L)) div {micros + 1}L")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         others = [c for c in batch.columns if c not in (key, ts)]
         known = F.col(key).isNotNull() & F.col(ts).isNotNull()
         rest = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("_none"))
-        each = batch.filter(known).groupBy(key, ts).agg(F.min_by(rest, F.xxhash64(*(others or [key]))).alias("_o"), F.count(F.lit(1)).alias("_copies"))
-        lists = each.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(ts, "_copies", "_o")), lambda x, y: (
-            F.when(x[ts] < y[ts], -1).when(x[ts] > y[ts], 1).otherwise(0))).alias("_rows"))
+        at = F.unix_micros(F.col(ts).cast("timestamp")).alias("_t")
+        times = batch.filter(known).select(key, at).distinct().withColumn("_cell", cell("_t"))
         accepted = f"{path}/accepted"
-        none = F.array().cast("array<timestamp>")
         if batch_id > 0:
-            span = each.agg(F.min(ts), F.max(ts)).first()
+            span = batch.filter(known).agg(F.min(ts), F.max(ts)).first()
             earlier = spark.read.schema(batch.schema.add("batch_id", IntegerType())).parquet(accepted).filter(
                 (F.col("batch_id") < batch_id) & F.col(key).isNotNull())
             if span[0] is not None:
                 reach = F.expr(f"INTERVAL {seconds} SECONDS")
                 earlier = earlier.filter((F.col(ts) >= F.lit(span[0]) - reach) & (F.col(ts) <= F.lit(span[1]) + reach))
-            seen = earlier.groupBy(key).agg(F.collect_set(F.col(ts).cast("timestamp")).alias("_seen"))
-            lists = lists.join(seen, key, "left").withColumn("_seen", F.coalesce("_seen", none))
-        else:
-            lists = lists.withColumn("_seen", none)
-        micros = lambda c: F.unix_micros(c.cast("timestamp"))
-        near = lambda taken, t: F.exists(taken, lambda e: F.abs(micros(e) - micros(t)) <= seconds * 1_000_000)
-        times = F.aggregate("_rows", F.col("_seen"), lambda taken, r: F.when(
-            near(taken, r[ts]), taken).otherwise(F.concat(taken, F.array(r[ts].cast("timestamp")))))
-        marked = lists.withColumn("_new", F.array_except(times, "_seen")).select(key, "_new", F.explode("_rows").alias("_r"))
-        tagged = marked.select(
-            key, F.col(f"_r.{ts}").alias(ts), *[F.col(f"_r._o.{c}").alias(c) for c in others], F.col("_r._copies").alias("_copies"),
-            F.array_contains("_new", F.col(f"_r.{ts}").cast("timestamp")).alias("_new"))
+            met = earlier.filter(F.col(ts).isNotNull()).select(key, at).withColumn("_own", cell("_t")).withColumn(
+                "_cell", F.explode(F.array(*[F.col("_own") + d for d in (-1, 0, 1)])))
+            seen = met.groupBy(key, "_cell").agg(
+                F.max(F.when(F.col("_own") <= F.col("_cell"), F.col("_t"))).alias("_below"),
+                F.min(F.when(F.col("_own") >= F.col("_cell"), F.col("_t"))).alias("_above"))
+            # one of the same cell is near in any case, and then is the greatest below or the least above
+            far = lambda c: F.coalesce(F.abs(F.col("_t") - F.col(c)) > micros, F.lit(True))
+            times = times.join(seen, [key, "_cell"], "left").filter(far("_below") & far("_above")).select(key, "_t", "_cell")
+        left = f"{path}/times/batch_id={batch_id}"
+        times.write.mode("overwrite").parquet(left)
+        times = spark.read.schema(times.schema).parquet(left)
+        chains = times.join(_cells(times, key, micros), [key, "_cell"]).select(key, "_t", "_start")
+        fresh_times = chains.repartition(key, "_start").sortWithinPartitions(key, "_start", "_t").mapInArrow(
+            _accept(micros), chains.select(key, "_t").schema).withColumn("_new", F.lit(True))
+        each = batch.filter(known).groupBy(key, ts).agg(F.min_by(rest, F.xxhash64(*(others or [key]))).alias("_o"), F.count(F.lit(1)).alias("_copies"))
+        tagged = each.withColumn("_t", at).join(fresh_times, [key, "_t"], "left").select(
+            key, ts, *[F.col(f"_o.{c}").alias(c) for c in others], "_copies", F.coalesce("_new", F.lit(False)).alias("_new"))
         tagged = tagged.unionByName(batch.filter(~known).select("*", F.lit(1).cast("long").alias("_copies"), F.lit(True).alias("_new")))
         staged = f"{path}/tagged/batch_id={batch_id}"
         tagged.write.mode("overwrite").parquet(staged)
