@@ -94,6 +94,14 @@ def test_rules_find_the_planted_condition(spark):
     assert nothing.rules == [] and found.where(nothing.keeps()).count() == 400
 
 
+def test_rules_go_on_while_bad_rows_are_left(spark):
+    kinds = [f"f{k}" for k in range(10)]
+    rows = [(i, i % 20 < 10, *[float(i % 20 == k) for k in range(10)]) for i in range(4000)]
+    found = spark.createDataFrame(rows, "doc_id long, bad boolean, " + ", ".join(f"{f} double" for f in kinds))
+    rules = quality_rules.learn_rules(found, F.col("bad"), features=kinds, salt=F.col("doc_id"))
+    assert len(rules.rules) == 10 and found.where(F.col("bad") == rules.keeps()).isEmpty()
+
+
 def test_rules_on_odd_tables(odd, none):
     assert quality_rules.text_statistics(none).count() == 0
     assert quality_rules.learn_rules(quality_rules.text_statistics(none), F.lit(True)).rules == []

@@ -133,7 +133,6 @@ def learn_rules(
     bad: Column,
     features: tuple[str, ...] = FEATURES,
     cuts: int = 32,
-    max_rules: int = 8,
     max_conditions: int = 3,
     min_support: int = 8,
     min_precision: float = 0.8,
@@ -182,7 +181,7 @@ def learn_rules(
 
     rules: list[list[tuple[str, bool, int]]] = []
     open_rows = table
-    while len(rules) < max_rules:
+    while True:  # each accepted rule covers at least min_support bad rows
         rule, rows = [], open_rows.where("_grow")
         for _ in range(max_conditions):
             tables = counted(rows)
