@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.chat_events import digests, format_conversations, message_events
 from tidemill.llm.common import read, stored
+from tidemill.llm.fill_middle import fill_in_middle, restored
 from tidemill.llm.group_jaccard import jaccard_components
 from tidemill.llm.histogram_shards import shard_by_bytes
 from tidemill.llm.pareto_mix import pareto_mix
@@ -185,3 +186,33 @@ def op6_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of all documents without strings of 200 bytes that start more than once."""
     left = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@job
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut at two ranks of their boundary index, put together again, and rebuilt from the output."""
+    made = fill_in_middle(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "fim.*")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+SQL["op11_fill_middle"] = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w FROM documents),
+h AS (
+  SELECT doc_id, text, w, CAST(len(w) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+    CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM t),
+f AS (
+  SELECT doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b, w,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+c AS (
+  SELECT doc_id, n, form, text, array_to_string(w[1:a], '') AS p, array_to_string(w[a + 1:b], '') AS m,
+    array_to_string(w[b + 1:n], '') AS s FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM c
+"""
