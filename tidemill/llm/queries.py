@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.chat_events import digests, format_conversations, message_events
 from tidemill.llm.common import read, stored
+from tidemill.llm.conversation_trie import borrowed_starts, numbered_turns, prefix_trie
 from tidemill.llm.fill_middle import fill_in_middle, restored
 from tidemill.llm.group_jaccard import jaccard_components
 from tidemill.llm.histogram_shards import shard_by_bytes
@@ -216,3 +217,44 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT)
     ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
 FROM c
 """
+
+@job
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the prefix trie of all conversations, each rebuilt on the first turns of another."""
+    return prefix_trie(*borrowed_starts(numbered_turns(read(spark, sf_dir, "conversations"))))
+
+
+SQL["op13_conversation_trie"] = r"""
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS r
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s FROM own),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+      range(1, length(s) + 1), lambda i: list_concat([CAST(ascii(s[i]) AS BIGINT)], [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295) % 4 AS h
+  FROM ids),
+turns AS (
+  SELECT c.conv_id, o.role, o.text, 0 AS part, o.r FROM convs c JOIN own o ON o.conv_id = c.base AND o.r <= c.h
+  UNION ALL SELECT c.conv_id, o.role, o.text, 1, o.r FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.r > c.h),
+lists AS (
+  SELECT c.conv_id, coalesce(list(md5(role) || md5(text) ORDER BY part, r) FILTER (role IS NOT NULL), []) AS l,
+    list(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) ORDER BY part, r) AS w
+  FROM convs c LEFT JOIN turns t ON t.conv_id = c.conv_id GROUP BY c.conv_id),
+starts AS (SELECT conv_id, l, w, unnest(range(0, len(l) + 1)) AS d FROM lists),
+nodes AS (
+  SELECT d, array_to_string(l[1:d], ',') AS key, min(conv_id) AS conv_id, count(*) AS n_convs, max(CASE WHEN d > 0 THEN w[d] ELSE 0 END) AS words,
+    max(array_to_string(l[1:d - 1], ',')) AS up, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(l) = d) AS ends
+  FROM starts GROUP BY d, array_to_string(l[1:d], ',')),
+kids AS (SELECT d - 1 AS d, up AS key, count(*) AS n FROM nodes WHERE d > 0 GROUP BY d, up),
+known AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k ON k.d = n.d AND k.key = n.key),
+above AS (
+  SELECT k.n_children, k.n_convs, k.words, unnest(range(0, k.d + 1)) AS e, l.l FROM known k JOIN lists l ON l.conv_id = k.conv_id),
+sums AS (
+  SELECT e AS d, array_to_string(l[1:e], ',') AS key, count(*) FILTER (n_children = 0) AS n_leaves,
+    CAST(sum((n_convs - 1) * words) AS BIGINT) AS saved_tokens FROM above GROUP BY 1, 2)
+SELECT k.conv_id, k.d AS depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children, s.n_leaves, s.saved_tokens,
+  sha256(coalesce(k.ends, '')) AS ends_sha256
+FROM known k JOIN sums s ON s.d = k.d AND s.key = k.key LEFT JOIN nodes p ON k.d > 0 AND p.d = k.d - 1 AND p.key = k.up
+"""
