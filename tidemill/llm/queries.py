@@ -11,6 +11,7 @@ from tidemill.llm.conversation_trie import borrowed_starts, numbered_turns, pref
 from tidemill.llm.fill_middle import fill_in_middle, restored
 from tidemill.llm.group_jaccard import jaccard_components
 from tidemill.llm.histogram_shards import shard_by_bytes
+from tidemill.llm.length_packing import pack_documents, step_groups
 from tidemill.llm.pareto_mix import pareto_mix
 from tidemill.llm.prefix_counts import token_counts
 from tidemill.llm.qgram_leaks import find_leaks
@@ -28,10 +29,10 @@ def job(fn):
     return fn
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @job
@@ -258,3 +259,11 @@ SELECT k.conv_id, k.d AS depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_chil
   sha256(coalesce(k.ends, '')) AS ends_sha256
 FROM known k JOIN sums s ON s.d = k.d AND s.key = k.key LEFT JOIN nodes p ON k.d > 0 AND p.d = k.d - 1 AND p.key = k.up
 """
+
+@job
+def op12_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of four lengths, numbered through and dealt to steps."""
+    pieces = pack_documents(read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
+    groups = step_groups(pieces).select("sequence", "sequence_id", "step")
+    return pieces.join(groups, "sequence").select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step")
