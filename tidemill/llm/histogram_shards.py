@@ -129,10 +129,10 @@ def shard_by_bytes(
     placed = keyed.withColumn(shard, place(_digits(high, low))).withColumn(cell, part(F.col(low)))
     order = column_name(placed, "tie_order")
     inside = Window.partitionBy(shard, cell).orderBy(low, order)
-    skip = column_name(placed, "skip")
     numbered = placed.withColumn(order, tie).withColumn(slot, F.row_number().over(inside) - 1)
+    skip, of_shard, of_cell = (column_name(numbered, x) for x in ("skip", "of_shard", "of_cell"))
     joined = numbered.join(
-        cells.select(F.col("s").alias(f"{skip}s"), F.col("c").alias(f"{skip}c"), F.col("skip").alias(skip)),
-        (F.col(shard) == F.col(f"{skip}s")) & (F.col(cell) == F.col(f"{skip}c")),
+        cells.select(F.col("s").alias(of_shard), F.col("c").alias(of_cell), F.col("skip").alias(skip)),
+        (F.col(shard) == F.col(of_shard)) & (F.col(cell) == F.col(of_cell)),
     )
     return joined.select(*rows.columns, F.col(shard).cast("int").alias(shard), (F.col(slot) + F.col(skip)).alias(slot))
