@@ -289,11 +289,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", group: int = GROUP) -> D
     if not classes.where("low <> high").isEmpty():
         raise ValueError("two texts share a digest")
     whole = classes.where("copies > 1").select("digest", F.lit(True).alias("whole"))
+    of, all_of_it, parts = (column_name(with_digest, x) for x in ("of", "whole", "spans"))
     known = stored(spans.join(whole, "digest", "full").select(
-        F.col("digest").alias("of"), F.coalesce("whole", F.lit(False)).alias("whole"),
-        F.when(F.col("whole").isNull(), F.col("spans")).alias("spans")), "repeat-known")
+        F.col("digest").alias(of), F.coalesce("whole", F.lit(False)).alias(all_of_it),
+        F.when(F.col("whole").isNull(), F.col("spans")).alias(parts)), "repeat-known")
     discard(spans, classes)
-    both = with_digest.join(known, F.col(digest) == F.col("of"), "left").select(*rest, text, "whole", "spans")
+    both = with_digest.join(known, F.col(digest) == F.col(of), "left").select(*rest, text, all_of_it, parts)
     return _cut(both, rest, text, [n_bytes, n_removed, n_spans, kept])
 
 
