@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import stored
@@ -44,18 +44,30 @@ def parsed(piece: str) -> tuple[str, str]:
 def message_events(rows: DataFrame, delta_chars: int = 4096) -> DataFrame:
     """Rows ``conv_id, turn, role, text`` as an event log: a message opens and its text streams in deltas.
 
-    Messages of one turn get a rank by role and text, so repeated rows stay apart. Null text is empty.
+    By a hash of the message a quarter of them were written twice: a draft streams first and is then edited into the first part of
+    the text, which streams on; another quarter were regenerated: a first answer streams, is discarded, and the text follows.
+    Messages of one turn get a rank by role and text, so repeated rows stay apart. Null text is empty. The sequence of an
+    event is the struct (turn, rank, n), null turns first, so turns may be any longs.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     by_turn = Window.partitionBy("conv_id", "turn").orderBy("role", text)
     ranked = rows.select("conv_id", "turn", "role", text.alias("text")).withColumn("rank", F.row_number().over(by_turn))
     count = F.ceil(F.length("text") / delta_chars).cast("int")
-    parts = F.transform(F.sequence(F.lit(0), count), lambda i: F.struct(
-        i.alias("n"), F.when(i > 0, F.substr("text", (i - 1) * delta_chars + 1, F.lit(delta_chars))).alias("text")))
-    base = F.coalesce(F.col("turn"), F.lit(-1)) * (1 << 32) + F.col("rank") * (1 << 20)
-    return ranked.select(*KEY, "role", F.explode(parts).alias("p")).select(
-        *KEY, (base + F.col("p.n")).alias("seq"), F.when(F.col("p.n") == 0, "open").otherwise("delta").alias("kind"),
-        "role", F.col("p.text").alias("text"))
+    way = F.pmod(F.xxhash64(*KEY), F.lit(4))
+    part = lambda i: F.substr("text", (i - 1) * delta_chars + 1, F.lit(delta_chars))
+    event = lambda n, kind, body: F.struct(n.cast("int").alias("n"), kind.alias("kind"), body.cast("string").alias("text"))
+    one = F.lit(1)
+    opening = F.array(event(F.lit(0), F.lit("open"), F.lit(None)))
+    draft = event(one, F.lit("delta"), F.reverse(F.substr("text", one, F.lit(64))))
+    edited = F.array(draft, event(F.lit(2), F.lit("edit"), part(one)))
+    again = F.array(draft, event(F.lit(2), F.lit("regenerate"), F.lit(None)))
+    deltas = lambda first: F.transform(
+        F.when(count >= first, F.sequence(F.lit(first), count)).otherwise(F.array().cast("array<int>")),
+        lambda i: event(i + 2, F.lit("delta"), part(i)))
+    log = F.when((way == 1) & (count > 0), F.concat(opening, edited, deltas(2))).when(
+        way == 2, F.concat(opening, again, deltas(1))).otherwise(F.concat(opening, deltas(1)))
+    return ranked.select(*KEY, "role", F.explode(log).alias("p")).select(
+        *KEY, F.struct("turn", "rank", "p.n").alias("seq"), F.col("p.kind").alias("kind"), "role", F.col("p.text").alias("text"))
 
 
 def reconstruct(events: DataFrame) -> DataFrame:
@@ -67,7 +79,7 @@ def reconstruct(events: DataFrame) -> DataFrame:
     so that one endless conversation spreads over tasks, sorted by sequence, and folded in one pass that keeps
     one message at a time. Events of equal sequence are taken by kind and text. Other kinds end the job. A null
     turn comes before all others, null text is empty, a null role is the empty role; messages whose every event
-    was dropped are absent.
+    was dropped are absent. ``seq`` may be of any type that Spark orders.
     """
     at = F.coalesce(F.col("turn"), F.lit(-(1 << 62)))
     log = events.withColumn("at", at)
@@ -83,7 +95,7 @@ def reconstruct(events: DataFrame) -> DataFrame:
         key, role, parts, out = None, None, [], []
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
-            for conv, turn, rank, _, kind, who, text in zip(*columns, strict=True):
+            for conv, turn, rank, kind, who, text in zip(*columns, strict=True):
                 if (conv, turn, rank) != key:
                     if key is not None:
                         out.append((*key, role or "", "".join(parts)))
@@ -106,7 +118,7 @@ def reconstruct(events: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[*KEY, "role", "text"])
 
-    ordered = dealt.sortWithinPartitions(*KEY, "seq", "kind", "text")
+    ordered = dealt.sortWithinPartitions(*KEY, "seq", "kind", "text").drop("seq")
     return ordered.mapInArrow(fold, "conv_id long, turn long, rank int, role string, text string")
 
 
@@ -176,14 +188,3 @@ def digests(pieces: DataFrame) -> DataFrame:
 def format_conversations(events: DataFrame) -> DataFrame:
     """Rendered pieces of an event log, written to the shared folder."""
     return stored(render(reconstruct(events)), "chat-pieces")
-
-
-def whole(pieces: DataFrame, limit: int = 1 << 16) -> DataFrame:
-    """One string per conversation, for those of at most ``limit`` pieces; longer ones stay pieces (``formatted`` null)."""
-    order: Column = F.sort_array(F.collect_list(F.struct("turn", "rank", "piece")))
-    small = pieces.groupBy("conv_id").count()
-    marked = pieces.join(small.withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c")))
-    text = F.array_join(F.transform(order, lambda p: p["piece"]), "")
-    short = marked.where(F.col("count") <= limit).groupBy("conv_id").agg(text.alias("formatted"))
-    long = small.where(F.col("count") > limit).select("conv_id", F.lit(None).cast("string").alias("formatted"))
-    return short.unionByName(long)
