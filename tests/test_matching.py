@@ -3,11 +3,12 @@ from __future__ import annotations
 import random
 from datetime import datetime
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemill.operators import matching, quality
+from tidemill.operators import matching, quality, segments, word_match
 
 AS_OF = "2024-07-01 00:00:00"
 
@@ -172,3 +173,66 @@ def test_best_match_equals_brute_force(spark):
     got = matching.best_fuzzy_match(spark.createDataFrame([(a,) for a in left], "t string"), df, "t", "k")
     assert {r["t"]: (r["matched_key"], r["score"]) for r in got.collect()} == want
     assert any(score < 95 for _, score in want.values())
+
+
+def word_score(a, b):
+    """The greatest of the four scores of :func:`word_match.word_pairs`, by their definitions."""
+    ratio = lambda x, y: 100.0 * (max(len(x), len(y)) - edits(x, y)) / max(len(x), len(y))
+    words = [[w for w in t.split(" ") if w] for t in (a, b)]
+    forms = [" ".join(sorted(w)) for w in words]
+    weight = [sum(map(len, set(w))) for w in words]
+    both = sum(map(len, set(words[0]) & set(words[1])))
+    out = [ratio(a, b), 0.95 * ratio(*forms), 0.95 * max(100.0 * both / n for n in weight)]
+    short, long = sorted((a, b), key=len)
+    if len(short) >= 4 and len(long) >= 1.5 * len(short):
+        windows = {long[i : i + n] for i in range(len(long)) for n in range(max(1, len(short) - 4), len(short) + 5)}
+        out.append(0.9 * (100.0 * (len(short) - min(len(short), *(edits(short, w) for w in windows))) / len(short)))
+    return max(out)
+
+
+def test_word_pairs_equal_brute_force(spark):
+    rng = random.Random(9)
+    names = ["Emily", "Clark", "Jane", "van", "der", "Berg", "Street", "77", "Massachusetts", "Ave", "o", "Ave"]
+    base = [" ".join(rng.sample(names, rng.randint(1, 7))) for _ in range(40)]
+    left = {"Clark Emily", "Emily Jane Clark", "  ", "Berg", "abc"} | set(base[:15])
+    for t in base:
+        words = t.split()
+        rng.shuffle(words)
+        k = rng.randrange(len(t))
+        left |= {" ".join(words), t[:k] + rng.choice("xyz") + t[k + 1 :], f"to the attention of {t}, who moved", " ".join(words[1:]) or "z"}
+    right = {"Emily Clark", "", "abc def ghi", *base}
+    want = {(a, b): s for a in left for b in right if a.strip() and b.strip() and (s := word_score(a, b)) >= 85}
+    l, r = (spark.createDataFrame([(t,) for t in sorted(side)], f"{c} string") for c, side in (("l", left), ("r", right)))
+    got = {(x.l, x.r): x.score for x in word_match.word_pairs(l, r).collect()}
+    assert got == pytest.approx(want) and got[("Clark Emily", "Emily Clark")] == 95.0 and len(want) > 150
+    assert word_match.word_pairs(l.limit(0), r).isEmpty()
+
+
+def test_words_match_best_and_smallest_key(spark):
+    left = spark.createDataFrame([("Clark Emily",), ("nobody",), ("Bo Li",), (" ",), (None,)], "t string")
+    right = spark.createDataFrame([("Emily Clark", "b"), ("Emily Clark", "a"), ("Bo Li", "x"), ("Li Bo", "c"), (None, "n")], "t string, k string")
+    got = {r.t: (r.matched_key, r.score) for r in word_match.best_word_match(left, right, "t", "k").collect()}
+    assert got == {"Clark Emily": ("a", 95.0), "Bo Li": ("x", 100.0)}
+    with pytest.raises(ValueError, match="percent"):
+        word_match.word_pairs(left, right, 50)
+
+
+def test_reordered_names_take_the_key(spark):
+    columns = "customer_id string, customer_name string, address string, composite_key string, conflict_rules_applied string"
+    rows = [("1", "Emily Clark", "77 Massachusetts Ave, Boston", "e|1", "r"), ("2", "Clark Emily", "Boston, 77 Massachusetts Ave", None, "r"),
+            ("3", "Emil Stark", "1 Other Road, Paris", None, "r")]
+    df = spark.createDataFrame(rows, columns)
+    assert word_score("Emily Clark|77 Massachusetts Ave, Boston", "Emily Clark|Boston, 77 Massachusetts Ave") < 95
+    got = {r.customer_id: r.composite_key for r in matching.finalize_keys(df.replace("Clark Emily", "Emily Clark")).collect()}
+    assert got["1"] == "e|1" and got["3"] == "3"
+
+
+def test_candidates_of_described_parts_are_few(spark):
+    """Pairs that reach a comparison, whole table: structured texts that share most of their words."""
+    part = spark.read.parquet("/root/testdata/sf0.01/part.parquet")
+    right = part.select(F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("r")).distinct()
+    left = right.select(F.replace(F.replace("r", F.lit("e"), F.lit("")), F.lit("Brand"), F.lit("brnd")).alias("l")).distinct()
+    most = lambda n: F.floor(n * 15 / 100).cast("int")
+    longest = lambda n: F.floor(n * 100 / 85).cast("int")
+    met = segments.segment_candidates(left, right, 20, longest, most)
+    assert met.count() < 25 * left.count()  # of 1,789 partners each

@@ -13,6 +13,8 @@ from tidemill.functions.values import contact_key, joined_sorted, mapped, prefix
 from tidemill.operators.columns import add_missing, canonical_first, rename_by_alias
 from tidemill.operators.joins import union_diagonal
 from tidemill.operators.quality import record_quality
+from tidemill.operators.similar import MATCH_PERCENT, SHORT, similar_strings
+from tidemill.operators.word_match import best_word_match
 from tidemill.session import ensure_checkpoint_dir
 
 # Trust of each source system (unknown systems have 0).
@@ -48,7 +50,6 @@ COUNTRY_CODES = {
     "UK": "GB", "United Kingdom": "GB",
 }
 
-MATCH_PERCENT = 85
 FUZZY_RULE = "fuzzy_name_address_match"
 BASE_RULE = "schema_normalization"
 
@@ -83,111 +84,6 @@ def standardize(df: DataFrame) -> DataFrame:
     return cleaned.withColumn("composite_key", contact_key(F.col("email"), F.col("phone")))
 
 
-SHORT = 19  # up to this length 85 percent allow at most two edits
-GRAM = 3
-
-
-def _without_up_to_two(df: DataFrame, text: str, radius: Column) -> DataFrame:
-    """``(text, variant)`` for every way to delete up to ``radius`` (0 to 2) characters."""
-    s, i, j = F.col(text), F.col("_i"), F.col("_j")
-    spots = (
-        df.select(text, F.length(text).alias("_n"), radius.alias("_d"))
-        .select("*", F.explode(F.sequence(F.lit(0), F.when(F.col("_d") == 2, F.col("_n")).otherwise(0))).alias("_i"))
-        .select("*", F.explode(F.sequence("_i", F.when(F.col("_d") >= 1, F.col("_n")).otherwise(0))).alias("_j"))
-        .filter((i == 0) | (i < j))
-    )
-    before = F.when(i > 0, s.substr(F.lit(1), i - 1)).otherwise("")
-    between = F.when(j > 0, s.substr(i + 1, j - i - 1)).otherwise(s)
-    after = F.when(j > 0, s.substr(j + 1, F.col("_n"))).otherwise("")
-    return spots.select(text, F.concat(before, between, after).alias("_variant")).distinct()
-
-
-def _rare_grams(strings: DataFrame, budget: Column) -> DataFrame:
-    """``(side, s, key)``: the rarest distinct grams of each string, as many as edits could destroy plus one.
-
-    Strings with too few different grams to guarantee a shared one also get an
-    empty key. Both sides are ranked by the same counts.
-    """
-    n = F.length("s")
-    pieces = F.transform(F.sequence(F.lit(1), F.greatest(n - (GRAM - 1), F.lit(1))), lambda p: F.col("s").substr(p, F.lit(GRAM)))
-    listed = strings.select("side", "s", F.explode(F.array_distinct(pieces)).alias("gram"))
-    counts = listed.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    # One short list per string: it has at most as many entries as the string has characters.
-    ordered = listed.join(counts, "gram").groupBy("side", "s").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("all"))
-    wanted = budget * GRAM
-    head = F.transform(F.slice("all", F.lit(1), wanted + 1), lambda e: e["gram"])
-    keys = F.when(F.size("all") <= wanted, F.concat(head, F.array(F.lit("")))).otherwise(head)
-    return ordered.select("side", "s", F.explode(keys).alias("key"))
-
-
-def similar_strings(left: DataFrame, right: DataFrame, min_percent: int | None = None,
-                    max_distance: int | None = None) -> DataFrame:
-    """All pairs of strings ``(l, r, distance)`` within an edit-distance limit, without comparing all pairs.
-
-    ``left`` has one column ``l`` and ``right`` one column ``r``, both distinct.
-    The limit is ``max_distance`` (at most 2) edits, or
-    ``100 * (1 - distance / longer length) >= min_percent`` (at least 85), or both. The result is exact:
-
-    * Two short strings within two edits become equal when each loses at most two
-      characters, so their deletion variants are equi-joined.
-    * Longer ones share a gram among their rarest, because an edit destroys at
-      most ``GRAM`` grams. Taking the rarest first keeps common phrases out of
-      the join keys. An action: the keys of both sides are checkpointed.
-    """
-    if min_percent is None and max_distance is None:
-        raise ValueError("give min_percent, max_distance or both")
-    if (max_distance or 0) > 2 or (min_percent is not None and min_percent < MATCH_PERCENT):
-        raise ValueError(f"limits are two edits or {MATCH_PERCENT} percent")
-
-    def longest(n: Column) -> Column:
-        """Length of the longest possible partner."""
-        limits = []
-        if max_distance is not None:
-            limits.append(n + max_distance)
-        if min_percent is not None:
-            limits.append(F.floor(n * 100 / min_percent).cast("int"))
-        return F.least(*limits) if len(limits) > 1 else limits[0]
-
-    def most_edits(n: Column) -> Column:
-        """Edits allowed when the longer string has length ``n``."""
-        limits = []
-        if max_distance is not None:
-            limits.append(F.lit(max_distance))
-        if min_percent is not None:
-            limits.append(F.floor(n * (100 - min_percent) / 100).cast("int"))
-        return F.least(*limits) if len(limits) > 1 else limits[0]
-
-    def budget(n: Column) -> Column:
-        """Most edits that a pair with a string of this length may have."""
-        return most_edits(longest(n))
-
-    longer = F.greatest(F.length("l"), F.length("r"))
-    allowed = most_edits(longer)
-
-    def checked(pairs: DataFrame, sizes: Column) -> DataFrame:
-        # With a limit the distance is -1 beyond it, and stops early.
-        limited = F.call_function("levenshtein", F.col("l"), F.col("r"), allowed)
-        return pairs.filter(sizes).select("l", "r", limited.alias("distance")).filter(F.col("distance") >= 0)
-
-    def short(df: DataFrame, c: str) -> DataFrame:
-        return _without_up_to_two(df.filter(F.length(c) <= SHORT), c, F.least(F.lit(2), budget(F.length(c))))
-
-    # Keys are few, candidates many: the left side is spread by a fixed number of partitions before it multiplies.
-    spread = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = checked(short(left, "l").repartition(spread, "l").join(short(right, "r"), "_variant"), longer <= SHORT)
-
-    sides = left.select(F.lit("l").alias("side"), F.col("l").alias("s")).unionByName(
-        right.select(F.lit("r").alias("side"), F.col("r").alias("s"))
-    )
-    ensure_checkpoint_dir(left.sparkSession)
-    keyed = _rare_grams(sides.filter(longest(F.length("s")) > SHORT), budget(F.length("s"))).checkpoint()
-    candidates = keyed.filter("side = 'l'").select(F.col("s").alias("l"), "key").repartition(spread, "l").join(
-        keyed.filter("side = 'r'").select(F.col("s").alias("r"), "key"), "key"
-    )
-    far = checked(candidates, (longer > SHORT) & (F.abs(F.length("l") - F.length("r")) <= allowed))
-    return near.unionByName(far).distinct()
-
-
 def best_fuzzy_match(left: DataFrame, right: DataFrame, text: str, key: str, min_percent: int = MATCH_PERCENT) -> DataFrame:
     """Best right key for each distinct left text: ``(text, matched_key, score)``. Ties go to the smallest key, blank texts match nothing.
 
@@ -223,7 +119,7 @@ def best_fuzzy_match(left: DataFrame, right: DataFrame, text: str, key: str, min
 
 
 def finalize_keys(df: DataFrame, min_percent: int = MATCH_PERCENT) -> DataFrame:
-    """Key of each record: contact key, else best fuzzy match on name and address, else its own id.
+    """Key of each record: contact key, else best match on name and address (see ``word_pairs``), else its own id.
 
     Records that lack a name or an address are matched by contact key only.
     An action: the records are checkpointed, for matching reads them several times.
@@ -234,7 +130,7 @@ def finalize_keys(df: DataFrame, min_percent: int = MATCH_PERCENT) -> DataFrame:
     tagged = df.withColumn("_text", text).checkpoint()
     settled = tagged.filter(F.col("composite_key").isNotNull())
     unresolved = tagged.filter(F.col("composite_key").isNull())
-    matches = best_fuzzy_match(unresolved, settled, "_text", "composite_key", min_percent)
+    matches = best_word_match(unresolved, settled, "_text", "composite_key", min_percent)
     # Only unresolved rows are joined; settled ones pass by without a shuffle.
     rule = F.when(F.col("matched_key").isNotNull(), F.concat("conflict_rules_applied", F.lit(f"|{FUZZY_RULE}")))
     keyed = unresolved.join(matches, "_text", "left").withColumns({

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.text import phone_digits, title_case
 from tidemill.functions.values import contact_key, mapped, revenue_class
-from tidemill.operators import aggregates, matching, quality
+from tidemill.operators import aggregates, matching, quality, word_match
 from tidemill.plans.catalog import job, table, tables
 
 AS_OF = "2001-08-02 00:00:00"
@@ -149,6 +149,44 @@ def fuzzy_match(spark, sf_dir):
     return best.withColumn("score", F.round("score", 6))
 
 
+@job("fuzzy_token_match", """
+    WITH canon AS (SELECT s_suppkey, s_name || ', ' || n_name || ', ' || r_name AS r, s_name, n_name, r_name
+      FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+    messy AS (SELECT DISTINCT CASE s_suppkey % 5 WHEN 0 THEN r_name || ', ' || n_name || ', ' || s_name
+      WHEN 1 THEN 'offer of ' || replace(r, ', ', ' ') || ' for the coming year, as sent by the agent'
+      WHEN 2 THEN replace(s_name, 'u', 'uu') || ', ' || n_name || ', ' || r_name WHEN 3 THEN n_name || ', ' || replace(s_name, 'pp', 'p') || ', ' || r_name
+      ELSE 'agent ' || s_name || ', ' || n_name || ', ' || r_name || ', by letter' END AS l FROM canon),
+    texts AS (SELECT l, r, s_suppkey, string_split(l, ' ') AS lw, string_split(r, ' ') AS rw FROM messy, canon),
+    forms AS (SELECT *, array_to_string(list_sort(lw), ' ') AS ls, array_to_string(list_sort(rw), ' ') AS rs,
+      CASE WHEN length(l) <= length(r) THEN l ELSE r END AS s, CASE WHEN length(l) <= length(r) THEN r ELSE l END AS t,
+      list_distinct(lw) AS ld, list_distinct(rw) AS rd FROM texts),
+    scores AS (SELECT l, s_suppkey, 100.0::DOUBLE * (greatest(length(l), length(r)) - levenshtein(l, r)) / greatest(length(l), length(r)) AS plain,
+      0.95::DOUBLE * (100.0::DOUBLE * (greatest(length(ls), length(rs)) - levenshtein(ls, rs)) / greatest(length(ls), length(rs))) AS ordered,
+      0.95::DOUBLE * (100.0::DOUBLE * length(array_to_string(list_intersect(ld, rd), ''))
+        / least(length(array_to_string(ld, '')), length(array_to_string(rd, '')))) AS shared,
+      CASE WHEN length(t) >= 1.5 * length(s) THEN 0.9::DOUBLE * (100.0::DOUBLE * (length(s) - list_min(flatten(list_transform(
+        range(1, length(t) + 1), lambda a: list_transform(range(length(s) - 3, length(s) + 4), lambda m: levenshtein(s, substr(t, a, m))))))) / length(s))
+        ELSE 0 END AS part FROM forms)
+    SELECT l AS text, s_suppkey AS matched_key, round(greatest(plain, ordered, shared, part), 6) AS score FROM scores
+    WHERE greatest(plain, ordered, shared, part) >= 85
+    QUALIFY row_number() OVER (PARTITION BY l ORDER BY greatest(plain, ordered, shared, part) DESC, s_suppkey) = 1
+""")
+def fuzzy_token_match(spark, sf_dir):
+    supplier, nation, region = tables(spark, sf_dir, "supplier", "nation", "region")
+    known = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        "s_suppkey", "s_name", "n_name", "r_name", F.concat_ws(", ", "s_name", "n_name", "r_name").alias("text"))
+    # Reordered, buried in a longer text, misspelled, both, and with words around.
+    messy = known.select(
+        F.when(F.col("s_suppkey") % 5 == 0, F.concat_ws(", ", "r_name", "n_name", "s_name"))
+        .when(F.col("s_suppkey") % 5 == 1, F.concat(F.lit("offer of "), F.replace("text", F.lit(", "), F.lit(" ")),
+                                                    F.lit(" for the coming year, as sent by the agent")))
+        .when(F.col("s_suppkey") % 5 == 2, F.concat_ws(", ", F.replace("s_name", F.lit("u"), F.lit("uu")), "n_name", "r_name"))
+        .when(F.col("s_suppkey") % 5 == 3, F.concat_ws(", ", "n_name", F.replace("s_name", F.lit("pp"), F.lit("p")), "r_name"))
+        .otherwise(F.concat(F.lit("agent "), "text", F.lit(", by letter"))).alias("text"))
+    best = word_match.best_word_match(messy, known.select("text", "s_suppkey"), "text", "s_suppkey")
+    return best.withColumn("score", F.round("score", 6))
+
+
 def customer_sources(spark, sf_dir):
     """Three systems that know the same customers with different quality."""
     customer, nation, orders = tables(spark, sf_dir, "customer", "nation", "orders")

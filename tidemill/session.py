@@ -73,6 +73,14 @@ def literal_row(spark: SparkSession, values: Sequence, ddl: str) -> DataFrame:
     return spark.range(0, 1, 1, 1).select(*columns)
 
 
+def literal_rows(spark: SparkSession, rows: Sequence[Sequence], ddl: str) -> DataFrame:
+    """A small fixed table as one plan node, in one partition."""
+    fields = StructType.fromDDL(ddl).fields
+    listed = ", ".join("(" + ", ".join(str(v) for v in row) + ")" for row in rows)
+    names = [f"CAST(col{k + 1} AS {f.dataType.simpleString()}) AS {f.name}" for k, f in enumerate(fields)]
+    return spark.sql(f"SELECT {', '.join(names)} FROM VALUES {listed}")
+
+
 def no_rows(spark: SparkSession, ddl: str) -> DataFrame:
     return literal_row(spark, [None] * len(StructType.fromDDL(ddl).fields), ddl).limit(0)
 
