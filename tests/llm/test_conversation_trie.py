@@ -79,7 +79,7 @@ def test_nodes_equal_brute_force(spark, odd_rows, rebuild):
 
 
 def test_nodes_with_every_round_distributed(spark, odd_rows, monkeypatch):
-    monkeypatch.setattr(scans.list_ranks, "__defaults__", (40,))
+    monkeypatch.setattr(scans, "FEW", 40)
     rows = [r for r in odd_rows if r[0] is not None and r[0] < 20]
     assert made(spark, rows, True) == trie(borrowed(lists(rows)))
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import discard, n_words, stored
-from tidemill.llm.scans import list_ranks, running
+from tidemill.llm.scans import compact, list_ranks, running
 
 TURNS = ["conv_id", "rank", "x", "y", "words"]
 
@@ -42,8 +42,8 @@ def borrowed_starts(turns: DataFrame, block: int = 20, most: int = 4) -> tuple[D
         "conv_id", "own", (F.crc32(F.col("conv_id").cast("string")) % most).alias("h"),
         (F.col("conv_id") - F.col("conv_id") % block).alias("base"))
     lengths = convs.select(F.col("conv_id").alias("b"), F.col("own").alias("lent"))
-    plan = stored(convs.join(lengths, F.col("base") == F.col("b"), "left").select(
-        "conv_id", "own", "h", "base", F.least("h", F.coalesce("lent", F.lit(0))).alias("k")), "trie-conversations")
+    plan = compact(stored(convs.join(lengths, F.col("base") == F.col("b"), "left").select(
+        "conv_id", "own", "h", "base", F.least("h", F.coalesce("lent", F.lit(0))).alias("k")), "trie-conversations"))
     heads = turns.where((F.col("conv_id") % block == 0) & (F.col("rank") < most)).withColumnRenamed("conv_id", "base")
     start = plan.select("conv_id", "base", "k").join(heads, "base").where("rank <= k").select(*TURNS)
     rest = turns.join(plan.select("conv_id", "h", "k"), "conv_id").where("rank > h").withColumn(
@@ -78,15 +78,15 @@ def prefix_trie(turns: DataFrame, conversations: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("long")
     root = conversations.groupBy().agg(F.min("conv_id").alias("conv"), F.count("*").alias("n_convs")).where("n_convs > 0").select(
         zero.alias("depth"), zero.alias("px"), zero.alias("py"), "conv", "n_convs", zero.alias("words"), zero.alias("bx"), zero.alias("by"))
-    keyed = stored(below.unionByName(root), "trie-keyed")
+    keyed = compact(stored(below.unionByName(root), "trie-keyed"))
     up = keyed.select((F.col("depth") + 1).alias("d"), F.col("px").alias("ux"), F.col("py").alias("uy"), F.col("conv").alias("parent_conv"))
     with_parent = keyed.join(
         up, (F.col("depth") == F.col("d")) & (F.col("bx") == F.col("ux")) & (F.col("by") == F.col("uy")), "left").select(
         "depth", "px", "py", "conv", "parent_conv", "n_convs", "words")
     numbered = running(with_parent, ["depth", "parent_conv", "conv"], {"number": "1L"})
     nodes = numbered.withColumn("id", F.col("number") - 1).drop("number")
-    tour, kids = _tour(nodes)
-    places = list_ranks(tour)
+    linked, kids, tour = _tour(nodes)
+    places = compact(list_ranks(tour))
     subtree = _subtrees(nodes, kids, places)
     ends = _ends(named, conversations, nodes)
     nothing = hashlib.sha256().hexdigest()
@@ -94,18 +94,19 @@ def prefix_trie(turns: DataFrame, conversations: DataFrame) -> DataFrame:
         F.col("conv").alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves",
         "saved_tokens", F.coalesce("ends_sha256", F.lit(nothing)).alias("ends_sha256"))
     done = stored(out, "trie-nodes")
-    discard(named, keyed, numbered, kids, places, subtree)
+    discard(named, keyed, numbered, linked, kids, places, subtree, ends)
     return done
 
 
-def _tour(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The Euler tour as a linked list ``id, prev, next`` (arc 2v enters v, 2v + 1 leaves it), and ``id, first, last, n_children``."""
+def _tour(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``id, parent`` of all nodes, ``parent, first, last, n_children``, and the Euler tour as a linked list ``id, prev, next`` (arc 2v enters v,
+    2v + 1 leaves it)."""
     parents = nodes.select(F.col("depth").alias("d"), F.col("conv").alias("c"), F.col("id").alias("parent"))
     of = nodes.select("id", "depth", "parent_conv").join(
         parents, (F.col("depth") - 1 == F.col("d")) & (F.col("parent_conv") == F.col("c")), "left").select("id", "parent")
-    linked = stored(of, "trie-parents")
-    kids = stored(linked.where("parent is not null").groupBy("parent").agg(
-        F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n_children")), "trie-children")
+    linked = compact(stored(of, "trie-parents"))
+    kids = compact(stored(linked.where("parent is not null").groupBy("parent").agg(
+        F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n_children")), "trie-children"))
     own = kids.select(F.col("parent").alias("v"), "first", "last")
     among = kids.select(F.col("parent").alias("u"), F.col("first").alias("eldest"), F.col("last").alias("youngest"))
     known = linked.join(own, F.col("id") == F.col("v"), "left").join(among, F.col("parent") == F.col("u"), "left")
@@ -116,7 +117,7 @@ def _tour(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     leave = F.struct(
         (2 * v + 1).alias("id"), F.coalesce(2 * F.col("last") + 1, 2 * v).cast("long").alias("prev"),
         F.when(up.isNull(), -1).when(v < F.col("youngest"), 2 * v + 2).otherwise(2 * up + 1).cast("long").alias("next"))
-    return known.select(F.explode(F.array(enter, leave)).alias("arc")).select("arc.*"), kids
+    return linked, kids, known.select(F.explode(F.array(enter, leave)).alias("arc")).select("arc.*")
 
 
 def _subtrees(nodes: DataFrame, kids: DataFrame, places: DataFrame) -> DataFrame:
@@ -132,7 +133,7 @@ def _subtrees(nodes: DataFrame, kids: DataFrame, places: DataFrame) -> DataFrame
     inside = summed.groupBy(F.col("node").alias("id")).agg(
         F.max("n_children").alias("n_children"), (turn("leaves") + F.max("leaf")).alias("n_leaves"),
         (turn("saved") + F.max("saving")).alias("saved_tokens"))
-    out = stored(inside, "trie-subtrees")
+    out = compact(stored(inside, "trie-subtrees"))
     discard(summed)
     return out
 
@@ -143,8 +144,8 @@ def _ends(named: DataFrame, conversations: DataFrame, nodes: DataFrame) -> DataF
     last = named.select("conv_id", "rank", "px", "py").join(lengths, (F.col("conv_id") == F.col("c")) & (F.col("rank") == F.col("length")))
     zero = F.lit(0).cast("long")
     turnless = lengths.where("length = 0").select(F.col("c").alias("conv_id"), zero.alias("rank"), zero.alias("px"), zero.alias("py"))
-    ended = last.select("conv_id", "rank", "px", "py").unionByName(turnless).join(
-        nodes.select("id", F.col("depth").alias("rank"), "px", "py"), ["rank", "px", "py"])
+    stops = compact(stored(last.select("conv_id", "rank", "px", "py").unionByName(turnless), "trie-stops"))
+    ended = stops.join(nodes.select("id", F.col("depth").alias("rank"), "px", "py"), ["rank", "px", "py"]).select("id", "conv_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, state = None, None
@@ -166,5 +167,7 @@ def _ends(named: DataFrame, conversations: DataFrame, nodes: DataFrame) -> DataF
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows])], names=["id", "ends_sha256"])
 
-    dealt = ended.select("id", "conv_id").repartition("id").sortWithinPartitions("id", "conv_id")
-    return dealt.mapInArrow(run, "id long, ends_sha256 string")
+    dealt = (ended if stops._alone else ended.repartition("id")).sortWithinPartitions("id", "conv_id")
+    out = compact(stored(dealt.mapInArrow(run, "id long, ends_sha256 string"), "trie-ends"))
+    discard(stops)
+    return out

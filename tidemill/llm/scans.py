@@ -13,10 +13,18 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemill.llm.common import discard, stored
 
-#: Arcs that one task puts in order by itself when list ranking has come down to them.
+#: Tables of at most so many narrow rows (some MB) are taken by one task: no exchange is worth its many small tasks for them.
 FEW = 1 << 16
 
 
+def compact(df: DataFrame, few: int | None = None) -> DataFrame:
+    """A stored table, in one partition if it has at most ``few`` rows: joins and groups of such tables need no exchange."""
+    alone = df.count() <= (FEW if few is None else few)
+    out = df.coalesce(1) if alone else df
+    out._stored_at, out._alone = df._stored_at, alone
+    return out
+
+
 def running(
     rows: DataFrame, order: Sequence[str], values: Mapping[str, Column | str], key: str | None = None, op: str = "sum"
 ) -> DataFrame:
@@ -25,11 +33,13 @@ def running(
     Rows are sorted by ``order`` over the whole table. With ``key``, the first of ``order`` and a long that is never null, sums start
     anew at each key. Rows are dealt by ranges of ``order``, so a key with most of all rows spreads over tasks if ``order`` tells
     its rows apart; each task sums as its rows stream by, and only one row a partition is needed to carry sums on. Values are longs
-    without nulls. The order columns may be left out later; rows alike in all of them take any order among themselves.
+    without nulls. Rows alike in all of ``order`` take any order among themselves. The rows are stored before they are dealt, for finding
+    the ranges reads them once more; at most FEW rows stay in one partition.
     """
     names = list(values)
-    body = rows.select("*", *[F.expr(v).alias(n) if isinstance(v, str) else v.alias(n) for n, v in values.items()])
-    dealt = body.repartitionByRange(*order).sortWithinPartitions(*order)
+    body = compact(stored(
+        rows.select("*", *[F.expr(v).alias(n) if isinstance(v, str) else v.alias(n) for n, v in values.items()]), "running-rows"))
+    dealt = (body if body._alone else body.repartitionByRange(*order)).sortWithinPartitions(*order)
     at = [body.columns.index(n) for n in names]
     key_at = body.columns.index(key) if key else None
     total = np.cumsum if op == "sum" else np.bitwise_xor.accumulate
@@ -60,13 +70,18 @@ def running(
 
     schema = StructType([*body.schema.fields, StructField("part_", LongType()), StructField("at_", LongType())])
     local = stored(dealt.mapInArrow(run, schema), "running")
+    discard(body)
+    if body._alone:
+        out = local.coalesce(1).drop("part_", "at_")
+        out._stored_at = local._stored_at
+        return out
     k = F.col(key) if key else F.lit(0).cast("long")
     ends = local.groupBy("part_").agg(
         F.min(k).alias("first_"), F.max(k).alias("last_"), *[F.max_by(n, "at_").alias(f"{n}_end") for n in names])
     add = F.sum if op == "sum" else F.bit_xor
     by_key = Window.partitionBy("last_").orderBy("part_")
-    by_part = Window.orderBy("part_")  # one row a partition of the table
-    upto = ends.select("part_", "first_", "last_", *[add(f"{n}_end").over(by_key).alias(f"{n}_end") for n in names])
+    by_part = Window.orderBy("part_")  # one row a partition of the table, so one task takes them
+    upto = ends.coalesce(1).select("part_", "first_", "last_", *[add(f"{n}_end").over(by_key).alias(f"{n}_end") for n in names])
     goes_on = F.lag("last_").over(by_part) == F.col("first_")
     carried = upto.select(
         F.col("part_").alias("of_"), "first_",
@@ -79,17 +94,17 @@ def running(
     return out
 
 
-def list_ranks(links: DataFrame, few: int = FEW) -> DataFrame:
+def list_ranks(links: DataFrame, few: int | None = None) -> DataFrame:
     """``id, place`` for every element of one linked list ``links(id, prev, next)``; ends have -1; places count from 0.
 
     Rounds of contraction: an element whose hash is less than both neighbours' leaves the list (a third of them do, no two of
-    them neighbours), and the one before it takes over its distance. When ``few`` are left, one task ranks them; then the rounds are
+    them neighbours), and the one before it takes over its distance. When ``few`` (FEW) are left, one task ranks them; then the rounds are
     undone, each element placed behind the one that took over. All work is a small multiple of the list's length.
     Tables are written to the shared folder; all joins have unique keys on both sides.
     """
     table = stored(links.select("id", "prev", "next", F.lit(1).cast("long").alias("step")), "list-links")
     left, removed = table.count(), []
-    while left > few:
+    while left > (FEW if few is None else few):
         mark = lambda c, salt=len(removed): F.xxhash64(F.lit(salt), c)
         least = (F.col("prev") >= 0) & (F.col("next") >= 0) & (mark("id") < mark("prev")) & (mark("id") < mark("next"))
         gone = table.where(least).select(F.col("id").alias("g"), F.col("prev").alias("p"), F.col("next").alias("n"), F.col("step").alias("s"))
