@@ -7,9 +7,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from tidemill.llm.common import Texts
 from tidemill.llm.length_packing import Pool, WordEncoder, pack_documents, padded, step_groups
 from tidemill.llm.queries import vocabulary
 
@@ -20,17 +22,20 @@ SCHEMA = "doc_id long, text string"
 
 def odd_texts(n, seed):
     rnd = random.Random(seed)
-    signs = [*"abAB'’sté ̧́ΣΌσ日本\xa0\x85\x1c ​\n\t  \x0b\x0c\r<|>!?9½İIßŒ\U0001F600̸ﬁ한한", "<|endoftext|>", "<|startoftext|>", "'s", "'ll"]
+    signs = [*"abAB.,;:!?$&-()[]#'’sté ̧́ΣΌσ日本\xa0\x85\x1c ​\n\t  \x0b\x0c\r<|>!?9½İIßŒ\U0001F600̸ﬁ한한", "<|endoftext|>", "<|startoftext|>", "'s", "'ll"]
     return ["".join(rnd.choice(signs) for _ in range(rnd.randrange(60))) for _ in range(n)]
 
 
 def test_words_encode_like_whole_texts():
-    texts = [*odd_texts(3000, 1), "", "  ", "x" * 5000, "a " * 3000]
-    want = [e.ids for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
+    texts = [*odd_texts(3000, 1), "", "  ", "x" * 5000, "a " * 3000, "<|ENDOFTEXT|> Word WORD word, (word) wOrD's 9.5% a≠ b!? <b>c</b>",
+             "it's. It'S, '' x' 'll 'LL you'Ll!", "end.", ".start", "...", "É. é, Ǆ! 9' 9'9", None]
+    want = [e.ids for e in LIBRARY.encode_batch([t or "" for t in texts], add_special_tokens=False)]
     for limit in (10, 100_000):
         own = WordEncoder(WORDS, limit)
-        for _ in range(2):
-            assert [np.frombuffer(x, own.kind).tolist() for x in own.encode(t.encode() for t in texts)] == want
+        for k in (0, 20, 40):
+            ids, edges = own.words(Texts(pa.array(texts[k:] + texts[:k])))
+            assert [ids[a:b].tolist() for a, b in zip(edges[:-1], edges[1:], strict=True)] == want[k:] + want[:k]
+    assert own.words(Texts(pa.array([None, ""], pa.string())))[1].tolist() == [0, 0, 0]
 
 
 def test_other_vocabularies_are_refused():

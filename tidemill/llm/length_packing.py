@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import json
-import os
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -15,68 +14,113 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import discard, slices, stored
-from tidemill.llm.pieces import TwoGenerations
+from tidemill.llm.common import ODD, POWERS, Texts, discard, mixed, slices, stored
+from tidemill.llm.record_files import Encoder
 from tidemill.llm.scans import running
 
-os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-
 #: Lengths of sequences: each tier is twice as long as the one before.
 TIERS = (512, 1024, 2048, 4096)
 #: Tokens that a task gathers before it packs them.
 BLOCK = 1 << 22
 #: Tokens of a step of training.
 STEP = 64 * 4096
+BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+ALNUM = np.array([chr(c).isascii() and chr(c).isalnum() for c in range(256)])
+#: ASCII signs that never join with the letters before them; an apostrophe may.
+SIGN = np.array([33 <= c < 127 and not chr(c).isalnum() and chr(c) != "'" for c in range(256)])
+LETTERS = mixed(np.arange(1, 257, dtype=np.uint64) * ODD)
+LETTERS[ord("A") : ord("Z") + 1] = LETTERS[ord("a") : ord("z") + 1]
 PIECE = ("doc_id long, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, tier int, sequence long, offset long")
 
 
-class WordEncoder:
-    """Ids of texts by a vocabulary that drops white space and never joins what it separates.
+class WordEncoder(Encoder):
+    """Ids of texts by a lower-casing vocabulary that drops white space and never joins what it separates.
 
-    A text's ids are then those of its words (runs of anything but ASCII white space) in order. The library encodes each
-    word once while it is among the last ``limit`` to twice ``limit`` words met; words of over 200 bytes are not kept.
+    A text's ids are then those of its words (runs of anything but ASCII white space) in order, and signs at the end of a word
+    that ends in an ASCII letter or digit are pieces of their own. The library encodes each different piece once, whatever the case of
+    its ASCII letters; pieces are looked up by 64-bit hash (see ``Encoder``). Words with ``<``, in which the library may find a special
+    string, go to it as they are.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 1_500_000):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         split = (spec["pre_tokenizer"].get("pretokenizers") or [spec["pre_tokenizer"]])[0]
         apart = split["type"] == "Split" and split["invert"] and split["behavior"] == "Removed" and spec["post_processor"] is None
-        if not apart or any(t["lstrip"] or t["rstrip"] or set(t["content"]) & set(" \t\n\x0b\x0c\r") for t in spec["added_tokens"]):
-            raise ValueError("only vocabularies that drop white space")
+        lower = any(n["type"] == "Lowercase" for n in (spec["normalizer"] or {}).get("normalizers", ()))
+        marks = all(t["content"].startswith("<") and not set(t["content"]) & set(" \t\n\x0b\x0c\r") and not t["lstrip"] and not t["rstrip"]
+                    for t in spec["added_tokens"])
+        if not (apart and lower and marks):
+            raise ValueError("only lower-casing vocabularies that drop white space")
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         self.kind = "<u2" if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-        self.known = TwoGenerations(None, limit)
-
-    def _ids(self, words: list[bytes]) -> list[bytes]:
-        made = [e.ids for e in self.library.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        raw, width = np.fromiter(chain.from_iterable(made), self.kind).tobytes(), np.dtype(self.kind).itemsize
-        ends = np.cumsum([0, *map(len, made)]) * width
-        return [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-
-    def encode(self, texts: Iterable[bytes]) -> list[bytes]:
-        """The ids of each text, as bytes of ``kind``."""
-        split = [t.split() for t in texts]
-        words = list(chain.from_iterable(split))
-        found = list(map(self.known.get, words))
-        lacking = [i for i, x in enumerate(found) if x is None]
-        if lacking:
-            old = self.known.old
-            fresh = {words[i] for i in lacking}
-            new = [w for w in fresh if w not in old]
-            made = dict(zip(new, self._ids(new), strict=True))
-            made.update((w, old[w]) for w in fresh if w in old)
-            for i in lacking:
-                found[i] = made[words[i]]
-            for w, ids in made.items():
-                if len(w) <= 200:
-                    self.known.put(w, ids)
-        at = 0
-        return [b"".join(found[at : (at := at + len(w))]) for w in split]
+        self.limit, self.bits = limit, (2 * limit).bit_length()
+        self._clear()
+
+    def words(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one behind the other, and where each text's begin (one more at the end)."""
+        data, size, rows = texts.data, len(texts.data), len(texts.start)
+        if not size:
+            return np.zeros(0, self.kind), np.zeros(rows + 1, np.int64)
+        begin, end, odd = _pieces(texts)
+        up, down = POWERS.upto(size + 1)
+        with np.errstate(over="ignore"):
+            upto = np.concatenate([[np.uint64(0)], np.cumsum(LETTERS[data] * up[:size], dtype=np.uint64)])
+            keys = mixed((upto[end] - upto[begin]) * down[begin] + (end - begin).astype(np.uint64)) | np.uint64(1)
+        if self.used > self.limit:
+            self._clear()
+        plain = np.flatnonzero(~odd)
+        slot = self._slots(keys[plain])
+        new = np.flatnonzero(self.keys[slot] == 0)
+        if len(new):
+            if self.used + len(new) > len(self.keys) // 2:  # very many pieces at once: a larger table
+                self.bits = (2 * (self.used + len(new))).bit_length()
+                self._clear()
+                new = np.arange(len(plain))
+            fresh, where = np.unique(keys[plain[new]], return_index=True)
+            at = plain[new[where]]
+            raw = data.tobytes()
+            self._learn(fresh, [raw[a:b].decode() for a, b in zip(begin[at].tolist(), end[at].tolist(), strict=True)])
+            slot = self._slots(keys[plain])
+        number, flat = self.at[slot], self.flat
+        first, many = np.zeros(len(begin), np.int64), np.zeros(len(begin), np.int64)
+        first[plain], many[plain] = self.begin[number], self.begin[number + 1] - self.begin[number]
+        if odd.any():
+            at = np.flatnonzero(odd)
+            made = [self.library.encode(data[a:b].tobytes().decode(), add_special_tokens=False).ids
+                    for a, b in zip(begin[at].tolist(), end[at].tolist(), strict=True)]
+            many[at] = [len(m) for m in made]
+            first[at] = len(flat) + np.cumsum(many[at]) - many[at]
+            flat = np.concatenate([flat, np.fromiter(chain.from_iterable(made), self.kind)])
+        before = np.concatenate([[0], np.cumsum(many)])
+        ids = flat[np.repeat(first - before[:-1], many) + np.arange(before[-1])]
+        return ids, before[np.searchsorted(begin, np.append(texts.start, size))]
+
+
+def _pieces(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where words and the signs at their ends begin and end, and which of them are words with ``<``."""
+    data, size = texts.data, len(texts.data)
+    word = ~BLANK[data]
+    edge = np.zeros(size + 1, bool)  # no word goes on where a new text begins
+    edge[texts.start] = edge[texts.end] = True
+    begin = np.flatnonzero(word & ~(np.concatenate([[False], word[:-1]]) & ~edge[:size]))
+    end = np.flatnonzero(word & ~(np.concatenate([word[1:], [False]]) & ~edge[1:])) + 1
+    marked = data == ord("<")
+    odd = np.zeros(len(begin), bool)
+    if marked.any():
+        upto = np.concatenate([[0], np.cumsum(marked)])
+        odd = upto[end] > upto[begin]
+    cut = np.maximum.accumulate(np.where(SIGN[data], -1, np.arange(size)))[end - 1] + 1
+    split = (cut < end) & (cut > begin) & ~odd
+    split[split] = ALNUM[data[cut[split] - 1]]
+    order = np.argsort(np.concatenate([begin, cut[split]]), kind="stable")
+    whole = np.where(split, cut, end)
+    return (np.concatenate([begin, cut[split]])[order], np.concatenate([whole, end[split]])[order],
+            np.concatenate([odd, np.zeros(int(split.sum()), bool)])[order])
 
 
 @lru_cache(maxsize=2)
@@ -216,9 +260,10 @@ def pack_documents(
         e = encoder(vocabulary)
         end, width = np.array([end_id], kind).tobytes(), np.dtype(kind).itemsize
         for batch in slices(batches):
-            raw = batch.column(1).cast(pa.large_binary()).to_pylist()
-            for doc, ids in zip(batch.column(0).to_pylist(), e.encode(r or b"" for r in raw), strict=True):
-                yield doc, len(ids) // width + 1, 0, ids + end
+            ids, edges = e.words(Texts(batch.column(1)))
+            raw, at = ids.tobytes(), (edges * width).tolist()
+            for doc, a, b in zip(batch.column(0).to_pylist(), at[:-1], at[1:], strict=True):
+                yield doc, (b - a) // width + 1, 0, raw[a:b] + end
 
     def leftovers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
