@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from tidemill.operators import corpus, fusion, lexical, vector_search
+from tidemill.operators import corpus, fusion, lexical, vector_index, vector_search
 from tidemill.plans.catalog import job, table, tables
 from tidemill.session import fresh_dir
 
@@ -188,9 +188,9 @@ def knn_threshold(spark, sf_dir):
     SELECT query_id, doc_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s QUALIFY rank <= 3
 """)
 def knn_all(spark, sf_dir):
-    """Every vector as a query, searched block by block."""
+    """Every vector as a query; beyond 4,096 they meet block by block."""
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    return vector_search.knn(vectors, vectors.withColumnRenamed("doc_id", "query_id"), 3, max_broadcast=100, vector_block=150)
+    return vector_search.knn(vectors, vectors.withColumnRenamed("doc_id", "query_id"), 3)
 
 
 @job("knn_filtered", f"""
@@ -228,6 +228,47 @@ def knn_cells(spark, sf_dir):
     return vector_search.knn_by_cells(homes, centres, cells, probes=3)
 
 
+def _fiftieth(spark, sf_dir):
+    """All vectors, their index over trained cells, and every vector whose id is divisible by 50 as a query."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    model = vector_index.train_quantiser(vectors, cells=32)
+    path = fresh_dir(spark, "vector-index")
+    vector_index.write_vector_index(vectors, model, path)
+    asked = vectors.where(F.col("doc_id") % 50 == 0).withColumnRenamed("doc_id", "query_id")
+    return vectors, vector_index.read_vector_index(spark, path), model, asked
+
+
+FIFTIETH_SQL = """
+    s AS (SELECT a.vec_id AS query_id, b.vec_id AS doc_id,
+      round(list_cosine_similarity(CAST(b.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[])), 6) AS score
+      FROM embeddings a, embeddings b WHERE a.vec_id % 50 = 0)
+"""
+
+
+@job("knn_bounded", f"""
+    WITH {FIFTIETH_SQL} SELECT query_id, doc_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+    FROM s QUALIFY rank <= 10
+""")
+def knn_bounded(spark, sf_dir):
+    """Exact neighbours from codes and their error bounds."""
+    _, index, model, asked = _fiftieth(spark, sf_dir)
+    return vector_index.search_exact(index, model, asked)
+
+
+@job("knn_recall", """
+    SELECT vec_id AS query_id, CAST(10 AS BIGINT) AS wanted, TRUE AS enough FROM embeddings WHERE vec_id % 50 = 0
+""")
+def knn_recall(spark, sf_dir):
+    """Recall of the approximate index against exact search: ``enough`` tells whether it is 0.9 or more over all queries."""
+    vectors, index, model, asked = _fiftieth(spark, sf_dir)
+    probes, depth = vector_index.calibrate(vectors, model)
+    found = vector_index.search_index(index, model, asked, probes=probes, depth=depth).select("query_id", "doc_id", F.lit(1).alias("hit"))
+    exact = vector_search.knn(vectors, asked).join(found, ["query_id", "doc_id"], "left")
+    by_query = exact.groupBy("query_id").agg(F.count(F.lit(1)).alias("wanted"), F.count("hit").alias("hits"))
+    enough = exact.agg(F.count("hit") >= 0.9 * F.count(F.lit(1))).first()[0]
+    return by_query.select("query_id", "wanted", F.lit(enough).alias("enough"))
+
+
 @job("hybrid_two_stage", f"""
     WITH {CENTRES_SQL} SELECT query_id, s.doc_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, s.doc_id) AS INTEGER) AS rank
     FROM sims s JOIN documents d ON d.doc_id = s.doc_id WHERE lang IN ('en', 'fr') AND n_chars <= 5000 QUALIFY rank <= 10
