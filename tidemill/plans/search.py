@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from tidemill.operators import corpus, fusion, lexical, vector_index, vector_search
+from tidemill.operators import block_index, corpus, fusion, lexical, vector_index, vector_search
 from tidemill.plans.catalog import job, table, tables
 from tidemill.session import fresh_dir
 
@@ -72,6 +72,18 @@ def page_documents(spark, sf_dir):
     )
 
 
+@job("bm25_indexed", f"""
+    WITH {ITEMS_SQL}, d AS (SELECT doc_id, text FROM documents), {bm25_sql('d', {'text': 1.0}, 'q')}
+    SELECT query_id, doc_id, score, CAST({TOP10} AS INTEGER) AS rank FROM scores QUALIFY rank <= 10
+""")
+def bm25_indexed(spark, sf_dir):
+    """As ``bm25_topk``, from a stored index whose blocks are opened only where a result can be."""
+    documents, benchmark = tables(spark, sf_dir, "documents", "benchmark")
+    path = fresh_dir(spark, "block-index")
+    block_index.write_block_index(documents, "doc_id", ["text"], path)
+    return block_index.search_blocks(spark, path, benchmark, "item_id", "text", {"text": 1.0})
+
+
 @job("boosted_match", f"""
     WITH {ITEMS_SQL}, {PAGES_SQL}, {bm25_sql('pg', {'title': 2.0, 'body': 1.0}, 'q', 'max')}
     SELECT query_id, doc_id, score, CAST({TOP10} AS INTEGER) AS rank FROM scores JOIN pg USING (doc_id)
