@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,15 +60,30 @@ def test_latest_and_resample(spark):
     assert [r["s"] for r in rates.peak_rows(latest, "v").collect()] == ["a"]
 
 
-@pytest.mark.parametrize("accuracy", [20, 10_000])
-def test_exact_quantile(spark, accuracy):
+@pytest.mark.parametrize("bits", [11, 16])
+def test_exact_quantiles(spark, monkeypatch, bits):
+    monkeypatch.setattr(aggregates, "DIGIT_BITS", bits)  # short digits take several rounds
     rng = random.Random(5)
-    rows = [("hot", float(rng.choice([rng.gauss(0, 1), round(rng.gauss(0, 1), 1)]))) for _ in range(3000)] + [("one", 7.0), ("two", 1.0), ("two", 2.0)]
-    df = spark.createDataFrame(rows + [("two", None)], "k string, v double")
-    for q in (0.0, 0.5, 0.95, 1.0):
-        want = {r["k"]: r["p"] for r in df.groupBy("k").agg(F.percentile("v", q).alias("p")).collect()}
-        got = {r["k"]: r["quantile"] for r in aggregates.exact_quantile(df, ["k"], "v", q, accuracy=accuracy).collect()}
-        assert got == pytest.approx(want), q
+    rows = [("hot", float(rng.choice([rng.gauss(0, 1), round(rng.gauss(0, 1), 1), 1e300, -1e-300, -0.0, 0.0]))) for _ in range(3000)]
+    rows += [("one", 7.0), ("two", 1.0), ("two", 2.0), (None, -5.0), (None, 5.0), ("same", 3.5)] + [("same", 3.5)] * 50
+    df = spark.createDataFrame(rows + [("two", None), ("none", None)], "k string, v double")
+    wanted = {"least": 0.0, "median": 0.5, "p95": 0.95, "greatest": 1.0, "again": 0.5}
+    want = df.where("v IS NOT NULL").groupBy("k").agg(*[F.percentile("v", q).alias(c) for c, q in wanted.items()]).collect()
+    got = aggregates.exact_quantiles(df, ["k"], "v", wanted)
+    assert got.columns == ["k", *wanted]
+    assert {r.k: tuple(r)[1:] for r in got.collect()} == {r.k: pytest.approx(tuple(r)[1:]) for r in want}
+    if bits < 16:
+        return
+    whole = aggregates.exact_quantile(df, [], "v", 0.25, "q")
+    assert whole.columns == ["q"] and whole.first()[0] == pytest.approx(df.agg(F.percentile("v", 0.25)).first()[0])
+    assert aggregates.exact_quantiles(df.where("k = 'none'"), ["k"], "v", wanted).isEmpty()
+
+
+def test_ordered_images():
+    values = np.array([-np.inf, -1e300, -1.5, -5e-324, -0.0, 0.0, 5e-324, 1.0, 1.5, 1e300, np.inf, np.nan])
+    images = aggregates.ordered_image(values)
+    assert images[4] == images[5] and (np.diff(np.delete(images, 4)) > 0).all()
+    assert np.array_equal(aggregates.from_image(images), values, equal_nan=True)
 
 
 def test_above_median_is_strict(spark):

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from tidemill.session import ensure_checkpoint_dir
 
 AGG_FUNCTIONS = {"sum": F.sum, "mean": F.avg, "count": F.count, "min": F.min, "max": F.max}
 
@@ -43,46 +48,88 @@ def null_counts(df: DataFrame) -> DataFrame:
     return out.withColumn("null_cells", total)
 
 
-def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float = 0.5, name: str = "quantile",
-                   accuracy: int = 10_000) -> DataFrame:
-    """Exact interpolated quantile per key that never holds a whole group in one task.
+#: Bits of a digit of the radix selection, and how many rows of open digits are broadcast at most.
+DIGIT_BITS, OPEN_ROWS = 16, 200_000
+
+
+def _mapped(df: DataFrame, column: str, ddl: str, change: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """The frame with one null-free numeric column changed, batch by batch."""
+    at = df.columns.index(column)
+    schema = StructType([f if i != at else StructField(column, StructType.fromDDL(f"x {ddl}")[0].dataType) for i, f in enumerate(df.schema.fields)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = list(batch.columns)
+            columns[at] = pa.array(change(columns[at].to_numpy()))
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+def ordered_image(values: np.ndarray) -> np.ndarray:
+    """Doubles as longs of the same order; both zeros are one, NaN is the greatest."""
+    bits = np.where(np.isnan(values), np.nan, values + 0.0).view(np.int64)
+    return np.where(bits < 0, bits ^ np.int64((1 << 63) - 1), bits)
+
 
-    A bounded sketch per key gives a bracket that surely contains the wanted
-    rank. Values below the bracket are only counted; just the distinct values
-    inside it (about ``4 / accuracy`` of the ranks) are put in order. Groups of
-    at most ``accuracy`` rows need no bracket.
+def from_image(images: np.ndarray) -> np.ndarray:
+    return np.where(images < 0, images ^ np.int64((1 << 63) - 1), images).view(np.float64)
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float]) -> DataFrame:
+    """Exact interpolated quantiles per key, one column for each name; nulls do not count, keys without a value are absent.
+
+    Radix selection for all keys and quantiles at once. The input is read once: keys and values, as longs of the same order, are checkpointed. Then
+    rounds count digits of 16 bits, combined before the shuffle; after each only the values behind the digits that hold a wanted rank
+    are counted on, and once a digit holds no more values than it has numbers, all bits left are the last digit. So no round knows more
+    than 65,536 numbers of a key and quantile, and one key may hold all rows. Null keys are a group. An action.
     """
-    if not keys:
-        whole = exact_quantile(df.withColumn("_all", F.lit(0)), ["_all"], value, q, name, accuracy)
-        return whole.drop("_all")
-    keys = list(keys)
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    margin = 2.0 / accuracy
-    edges = F.array(F.lit(max(0.0, q - margin)), F.lit(min(1.0, q + margin)))
-    bracket = rows.groupBy(*keys).agg(
-        F.percentile_approx("_v", edges, accuracy).alias("_edges"), F.count(F.lit(1)).alias("_total")
-    ).select(
-        *keys,
-        F.when(F.col("_total") > accuracy, F.col("_edges")[0]).otherwise(float("-inf")).alias("_lo"),
-        F.when(F.col("_total") > accuracy, F.col("_edges")[1]).otherwise(float("inf")).alias("_hi"),
-        ((F.col("_total") - 1) * F.lit(q)).alias("_pos"),
-    )
-    tagged = counts.join(bracket, keys)
-    below = tagged.groupBy(*keys).agg(F.sum(F.when(F.col("_v") < F.col("_lo"), F.col("_n")).otherwise(0)).alias("_below"))
-    inside = tagged.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-    inside = inside.join(below, keys)
-    running = F.sum("_n").over(
-        Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = inside.withColumn("_upto", running + F.col("_below"))
-    ends = ranked.groupBy(*keys).agg(
-        F.min(F.when(F.col("_upto") > F.floor("_pos"), F.col("_v"))).alias("_a"),
-        F.min(F.when(F.col("_upto") > F.ceil("_pos"), F.col("_v"))).alias("_b"),
-        F.first("_pos").alias("_pos"),
-    )
-    part = F.col("_pos") - F.floor("_pos")
-    return ends.select(*keys, (F.col("_a") + (F.col("_b") - F.col("_a")) * part).alias(name))
+    ensure_checkpoint_dir(df.sparkSession)
+    keys, names = list(keys), list(quantiles)
+    key = F.struct(*[F.col(c) for c in keys]) if keys else F.struct(F.lit(0).alias("all"))
+    plain = df.where(F.col(value).isNotNull()).select(key.alias("k"), F.col(value).cast("double").alias("v"))
+    rows = _mapped(plain, "v", "bigint", ordered_image).checkpoint()
+    totals = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), ((F.col("n") - 1) * F.lit(float(quantiles[c]))).alias("pos")) for i, c in enumerate(names)])
+    ranks = totals.select("k", F.explode(wanted).alias("w")).select("k", "w.i", "w.pos")
+    ends = F.array(F.floor("pos"), F.ceil("pos")).cast("array<bigint>")
+    left = ranks.select("k", "i", "pos", F.posexplode(ends).alias("end", "t")).withColumn("prefix", F.lit(0).cast("bigint"))
+    sizes = totals.agg(F.count(F.lit(1)).alias("keys"), F.max("n").alias("most")).first()
+    hint = F.broadcast if 2 * len(names) * sizes["keys"] <= OPEN_ROWS else (lambda frame: frame)
+    bits, most = 64, sizes["most"] or 0
+    while bits:
+        width = bits if most <= 1 << DIGIT_BITS else DIGIT_BITS
+        digit = F.shiftright("v", bits - width)
+        if bits == 64:
+            counted = rows.select("k", F.lit(0).cast("bigint").alias("prefix"), digit.alias("d"))
+            joined = F.col("d")
+        else:
+            among = left.select(F.col("k").alias("ok"), F.col("prefix").alias("op")).distinct()
+            near = rows.join(hint(among), (F.col("k") == F.col("ok")) & (F.shiftright("v", bits) == F.col("op")))
+            counted = near.select("k", F.col("op").alias("prefix"), digit.bitwiseAND((1 << width) - 1).alias("d"))
+            joined = F.shiftleft("prefix", width).bitwiseOR(F.col("d"))
+        digits = counted.groupBy("k", "prefix", "d").agg(F.count(F.lit(1)).alias("c"))
+        order = Window.partitionBy("k", "prefix").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        upto = digits.withColumn("upto", F.sum("c").over(order))
+        found = left.join(upto, ["k", "prefix"]).where((F.col("t") < F.col("upto")) & (F.col("t") >= F.col("upto") - F.col("c")))
+        # A row for each key, quantile and end of its interval.
+        left = found.select("k", "i", "pos", "end", (F.col("t") - F.col("upto") + F.col("c")).alias("t"), joined.alias("prefix"), "c")
+        bits -= width
+        if bits:
+            left = left.checkpoint()
+            most = left.agg(F.max("c")).first()[0]
+            left = left.drop("c")
+    values = _mapped(left.select("k", "i", "pos", "end", "prefix"), "prefix", "double", from_image)
+    low, high = F.max(F.when(F.col("end") == 0, F.col("prefix"))), F.max(F.when(F.col("end") == 1, F.col("prefix")))
+    part = F.max("pos") - F.floor(F.max("pos"))
+    single = values.groupBy("k", "i").agg((low + F.when(part > 0, (high - low) * part).otherwise(0.0)).alias("q"))
+    wide = single.groupBy("k").agg(*[F.max(F.when(F.col("i") == i, F.col("q"))).alias(c) for i, c in enumerate(names)])
+    return wide.select(*[F.col("k")[c].alias(c) for c in keys], *names)
+
+
+def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float = 0.5, name: str = "quantile") -> DataFrame:
+    """One exact interpolated quantile per key, see :func:`exact_quantiles`."""
+    return exact_quantiles(df, keys, value, {name: q})
 
 
 def above_median(df: DataFrame, keys: Sequence[str], value: str, factor: float = 2.0) -> DataFrame:

@@ -141,9 +141,7 @@ def bucket_quantile(spark, sf_dir):
 """)
 def exact_quantiles(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    both = aggregates.exact_quantile(events, ["event_type"], "value", 0.5, "median").join(
-        aggregates.exact_quantile(events, ["event_type"], "value", 0.95, "p95"), "event_type"
-    )
+    both = aggregates.exact_quantiles(events, ["event_type"], "value", {"median": 0.5, "p95": 0.95})
     return both.select("event_type", F.round("median", 6).alias("median"), F.round("p95", 6).alias("p95"))
 
 
