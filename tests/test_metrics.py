@@ -121,3 +121,26 @@ def test_label_values_are_escaped(spark):
     labels = F.create_map(F.lit("a"), F.lit('x"\\\n'), F.lit("b"), F.lit(None).cast("string"))
     line = metric_lines(spark.range(1), F.lit("m"), F.lit(1), labels, F.lit(2)).first()[0]
     assert line == 'm{a="x\\"\\\\\\n",b=""} 1 2'
+
+
+def test_values_at_steps_stop_at_the_look_back(spark):
+    at = lambda m, s=0: f"2024-01-01 00:{m:02d}:{s:02d}"
+    rows = [("a", at(0, 30), 1.0), ("a", at(0, 59), 2.0), ("a", at(2), 3.0), ("a", at(20), 4.0), ("b", at(1, 1), 5.0), ("b", at(1, 1), 6.0),
+            ("b", None, 7.0), ("b", at(2), None), (None, at(3), 8.0)]
+    df = spark.createDataFrame(rows, "s string, t string, v double").withColumn("t", F.col("t").cast("timestamp"))
+    got = {(r.s, r.at.strftime("%M:%S")): r.v for r in rates.values_at_steps(df, ["s"], "t", "v", 60, 180).collect()}
+    want = {}
+    for s, samples in {"a": [(30, 1.0), (59, 2.0), (120, 3.0), (1200, 4.0)], "b": [(61, 6.0)], None: [(180, 8.0)]}.items():
+        for step in range(0, 1800, 60):
+            near = [v for t, v in samples if step - 180 < t <= step]
+            if near:
+                want[(s, f"{step // 60:02d}:00")] = near[-1]
+    assert got == want and ("a", "10:00") not in got
+    assert rates.values_at_steps(df.limit(0), ["s"], "t", "v", 60, 180).isEmpty()
+
+
+def test_sliding_buckets(spark):
+    rows = [("a", "2024-01-01 00:00:00", 1.0, 2), ("a", "2024-01-01 00:01:00", 1.0, 3), ("a", "2024-01-01 00:00:00", 5.0, 4)]
+    df = spark.createDataFrame(rows, "k string, start string, le double, count long").withColumn("start", F.col("start").cast("timestamp"))
+    got = {(r.at.minute, r.le): r["count"] for r in rates.sliding_buckets(df, ["k"], "start", 2, 60).collect()}
+    assert got == {(1, 1.0): 2, (2, 1.0): 5, (3, 1.0): 3, (1, 5.0): 4, (2, 5.0): 4}

@@ -92,6 +92,38 @@ def resample(df: DataFrame, series: Sequence[str], ts: str, value: str, step: st
     )
 
 
+def values_at_steps(df: DataFrame, series: Sequence[str], ts: str, value: str, step_seconds: int, look_back_seconds: int,
+                    tie: str | None = None) -> DataFrame:
+    """``(series, at, value)``: at every step the last sample at or before it, if it is younger than the look-back.
+
+    A gap longer than the look-back leaves steps without a row. Of a step's samples only the last goes on to the steps behind it, as many
+    as the look-back has, and the latest that comes to a step counts: two aggregates that combine before the shuffle, so a
+    series with most of all samples needs neither a window nor a sort. Samples without time or value are no samples; of equal times the
+    greatest ``tie`` (or value) counts.
+    """
+    step, back = step_seconds * 1_000_000, look_back_seconds * 1_000_000
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    late = micros + (step - 1)
+    rank = F.struct(micros.alias("t"), F.col(tie if tie else value).alias("tie"), F.col(value).alias("v"))
+    known = df.where(F.col(ts).isNotNull() & F.col(value).isNotNull()).select(*series, (late - F.pmod(late, F.lit(step))).alias("_at"), rank.alias("_r"))
+    last = known.groupBy(*series, "_at").agg(F.max("_r").alias("_r"))
+    ahead = F.explode(F.sequence(F.lit(0), F.lit(back // step))).alias("_k")
+    spread = last.select(*series, "_at", "_r", ahead).select(*series, (F.col("_at") + F.col("_k") * step).alias("_at"), "_r")
+    seen = spread.where(F.col("_at") - F.col("_r.t") < back).groupBy(*series, "_at").agg(F.max("_r").alias("_r"))
+    at = F.timestamp_micros("_at").cast(df.schema[ts].dataType)
+    return seen.select(*series, at.alias("at"), F.col("_r.v").alias(value))
+
+
+def sliding_buckets(buckets: DataFrame, keys: Sequence[str], start: str, steps: int, step_seconds: int) -> DataFrame:
+    """``(keys, at, le, count)``: growth of cumulative buckets over the last ``steps`` steps, at the end of each step.
+
+    ``buckets`` has the growth in each step, ``(keys, start, le, count)``. A step that no observation reaches within the window is left out.
+    """
+    ahead = F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("_ahead")
+    at = F.col(start) + F.make_dt_interval(secs=(F.col("_ahead") * step_seconds).cast("decimal(18,6)"))
+    return buckets.select("*", ahead).groupBy(*keys, at.alias("at"), "le").agg(F.sum("count").alias("count"))
+
+
 def latest_samples(df: DataFrame, series: Sequence[str], ts: str, value: str, tie: str | None = None) -> DataFrame:
     rank = F.struct(*([ts] + ([tie] if tie else [])))
     return df.groupBy(*series).agg(F.max_by(value, rank).alias(value))

@@ -58,6 +58,38 @@ def resample_1m(spark, sf_dir):
     return rates.resample(table(spark, sf_dir, "events"), ["event_type"], "ts", "value", "1 minute", "event_id")
 
 
+@job("range_query", """
+    WITH e AS (SELECT event_type, ts, arg_max(value, event_id) AS value FROM events GROUP BY 1, 2),
+    g AS (SELECT DISTINCT event_type, unnest(generate_series(time_bucket(INTERVAL 1 MINUTE, lo), hi + INTERVAL 6 MINUTE, INTERVAL 1 MINUTE)) AS at
+      FROM events, (SELECT min(ts) AS lo, max(ts) AS hi FROM events))
+    SELECT g.event_type, g.at, e.value FROM g ASOF JOIN e ON g.event_type = e.event_type AND g.at >= e.ts WHERE g.at < e.ts + INTERVAL 5 MINUTE
+""")
+def range_query(spark, sf_dir):
+    """The last value within five minutes, at every minute."""
+    return rates.values_at_steps(table(spark, sf_dir, "events"), ["event_type"], "ts", "value", 60, 300, "event_id")
+
+
+@job("bucket_rate_quantile", """
+    WITH bounds AS (SELECT unnest([0.1, 0.5, 1.0, 2.5, 5.0, 10.0, 30.0, 60.0, 'infinity'::DOUBLE]::DOUBLE[]) AS le),
+    m AS (SELECT event_type, time_bucket(INTERVAL 1 MINUTE, ts) AS start, le, count(*) FILTER (value <= le) AS c FROM events, bounds GROUP BY 1, 2, 3),
+    b AS (SELECT event_type, start + a * INTERVAL 1 MINUTE AS moment, le, CAST(sum(c) AS DOUBLE) AS c FROM m, range(1, 6) r(a) GROUP BY 1, 2, 3),
+    s AS (SELECT *, coalesce(lag(le) OVER w, 0) AS low, coalesce(lag(c) OVER w, 0) AS before, max(c) OVER (PARTITION BY event_type, moment) AS n
+      FROM b WINDOW w AS (PARTITION BY event_type, moment ORDER BY le)),
+    q AS (SELECT event_type, moment, q, le, low, c, before, n * q AS rank FROM s, (VALUES (0.5::DOUBLE), (0.95)) x(q) WHERE c >= n * q AND c > 0
+      QUALIFY row_number() OVER (PARTITION BY event_type, moment, q ORDER BY le) = 1)
+    SELECT event_type, moment AS "at", max(CASE WHEN q = 0.5 THEN v END) AS p50, max(CASE WHEN q = 0.95 THEN v END) AS p95 FROM (
+      SELECT event_type, moment, q, round(CASE WHEN le = 'infinity' THEN low ELSE low + (le - low) * ((rank - before) / (c - before)) END, 6) AS v FROM q)
+    GROUP BY 1, 2
+""")
+def bucket_rate_quantile(spark, sf_dir):
+    """Median and 95th percentile from the growth of histogram buckets over five minutes, at every minute."""
+    events = table(spark, sf_dir, "events").withColumn("start", F.window("ts", "1 minute").getField("start"))
+    grown = rates.sliding_buckets(aggregates.bucket_counts(events, ["event_type", "start"], "value"), ["event_type"], "start", 5, 60)
+    p50 = aggregates.bucket_quantile(grown, ["event_type", "at"], 0.5, "p50")
+    p95 = aggregates.bucket_quantile(grown, ["event_type", "at"], 0.95, "p95")
+    return p50.join(p95, ["event_type", "at"]).select("event_type", "at", F.round("p50", 6).alias("p50"), F.round("p95", 6).alias("p95"))
+
+
 @job("quality_trend", """
     SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS step_start, arg_max(value, (ts, event_id)) AS quality_score,
            epoch_us(time_bucket(INTERVAL 1 MINUTE, ts)) // 1000000 AS timestamp
