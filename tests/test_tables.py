@@ -85,6 +85,18 @@ def test_a_key_touches_one_bucket(spark):
     assert sorted(r["v"] for r in table.read().filter("k = 500").collect()) == ["p", "q"] and table.read().count() == 203
 
 
+def test_the_first_load_decides_the_number_of_buckets(spark, monkeypatch):
+    monkeypatch.setattr(buckets, "BUCKET_BYTES", 1000)
+    path = fresh_dir(spark, "b")
+    assert buckets.BucketedTable(spark, path, ["k"]).upsert(frame(spark), ["t"]) == 0  # nothing yet
+    touched = buckets.BucketedTable(spark, path, ["k"]).upsert(frame(spark, *[(i, "a", 1) for i in range(300)]), ["t"])
+    assert 5 <= touched <= 12  # some 24 bytes a row
+    again = buckets.BucketedTable(spark, path, ["k"])
+    again.insert_absent(frame(spark, *[(i, "b", 1) for i in range(1000)]), ["t"])
+    assert again.buckets == touched and again.read().count() == 1000 and again.read().where("v = 'a'").count() == 300
+    assert buckets.BucketedTable(spark, path, ["k"]).upsert(frame(spark, (7, "new", 3)), ["t"]) == 1
+
+
 def test_a_bucket_shows_new_columns(spark):
     table = buckets.BucketedTable(spark, fresh_dir(spark, "b"), ["k"], 4)
     table.upsert(frame(spark, *[(i, "a", 1) for i in range(9)]), ["t"])

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tidemill.operators.versions import added_columns, latest_per_key, new_rows
 
 BUCKET, PART = "_bucket", "_part"
+#: Size of a bucket's rows as JSON text, some 100 MB of Parquet, that the first load is cut into.
+BUCKET_BYTES = 512 << 20
 
 
 def not_there(error: AnalysisException) -> bool:
@@ -18,7 +20,10 @@ def not_there(error: AnalysisException) -> bool:
 
 
 class BucketedTable:
-    """Rows with one bucket folder for each hash of ``key``; choose ``buckets`` so that one fits a task.
+    """Rows with one bucket folder for each hash of ``key``.
+
+    Without ``buckets`` their number comes from the bytes of the first batch and is kept beside the rows; choose it yourself where the table
+    is to grow far beyond its first load, so that one bucket fits a task.
 
     A batch that is repeated after a crash ends in the same rows: an upsert keeps the newest row of a key, and
     an insert leaves out the keys that are there. New columns are null in older rows. One writer at a time.
@@ -27,9 +32,26 @@ class BucketedTable:
     only, and ``read`` can be restricted to some parts.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: Sequence[str], buckets: int = 16, part: Column | None = None):
+    def __init__(self, spark: SparkSession, path: str, key: Sequence[str], buckets: int | None = None, part: Column | None = None):
         self.spark, self.path, self.key, self.buckets, self.part = spark, path.rstrip("/"), list(key), buckets, part
 
+    def _number(self, batch: DataFrame) -> int:
+        """Number of buckets: given, stored, or taken from the size of this first batch (an action) and stored."""
+        if self.buckets is None:
+            kept = self.spark.read.schema("buckets int")
+            try:
+                self.buckets = kept.json(f"{self.path}/_buckets").agg(F.max("buckets")).first()[0]
+            except AnalysisException as error:
+                if not not_there(error):
+                    raise
+        if self.buckets is None:
+            size = batch.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
+            if not size:
+                return 1  # nothing to place yet
+            self.buckets = -(-size // BUCKET_BYTES)
+            self.spark.range(0, 1, 1, 1).select(F.lit(self.buckets).cast("int").alias("buckets")).write.mode("overwrite").json(f"{self.path}/_buckets")
+        return self.buckets
+
     def _stored(self) -> DataFrame | None:
         try:
             return self.spark.read.option("mergeSchema", "true").parquet(self.path)
@@ -53,7 +75,7 @@ class BucketedTable:
         return stored.drop(BUCKET, PART)
 
     def _placed(self, df: DataFrame) -> DataFrame:
-        placed = df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int"))
+        placed = df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.key), F.lit(self._number(df))).cast("int"))
         return placed if self.part is None else placed.withColumn(PART, self.part.cast("string"))
 
     def _touched(self, placed: DataFrame) -> list[int]:

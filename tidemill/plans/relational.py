@@ -9,7 +9,9 @@ from tidemill.functions.payloads import json_field
 from tidemill.functions.times import on_day
 from tidemill.functions.values import money_sum
 from tidemill.operators import aggregates, columns, joins, versions
+from tidemill.operators.buckets import BucketedTable
 from tidemill.plans.catalog import job, table, tables
+from tidemill.session import fresh_dir
 
 
 @job("star_enrich", """
@@ -131,8 +133,12 @@ def insert_absent(spark, sf_dir):
         UNION ALL SELECT k, 'SHIPPED', v, n, 1 FROM ship)) WHERE rn = 1
 """)
 def upsert_latest(spark, sf_dir):
+    """The first load is written, the batch merged into the buckets of its keys."""
     target, batch = _order_states(spark, sf_dir)
-    return versions.upserted(target, batch, ["order_id"], ["updated_at"])
+    stored = BucketedTable(spark, fresh_dir(spark, "orders"), ["order_id"])
+    for rows in (target, batch):
+        stored.upsert(rows, ["updated_at"])
+    return stored.read()
 
 
 def _order_states(spark, sf_dir):

@@ -38,7 +38,7 @@ class TableSync:
     path: str
     key: str
     updated_at: str
-    buckets: int = 16
+    buckets: int | None = None
 
     @property
     def table(self) -> BucketedTable:
