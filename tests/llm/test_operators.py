@@ -171,6 +171,17 @@ def test_template_is_reversible_and_masks_answers(spark):
     assert chat_events.digests(chat_events.format_conversations(chat_events.message_events(empty))).count() == 0
 
 
+def test_logs_hold_edits_and_regenerations_and_any_turn(spark):
+    turns = (None, -5, 0, 1, 1 << 40, (1 << 63) - 1)
+    rows = [(c, t, "user" if c % 2 else "assistant", f"{c} {t} " * (c % 5)) for c in range(60) for t in turns]
+    log = chat_events.message_events(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), delta_chars=9)
+    kinds = Counter(r.kind for r in log.collect())
+    assert set(kinds) == {"open", "delta", "edit", "regenerate"} and kinds["open"] == len(rows)
+    assert 50 < kinds["edit"] < 110 and 60 < kinds["regenerate"] < 120
+    found = {(r.conv_id, r.turn): (r.role, r.text) for r in chat_events.reconstruct(log.repartition(7)).collect()}
+    assert found == {(c, t): (w, x) for c, t, w, x in rows}
+
+
 def infix_distance(pattern, text):
     row = [0] * (len(text) + 1)
     for i, c in enumerate(pattern, 1):
@@ -391,13 +402,15 @@ def test_damaged_records_are_refused():
             record_files.unframed(record[:at] + bytes([record[at] ^ 1]) + record[at + 1 :])
 
 
-def shingles(text):
+def shingles(text, width=3):
     words = WORD.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
-    return {tuple(words[i : i + 3]) for i in range(len(words) - 2)} if len(words) >= 3 else ({tuple(words)} if words else set())
+    if len(words) < width:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
 
 
-def linked(rows, percent=90):
-    sets = [shingles(t) for _, t, _ in rows]
+def linked(rows, percent=90, width=3):
+    sets = [shingles(t, width) for _, t, _ in rows]
     root = list(range(len(rows)))
 
     def find(x):
@@ -447,6 +460,61 @@ def test_signatures_are_shared_even_if_only_empty_parts_agree():
             assert set(sig[row == 0].tolist()) & set(sig[row == 1].tolist())
 
 
+def test_long_texts_at_four_fifths_equal_brute_force(spark):
+    rnd = random.Random(37)
+    bases, rows = [prose(rnd, n, 5000).split() for n in (300, 420, 600)], []
+    for k in range(150):
+        words = list(rnd.choice(bases))
+        for _ in range(rnd.randrange(40)):
+            words[rnd.randrange(len(words))] = f"n{rnd.randrange(10**6)}"
+        rows.append((k, " ".join(words), "s"))
+    found = group_jaccard.jaccard_components(table(spark, rows), 80, 5).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == linked(rows, 80, 5)
+
+
+@pytest.mark.parametrize("percent", [90, 80, 60])
+def test_similar_sets_share_one_of_few_signatures(percent):
+    rnd = np.random.default_rng(41)
+    for n in [*rng_sizes(rnd, 60), *[int(x) for x in rnd.integers(300, 1500, 30)]]:
+        a = np.unique(rnd.integers(0, 1 << 62, n, dtype=np.uint64))
+        change = int(rnd.integers(0, max(1, len(a) * (100 - percent) // 100) + 1))
+        b = np.unique(np.concatenate([a[change:], rnd.integers(0, 1 << 62, int(rnd.integers(0, change + 1)), dtype=np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        size = np.array([len(a), len(b)])
+        row, sig = group_jaccard.signatures(np.repeat([0, 1], size), np.concatenate([a, b]), size, percent)
+        if both and 100 * both >= percent * (len(a) + len(b) - both):
+            assert set(sig[row == 0].tolist()) & set(sig[row == 1].tolist())
+        if min(size) >= 300 and percent > 60:
+            assert len(sig) <= {90: 0.4, 80: 0.8}[percent] * size.sum()
+
+
+def test_meetings_equal_brute_force(spark):
+    rnd = random.Random(43)
+    rows = [(rnd.randrange(60) if k % 3 else rnd.randrange(3000), rnd.randrange(1 << 62) if k % 2 else rnd.randrange(9)) for k in range(30_000)]
+    rows += [(7, k % 11_000) for k in range(25_000)]  # one signature over several batches
+    want = {}
+    for sig, cls in set(rows):
+        want.setdefault(sig, []).append(cls)
+    got = group_jaccard.meetings(spark.createDataFrame(rows, "sig long, cls long"), 3).collect()
+    assert Counter(tuple(r) for r in got) == Counter((s, c, min(cs)) for s, cs in want.items() if len(cs) > 1 for c in cs)
+    assert group_jaccard.meetings(spark.createDataFrame([], "sig long, cls long"), 3).count() == 0
+
+
+def rng_sizes(rnd, n):
+    return [int(x) for x in rnd.integers(1, 60, n)]
+
+
+def test_added_names_may_be_taken(spark, odd_rows):
+    """One column for every name that an operator adds inside."""
+    inside = ["gone", "twice", "spans", "of", "whole", "skip", "skips", "skipc", "of_shard", "of_cell", "high", "low", "cell", "tie_order"]
+    docs = table(spark, odd_rows).withColumns({c: F.lit("mine") for c in inside})
+    assert len(group_jaccard.one_each(docs).collect()) == 10
+    left = repeat_removal.remove_repeats(docs)
+    assert left.count() == len(odd_rows) and set(inside) <= set(left.columns)
+    placed = shards(docs, shards=4)
+    assert placed.count() == len(odd_rows) and placed.where("skips <> 'mine'").isEmpty()
+
+
 def test_one_of_each_component_stays(spark, odd, none):
     kept = group_jaccard.one_each(odd)
     assert kept.columns == odd.columns

@@ -19,6 +19,8 @@ BITS = 2048
 #: Members of a group, and tokens of all its members together.
 MEMBERS, GROUP_TOKENS = 32, 500_000
 SEEDS = 16
+#: Signatures that one task sorts, so that a task needs some ten MB for them.
+SORTED = 1_000_000
 
 
 LETTERS = mixed(np.arange(1, 257, dtype=np.uint64) * ODD)
@@ -67,26 +69,28 @@ def shingle_sets(texts: Texts, width: int = 3, seed: int = 0) -> tuple[np.ndarra
 
 @cache
 def levels(percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Least size of each level, and the parts of its sets.
+    """Least size of each level, and the most elements in which similar sets of it differ.
 
-    A set of size n can only meet sets of its own and the next level. Similar sets of a level differ in at most
-    (a + b)(1 - t) / (1 + t) elements, so of one part more at least one is the same in both.
+    A set of size n can only meet sets of its own and the next level; similar sets differ in at most
+    (a + b)(1 - t) / (1 + t) elements.
     """
     least = [1]
     while least[-1] < 1 << 40:
         least.append(least[-1] * 100 // percent + 1)
     top = np.array(least[1:], np.int64) - 1
-    return np.array(least[:-1], np.int64), 2 * top * (100 - percent) // (100 + percent) + 1
+    return np.array(least[:-1], np.int64), 2 * top * (100 - percent) // (100 + percent)
 
 
 def signatures(owner: np.ndarray, tokens: np.ndarray, size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows and signatures: one for each part of a set, for its own level and for the next if a similar set may lie there.
 
-    Two similar sets share a signature. Usually that of a part with elements; if the only common parts are empty ones,
-    both sets have an empty part, and sets that have one are parted again with the next seed. What is empty after
-    the last seed has a signature too, so nothing is lost.
+    Two similar sets share a signature. With d differences and more than d filled parts in one of them, one filled part is the same in
+    both; a fifth more parts than needed make that usual. A set with fewer filled parts is parted again with the
+    next seed, so the set that stops first has met the other's parts of the same seed. After the last seed empty parts have a
+    signature too, so nothing is lost.
     """
-    least, parts = levels(percent)
+    least, differ = levels(percent)
+    parts = differ + differ // 5 + 1
     out_rows, out = [], []
     own = np.searchsorted(least, np.maximum(size, 1), side="right") - 1
     reach = np.searchsorted(least, np.maximum(size * 100 // percent, 1), side="right") - 1
@@ -114,9 +118,7 @@ def signatures(owner: np.ndarray, tokens: np.ndarray, size: np.ndarray, percent:
                 keep = filled if seed + 1 < SEEDS else np.ones(total, bool)
                 out_rows.append(row[keep])
                 out.append(mixed(sums[keep] + name[keep]))
-                lacking = np.zeros(len(size), bool)
-                lacking[row[~filled]] = True
-                live = live & lacking
+                live = live & (np.bincount(row, weights=filled, minlength=len(size)) <= differ[level])
     return np.concatenate([*out_rows, np.zeros(0, np.int64)]), np.concatenate([*out, np.zeros(0, np.uint64)])
 
 
@@ -133,23 +135,43 @@ def _lists(owner: np.ndarray, values: np.ndarray, rows: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values[order].view(np.int64)))
 
 
-def set_table(docs: DataFrame, percent: int, width: int, seed: int) -> DataFrame:
-    """``doc_id, n, set_hash, check_hash, signatures`` of every row."""
+def _set_hashes(owner: np.ndarray, tokens: np.ndarray, rows: int) -> np.ndarray:
+    return mixed(_sum_by_row(owner, mixed(tokens + U(1)), rows))
+
+
+def set_table(docs: DataFrame, width: int, seed: int) -> DataFrame:
+    """``doc_id, n, set_hash, check_hash`` of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = batch.num_rows
             owner, tokens = shingle_sets(Texts(batch.column(1)), width, seed)
             size = np.bincount(owner, minlength=rows)
-            one = _sum_by_row(owner, mixed(tokens + U(1)), rows)
             two = _sum_by_row(owner, mixed(tokens * U(0xA0761D6478BD642F)), rows)
-            found = signatures(owner, tokens, size, percent)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(size.astype(np.int64)), pa.array(mixed(one).view(np.int64)),
-                 pa.array(two.view(np.int64)), _lists(*found, rows)],
-                names=["doc_id", "n", "set_hash", "check_hash", "signatures"])
+                [batch.column(0).cast(pa.int64()), pa.array(size.astype(np.int64)),
+                 pa.array(_set_hashes(owner, tokens, rows).view(np.int64)), pa.array(two.view(np.int64))],
+                names=["doc_id", "n", "set_hash", "check_hash"])
+
+    return docs.mapInArrow(run, "doc_id long, n long, set_hash long, check_hash long")
+
+
+def signature_rows(docs: DataFrame, percent: int, width: int, seed: int) -> DataFrame:
+    """``sig, cls`` of all sets, ``cls`` being the set's hash. They are some hundred a text, so they are not stored but built where they
+    are exchanged; equal sets that lie side by side are taken once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = batch.num_rows
+            owner, tokens = shingle_sets(Texts(batch.column(1)), width, seed)
+            one = _set_hashes(owner, tokens, rows)
+            first = np.zeros(rows, bool)
+            first[np.unique(one, return_index=True)[1]] = True
+            size = np.where(first, np.bincount(owner, minlength=rows), 0)
+            row, sig = signatures(owner, tokens, size, percent)
+            yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(one[row].view(np.int64))], names=["sig", "cls"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, set_hash long, check_hash long, signatures array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "sig long, cls long")
 
 
 def token_table(docs: DataFrame, wanted: DataFrame, width: int, seed: int) -> DataFrame:
@@ -169,7 +191,7 @@ def token_table(docs: DataFrame, wanted: DataFrame, width: int, seed: int) -> Da
                 rows = batch.num_rows
                 owner, tokens = shingle_sets(Texts(batch.column(1)), width, seed)
                 size = np.bincount(owner, minlength=rows)
-                one = mixed(_sum_by_row(owner, mixed(tokens + U(1)), rows))
+                one = _set_hashes(owner, tokens, rows)
                 bits = np.zeros((rows, BITS), bool)
                 bits[owner, (tokens >> U(40)).astype(np.int64) % BITS] = True
                 packed = np.packbits(bits, axis=1).view(np.int64)
@@ -190,8 +212,11 @@ def _missing(bits: Column, other: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, x: a + x)
 
 
-def _verified(pairs: DataFrame, table: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` of classes whose sets are similar; bits exclude most others before the sets are compared."""
+def _verified(pairs: DataFrame, table: DataFrame, percent: int, label: str) -> DataFrame:
+    """The pairs ``a, b`` of classes whose sets are similar, stored; bits exclude most others before the sets are compared.
+
+    What the bits let through is stored first, so that Spark knows its size, and only the sets in it are exchanged.
+    """
     light = table.select("cls", "n", "bits")
     x = light.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"))
     y = light.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
@@ -200,10 +225,53 @@ def _verified(pairs: DataFrame, table: DataFrame, percent: int) -> DataFrame:
         (100 * F.least("na", "nb") >= p * F.greatest("na", "nb"))
         & (100 * (F.col("na") - _missing(F.col("ba"), F.col("bb"))) >= p * (F.col("nb") + _missing(F.col("ba"), F.col("bb"))))
         & (100 * (F.col("nb") - _missing(F.col("bb"), F.col("ba"))) >= p * (F.col("na") + _missing(F.col("bb"), F.col("ba")))))
-    x = table.select(F.col("cls").alias("a"), F.col("tokens").alias("ta"))
-    y = table.select(F.col("cls").alias("b"), F.col("tokens").alias("tb"))
-    met = near.select("a", "b", "na", "nb").join(x, "a").join(y, "b").withColumn("both", F.size(F.array_intersect("ta", "tb")))
-    return met.where(100 * F.col("both") >= p * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
+    near = stored(near.select("a", "b", "na", "nb"), f"{label}-near")
+    x = table.select(F.col("cls").alias("a"), F.col("tokens").alias("ta")).join(near.select("a").distinct(), "a", "left_semi")
+    y = table.select(F.col("cls").alias("b"), F.col("tokens").alias("tb")).join(near.select("b").distinct(), "b", "left_semi")
+    met = near.join(x, "a").join(y, "b").withColumn("both", F.size(F.array_intersect("ta", "tb")))
+    out = stored(met.where(100 * F.col("both") >= p * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b"), label)
+    discard(near)
+    return out
+
+
+def meetings(shared: DataFrame, parts: int) -> DataFrame:
+    """``sig, cls, first`` of each signature that different classes of ``shared(sig, cls)`` have, ``first`` being its least class.
+
+    Most signatures are met once. So rows are exchanged a single time, sorted, and passed on as they stream by; of a signature nothing
+    is kept but its first and last class. A class has a signature once and some hundred in all, so no signature comes near a
+    large share of the rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # signature, first and last class of the group that the last batch ended in, and whether it was passed on
+        for batch in batches:
+            sig, cls = (c.to_numpy() for c in batch.columns)
+            if held is not None:
+                sig, cls = np.append(held[0], sig), np.append(held[2], cls)
+            if not len(sig):
+                continue
+            new = np.append(True, (sig[1:] != sig[:-1]) | (cls[1:] != cls[:-1]))
+            sig, cls = sig[new], cls[new]
+            start = np.append(True, sig[1:] != sig[:-1])
+            at = np.flatnonzero(start)
+            size = np.diff(np.append(at, len(sig)))
+            first = cls[at]
+            known = held is not None and held[3]
+            if held is not None:
+                first[0] = held[1]
+            passes = size > 1
+            if known:
+                passes[0] = True
+            keep = np.repeat(passes, size)
+            if known:
+                keep[0] = False  # its last class stands for it here
+            firsts = np.repeat(first, size)
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (sig, cls, firsts)], names=["sig", "cls", "first"])
+            held = (sig[-1], first[-1], cls[-1], bool(passes[-1]))
+
+    dealt = shared.repartition(parts, "sig").sortWithinPartitions("sig", "cls")
+    return dealt.mapInArrow(run, "sig long, cls long, first long")
 
 
 def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> DataFrame:
@@ -221,26 +289,26 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
        bits that the row lacks; only groups that this bound lets through are opened, and their members compared.
 
     So every similar pair is compared or already connected, and a signature that thousands share makes no pairs inside a
-    component. Counting hot signatures combines before the shuffle; joins on them can be split. Null and empty texts have
-    no shingle and link with nothing: their component is their own doc_id. Rows with equal doc_id are documents each; a null
+    component. Joins on hot signatures can be split. Null and empty texts have no shingle and link with nothing: their component is their own doc_id. Rows with equal doc_id are documents each; a null
     doc_id counts only where no other is in the component. Hashes have 64 bits; if two sets share one (seen by a second hash),
     all is done again with another seed.
     """
     rows = docs.select("doc_id", "text")
     for seed in range(4):
-        table = stored(set_table(rows, percent, width, seed), "jaccard-sets")
+        table = stored(set_table(rows, width, seed), "jaccard-sets")
         some = table.where("n > 0")
         classes = stored(some.groupBy(F.col("set_hash").alias("cls"), "check_hash").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
         if classes.groupBy("cls").count().where("count > 1").isEmpty():
             break
         discard(table, classes)
-    shared = some.select(F.explode("signatures").alias("sig"), F.col("set_hash").alias("cls"))
-    ends = shared.groupBy("sig").agg(F.min("cls").alias("first"), F.max("cls").alias("last")).where("first < last")
-    meet = stored(shared.join(ends.select("sig", "first"), "sig").distinct(), "jaccard-meetings")
-    wanted = classes.join(meet.select("cls").distinct(), "cls").select("cls", "rep")
-    sets = stored(token_table(rows, stored(wanted, "jaccard-wanted"), width, seed), "jaccard-tokens")
+    shingles = some.agg(F.sum("n")).first()[0] or 0
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), shingles * 6 // 10 // SORTED)  # 0.6 signatures a shingle at 80 percent
+    meet = stored(meetings(signature_rows(rows, percent, width, seed), tasks), "jaccard-meetings")
+    wanted = stored(classes.join(meet.select("cls").distinct(), "cls").select("cls", "rep"), "jaccard-wanted")
+    sets = stored(token_table(rows, wanted, width, seed), "jaccard-tokens")
+    discard(wanted)
     star = meet.where("first < cls").select(F.col("first").alias("a"), F.col("cls").alias("b")).distinct()
-    links = stored(_verified(star, sets, percent), "jaccard-links")
+    links = _verified(star, sets, percent, "jaccard-links")
     linked = components(links)
     final = _across(meet, sets, links, linked, percent)
     root = F.coalesce("root", "cls")
@@ -274,13 +342,15 @@ def _across(meet: DataFrame, sets: DataFrame, links: DataFrame, linked: DataFram
     first_table = stored(several(placed), "jaccard-open")
     first, size = sized(first_table)
     if not size:
+        discard(first_table)
         return linked
     owners = first.select("cls", "root").distinct().join(sets.select("cls", "n", "tokens"), "cls")
     own = owners.select("cls", F.explode("tokens").alias("t")).groupBy("t").agg(F.min("cls").alias("cls"), F.count("*").alias("of"))
     own = own.where("of = 1").groupBy("cls").agg(F.count("*").alias("u"))
     free = F.col("n") - F.coalesce("u", F.lit(0))
-    reach, _ = sized(stored(owners.select("cls", "root", "n").join(own, "cls", "left").select(
-        "cls", "root", "n", (F.floor((100 + p) * free / p) - F.col("n")).alias("reach")), "jaccard-reach"))
+    reach_table = stored(owners.select("cls", "root", "n").join(own, "cls", "left").select(
+        "cls", "root", "n", (F.floor((100 + p) * free / p) - F.col("n")).alias("reach")), "jaccard-reach")
+    reach, _ = sized(reach_table)
     fits = lambda x, y: (
         (F.col(f"{x}.reach") >= F.col(f"{y}.n")) & (F.col(f"{y}.reach") >= F.col(f"{x}.n"))
         & (100 * F.least(f"{x}.n", f"{y}.n") >= p * F.greatest(f"{x}.n", f"{y}.n")))
@@ -289,14 +359,18 @@ def _across(meet: DataFrame, sets: DataFrame, links: DataFrame, linked: DataFram
     lead = known.groupBy("sig").agg(F.min_by(one, F.struct((F.col("n") - F.col("reach")) / F.col("n"), "cls")).alias("x"))
     star = known.select("sig", one.alias("y")).join(lead, "sig").where((F.col("x.root") != F.col("y.root")) & fits("x", "y"))
     pairs = star.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
-    near, found = sized(stored(_verified(pairs, sets, percent), "jaccard-near"))
+    near_table = _verified(pairs, sets, percent, "jaccard-led")
+    near, found = sized(near_table)
     joined = components(links.union(near)) if found else linked
     reach = reach.drop("root").join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     rows = several(known.drop("root").join(reach.select("cls", "root"), "cls"))
     least = rows.groupBy("sig").agg(F.min("n").alias("least"))
     rows = several(rows.join(least, "sig").where("reach >= least").drop("least"))
-    rows, left = sized(stored(rows, "jaccard-rows"))
+    row_table = stored(rows, "jaccard-rows")
+    rows, left = sized(row_table)
+    discard(first_table)
     if not left:
+        discard(reach_table, near_table, row_table)
         return joined
     alive = rows.select("cls").distinct()
     members = reach.join(alive, "cls").join(sets.select("cls", "bits"), "cls")
@@ -323,9 +397,11 @@ def _across(meet: DataFrame, sets: DataFrame, links: DataFrame, linked: DataFram
     most = F.col("n") - _missing(F.col("bits"), F.col("row"))
     opened = asked.where((100 + p) * most >= p * (F.col("n") + F.greatest("low", F.ceil(p * F.col("n") / 100))))
     inside = opened.select("gid", "q").join(in_group.select("gid", "cls"), "gid").select(F.col("q").alias("a"), F.col("cls").alias("b"))
-    more, found = sized(stored(_verified(inside, sets, percent), "jaccard-more"))
-    discard(first_table, in_group)
-    return components(links.union(near).union(more)) if found else joined
+    more_table = _verified(inside, sets, percent, "jaccard-more")
+    more, found = sized(more_table)
+    out = components(links.union(near).union(more)) if found else joined
+    discard(reach_table, near_table, row_table, in_group, more_table, *([joined] if found and joined is not linked else []))
+    return out
 
 
 def one_each(docs: DataFrame, percent: int = 90, width: int = 3) -> DataFrame:
@@ -334,8 +410,9 @@ def one_each(docs: DataFrame, percent: int = 90, width: int = 3) -> DataFrame:
     Rows alike in doc_id and text count as copies: one stays. A component whose ids are all null stays whole.
     """
     found = jaccard_components(docs, percent, width)
-    go = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    left = docs.join(go, F.col("doc_id") == F.col("gone"), "left_anti")
+    gone = column_name(docs, "gone")
+    go = found.where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
+    left = docs.join(go, F.col("doc_id") == F.col(gone), "left_anti")
     same = found.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1 and doc_id is not null")
     if same.isEmpty():
         return left
