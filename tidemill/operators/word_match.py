@@ -137,6 +137,8 @@ def best_word_match(left: DataFrame, right: DataFrame, text: str, key: str, min_
     looked = wanted.join(canonical, F.col("l") == F.col("r"), "left").select("l", "_key").checkpoint()
     exact = looked.where(F.col("_key").isNotNull()).select("l", F.col("_key").alias("matched_key"), F.lit(100.0).alias("score"))
     left_over = looked.where(F.col("_key").isNull()).select("l")
+    if left_over.isEmpty():
+        return exact.withColumnRenamed("l", text)
     scored = word_pairs(left_over, canonical.select("r"), min_score).join(canonical, "r")
     top = F.min_by(F.struct("_key", "score"), F.struct(-F.col("score"), "_key"))
     best = scored.groupBy("l").agg(top.alias("b")).select("l", F.col("b._key").alias("matched_key"), "b.score")
