@@ -28,15 +28,17 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 
 def _block_topk(query_ids: np.ndarray, query_rows: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int,
-                threshold: float | None) -> pd.DataFrame:
-    """Best ``k`` of one block for each query, complete with ties decided by id."""
+                threshold: float | None, wanted: np.ndarray | None = None) -> pd.DataFrame:
+    """Best ``k`` of one block for each query, complete with ties decided by id; ``wanted``, queries x rows, tells what counts."""
     asked, hits, scores = [], [], []
     tile = max(1, TILE // max(1, len(ids)))
     for at in range(0, len(query_ids), tile):
         similarity = query_rows[at:at + tile] @ rows.T
         np.round(similarity, DIGITS, out=similarity)
-        for q, line in zip(query_ids[at:at + tile], similarity):
+        for i, (q, line) in enumerate(zip(query_ids[at:at + tile], similarity), at):
             keep = np.arange(len(ids)) if threshold is None else np.flatnonzero(line >= threshold)
+            if wanted is not None:
+                keep = keep[wanted[i, keep]]
             if len(keep) > k:
                 cut = np.partition(line[keep], len(keep) - k)[len(keep) - k]
                 keep = keep[line[keep] >= cut]
