@@ -221,3 +221,23 @@ def test_model_batches(spark, docs):
 
     got = {r["doc_id"]: list(r["embedding"]) for r in vector_search.encode_with(docs, "doc_id", "title", load, batch_size=2).collect()}
     assert got[1] == [8.0, 1.0] and len(got) == 4
+
+
+def test_words_are_counted_in_the_row_and_repeated_ids_are_one_document(spark):
+    rows = [(1, "Red bolt red"), (2, "bolt"), (3, None), (4, " , ")]
+    once = lexical.postings(spark.createDataFrame(rows, "doc_id long, body string"), "doc_id", ["body"])
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()  # nothing is shuffled or held for a split
+    got = {tuple(r) for r in once.select("doc_id", "term", "tf", "doc_len").collect()}
+    assert got == {(1, "red", 2, 3), (1, "bolt", 1, 3), (2, "bolt", 1, 1), (1, "", 1, 3), (2, "", 1, 1), (3, "", 1, 0), (4, "", 1, 0)}
+    again = lexical.postings(spark.createDataFrame([*rows, (2, "bolt"), (None, "red"), (None, "red")], "doc_id long, body string"), "doc_id", ["body"])
+    found = {(r.doc_id, r.term): r.tf for r in again.collect()}
+    assert found[(2, "bolt")] == 2 and found[(2, "")] == 2 and found[(None, "red")] == 2 and found[(1, "red")] == 2 and len(found) == 9
+
+
+def test_sums_are_spread_over_tasks_by_their_number(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "red bolt") for i in range(60)], "doc_id long, body string")
+    index = lexical.postings(docs, "doc_id", ["body"])
+    terms = lexical.query_terms(ask(spark, "red bolt", "bolt"), "qid", "text")
+    monkeypatch.setattr(lexical, "TASK_SUMS", 10)
+    plan = lexical.bm25_scores(index, terms, {"body": 1.0})._jdf.queryExecution().toString()
+    assert "hashpartitioning(doc_id" in plan and ", 12)" in plan.replace("#", ", ") or "RepartitionByExpression [doc_id" in plan and "], 12" in plan
