@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.operators import registry, versions
+from tidemill.operators import buckets, registry, versions
 from tidemill.plans import orders, sales
 from tidemill.session import fresh_dir
 from tidemill.sources import synthetic
@@ -94,3 +94,25 @@ def test_sql_names_no_restricted_table(spark, sql):
     if "parquet" not in sql:
         registry.check_query(spark, sql, ["finance"])
     registry.check_query(spark, "SELECT * FROM sales_t JOIN range(3)", [])
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark):
+    data = spark.range(20_000).select(F.col("id").cast("string").alias("order_id"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    table = buckets.BucketedTable(spark, fresh_dir(spark, "buckets"), ["order_id"], 1)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        table.insert_absent(data, ["text"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(table.read().inputFiles()) > 1 and table.read().distinct().count() == 20_000
+
+
+def test_a_batch_leaves_no_enriched_rows(spark, lookups):
+    root = fresh_dir(spark, "flow")
+    flow = orders.OrderFlow(spark, root, lookups)
+    flow.run(batch(spark, 50, 4), "1")
+    from pyspark.errors import AnalysisException
+
+    for folder in ("staging/1", "enriched/1"):
+        with pytest.raises(AnalysisException):
+            spark.read.parquet(f"{root}/{folder}")

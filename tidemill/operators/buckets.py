@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators.versions import added_columns, latest_per_key, new_rows
+from tidemill.session import ensure_checkpoint_dir
 
 BUCKET, PART = "_bucket", "_part"
 #: Size of a bucket's rows as JSON text, some 100 MB of Parquet, that the first load is cut into.
@@ -85,7 +86,8 @@ class BucketedTable:
     def _write(self, placed: DataFrame, mode: str) -> None:
         by = [BUCKET] if self.part is None else [BUCKET, PART]
         # Dynamic: an overwrite replaces the folders that get rows and leaves all others alone.
-        placed.repartition(*by).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(self.path)
+        # Rebalanced: a bucket that is too large for a task is written by several, small ones share a task.
+        placed.hint("rebalance", *by).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(self.path)
 
     def upsert(self, batch: DataFrame, order: Sequence[str]) -> int:
         """Merge a batch by name: newest per key wins, the batch on equal order. Gives the number of rewritten buckets.
@@ -121,7 +123,12 @@ class BucketedTable:
         self._write(fresh, "append")
 
     def replace_keys(self, rows: DataFrame) -> int:
-        """Put ``rows`` in the place of all rows that have one of their keys. Gives the number of rewritten buckets."""
+        """Put ``rows`` in the place of all rows that have one of their keys. Gives the number of rewritten buckets.
+
+        The rows are checkpointed first: their buckets, their keys and the new files are all made from them.
+        """
+        ensure_checkpoint_dir(self.spark)
+        rows = rows.checkpoint()
         placed, stored = self._placed(rows), self._stored()
         touched = self._touched(placed)
         if stored is not None and touched:

@@ -46,8 +46,8 @@ class OrderFlow:
     """Staging, production, rejects and the hourly view of one order pipeline.
 
     Production and rejects lie by hash of the order id, production also by month, and the view by hash of the hour: a batch searches
-    the buckets of its orders, reads production of its months, and rewrites the view's buckets of its hours. It writes at most one
-    file for each bucket and month, so choose ``buckets`` by the size of a month.
+    the buckets of its orders, reads production of its months, and rewrites the view's buckets of its hours. It writes one
+    file for each bucket and month, or several where that is too large for a task.
     """
 
     def __init__(self, spark: SparkSession, path: str, lookups: Lookups, buckets: int = 4):
@@ -65,7 +65,9 @@ class OrderFlow:
         staging = f"{self.path}/staging/{batch_id}"
         batch.write.mode("overwrite").parquet(staging)
         staged = self.spark.read.schema(batch.schema).parquet(staging)
-        good, bad = split_enriched(enrich_orders(staged, self.lookups))
+        tagged, enriched = enrich_orders(staged, self.lookups), f"{self.path}/enriched/{batch_id}"
+        tagged.write.mode("overwrite").parquet(enriched)  # joined once, read by rejects and production
+        good, bad = split_enriched(self.spark.read.schema(tagged.schema).parquet(enriched))
         self.rejects.insert_absent(bad.select("order_id", "order_timestamp", F.array_join("missing", "|").alias("missing")),
                                    ["order_timestamp"])
         self.production.insert_absent(good.select(*ORDER_COLUMNS), ["order_timestamp"])
@@ -75,6 +77,7 @@ class OrderFlow:
         facts = facts.join(staged.select(hour).distinct(), "hour", "left_semi")
         fresh = hourly_sales(facts, "order_timestamp", "category", "quantity", "total_amount_usd", "customer_id")
         self.hourly.replace_keys(fresh)
+        remove_dir(self.spark, enriched)
         remove_dir(self.spark, staging)
 
 
