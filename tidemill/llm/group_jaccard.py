@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ BITS = 2048
 #: Members of a group, and tokens of all its members together.
 MEMBERS, GROUP_TOKENS = 32, 500_000
 SEEDS = 16
+#: Similar sets share one signature and one more for each so many elements in which they may differ.
+SURPLUS = 16
 #: Signatures that one task sorts, so that a task needs some ten MB for them.
 SORTED = 1_000_000
 
@@ -81,18 +84,27 @@ def levels(percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(least[:-1], np.int64), 2 * top * (100 - percent) // (100 + percent)
 
 
+def least_shared(differ: np.ndarray) -> np.ndarray:
+    """How many signatures of one level two similar sets share at least, by the most elements in which they differ."""
+    return 1 + differ // SURPLUS
+
+
+def level_of(size: np.ndarray, percent: int) -> np.ndarray:
+    return np.searchsorted(levels(percent)[0], np.maximum(size, 1), side="right") - 1
+
+
 def signatures(owner: np.ndarray, tokens: np.ndarray, size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows and signatures: one for each part of a set, for its own level and for the next if a similar set may lie there.
 
-    Two similar sets share a signature. With d differences and more than d filled parts in one of them, one filled part is the same in
-    both; a fifth more parts than needed make that usual. A set with fewer filled parts is parted again with the
-    next seed, so the set that stops first has met the other's parts of the same seed. After the last seed empty parts have a
-    signature too, so nothing is lost.
+    Two similar sets share signatures. With d differences and d + s filled parts in one of them, s filled parts are the same in
+    both; a fifth more parts than differences make it usual that s reaches ``least_shared``. A set with fewer filled parts is parted
+    again with the next seed, so the set that stops first has met the other's parts of the same seed. After the last seed empty parts
+    have a signature too, so nothing is lost. The last bit of a signature is that of its level, so a set's own level and the next differ in it.
     """
     least, differ = levels(percent)
     parts = differ + differ // 5 + 1
     out_rows, out = [], []
-    own = np.searchsorted(least, np.maximum(size, 1), side="right") - 1
+    own = level_of(size, percent)
     reach = np.searchsorted(least, np.maximum(size * 100 // percent, 1), side="right") - 1
     with np.errstate(over="ignore"):
         body = mixed(tokens * U(0xD6E8FEB86659FD93))
@@ -117,8 +129,8 @@ def signatures(owner: np.ndarray, tokens: np.ndarray, size: np.ndarray, percent:
                 name = mixed(part.astype(np.uint64) + mixed(level[row].astype(np.uint64) * U(SEEDS) + U(seed)) * ODD)
                 keep = filled if seed + 1 < SEEDS else np.ones(total, bool)
                 out_rows.append(row[keep])
-                out.append(mixed(sums[keep] + name[keep]))
-                live = live & (np.bincount(row, weights=filled, minlength=len(size)) <= differ[level])
+                out.append(mixed(sums[keep] + name[keep]) & ~U(1) | (level[row[keep]] & 1).astype(np.uint64))
+                live = live & (np.bincount(row, weights=filled, minlength=len(size)) < (differ + least_shared(differ))[level])
     return np.concatenate([*out_rows, np.zeros(0, np.int64)]), np.concatenate([*out, np.zeros(0, np.uint64)])
 
 
@@ -139,8 +151,9 @@ def _set_hashes(owner: np.ndarray, tokens: np.ndarray, rows: int) -> np.ndarray:
     return mixed(_sum_by_row(owner, mixed(tokens + U(1)), rows))
 
 
-def set_table(docs: DataFrame, width: int, seed: int) -> DataFrame:
-    """``doc_id, n, set_hash, check_hash`` of every row."""
+def set_table(docs: DataFrame, percent: int, width: int, seed: int) -> DataFrame:
+    """``doc_id, n, set_hash, check_hash, even, odd`` of every row; the last two are what a similar set shares of even and odd levels."""
+    needed = least_shared(levels(percent)[1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -148,12 +161,14 @@ def set_table(docs: DataFrame, width: int, seed: int) -> DataFrame:
             owner, tokens = shingle_sets(Texts(batch.column(1)), width, seed)
             size = np.bincount(owner, minlength=rows)
             two = _sum_by_row(owner, mixed(tokens * U(0xA0761D6478BD642F)), rows)
+            own = level_of(size, percent)
+            even, odd = needed[own + own % 2], needed[own + 1 - own % 2]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(size.astype(np.int64)),
-                 pa.array(_set_hashes(owner, tokens, rows).view(np.int64)), pa.array(two.view(np.int64))],
-                names=["doc_id", "n", "set_hash", "check_hash"])
+                 pa.array(_set_hashes(owner, tokens, rows).view(np.int64)), pa.array(two.view(np.int64)), pa.array(even), pa.array(odd)],
+                names=["doc_id", "n", "set_hash", "check_hash", "even", "odd"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, set_hash long, check_hash long")
+    return docs.mapInArrow(run, "doc_id long, n long, set_hash long, check_hash long, even long, odd long")
 
 
 def signature_rows(docs: DataFrame, percent: int, width: int, seed: int) -> DataFrame:
@@ -202,7 +217,9 @@ def token_table(docs: DataFrame, wanted: DataFrame, width: int, seed: int) -> Da
                     names=["doc_id", "cls", "n", "tokens", "bits"])
 
     made = keyed.mapInArrow(run, "doc_id long, cls long, n long, tokens array<long>, bits array<long>")
-    own = made.join(wanted.withColumnRenamed("cls", "of"), (F.col("cls") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("rep")))
+    # dealt by class alone, so that the same exchange serves to drop repeats
+    same = F.coalesce(F.col("doc_id") == F.col("rep"), F.col("doc_id").isNull() & F.col("rep").isNull())
+    own = made.join(wanted.withColumnRenamed("cls", "of"), (F.col("cls") == F.col("of")) & same)
     return own.select("cls", "n", "tokens", "bits").dropDuplicates(["cls"])
 
 
@@ -274,14 +291,25 @@ def meetings(shared: DataFrame, parts: int) -> DataFrame:
     return dealt.mapInArrow(run, "sig long, cls long, first long")
 
 
+def _enough(rows: DataFrame, needed: DataFrame) -> DataFrame:
+    """The rows ``sig, cls, ...`` of classes that have as many rows of a level as similar sets share signatures of it.
+
+    ``needed(cls, even, odd)`` says how many; a passage that texts have in common gives fewer.
+    """
+    odd = F.col("sig").bitwiseAND(F.lit(1).cast("long")) == 1
+    have = rows.groupBy("cls").agg(F.count_if(~odd).alias("n_even"), F.count_if(odd).alias("n_odd"))
+    met = have.join(needed, "cls").select("cls", (F.col("n_even") >= F.col("even")).alias("in_even"), (F.col("n_odd") >= F.col("odd")).alias("in_odd"))
+    return rows.join(met.where("in_even or in_odd"), "cls").where(F.when(odd, F.col("in_odd")).otherwise(F.col("in_even"))).select(*rows.columns)
+
+
 def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text)``.
 
     Two documents link if the Jaccard similarity of their shingle sets is ``percent`` or more; ``component_id`` is the least doc_id
     that links reach. Equal sets form one class and are compared once. Of the classes:
 
-    1. Each set gives signatures of its parts (see ``signatures``): similar sets share one. Classes that share a signature
-       with another are candidates; only their sets are built again from the texts.
+    1. Each set gives signatures of its parts (see ``signatures``): similar sets share some (see ``least_shared``). Classes that share so
+       many with others are candidates; only their sets are built again from the texts.
     2. All candidates of a signature are compared with the first of them, and links make components.
     3. Where a signature still holds classes of two components (see ``_across``), classes are queries and the components, cut into groups of
        similar documents (at most MEMBERS members and about GROUP_TOKENS tokens), are the groups of the token-group matrix: a row
@@ -295,22 +323,28 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     """
     rows = docs.select("doc_id", "text")
     for seed in range(4):
-        table = stored(set_table(rows, width, seed), "jaccard-sets")
+        table = stored(set_table(rows, percent, width, seed), "jaccard-sets")
         some = table.where("n > 0")
-        classes = stored(some.groupBy(F.col("set_hash").alias("cls"), "check_hash").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
+        classes = stored(some.groupBy(F.col("set_hash").alias("cls"), "check_hash").agg(
+            F.min("doc_id").alias("rep"), F.min("even").alias("even"), F.min("odd").alias("odd")), "jaccard-classes")
         if classes.groupBy("cls").count().where("count > 1").isEmpty():
             break
         discard(table, classes)
     shingles = some.agg(F.sum("n")).first()[0] or 0
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), shingles * 6 // 10 // SORTED)  # 0.6 signatures a shingle at 80 percent
-    meet = stored(meetings(signature_rows(rows, percent, width, seed), tasks), "jaccard-meetings")
-    wanted = stored(classes.join(meet.select("cls").distinct(), "cls").select("cls", "rep"), "jaccard-wanted")
-    sets = stored(token_table(rows, wanted, width, seed), "jaccard-tokens")
-    discard(wanted)
+    every = stored(meetings(signature_rows(rows, percent, width, seed), tasks), "jaccard-every-meeting")
+    needed = classes.select("cls", "even", "odd")
+    some = stored(_enough(every.select("sig", "cls"), needed), "jaccard-enough")
+    discard(every)
+    ends = some.groupBy("sig").agg(F.min("cls").alias("first"), F.max("cls").alias("last")).where("first < last").select("sig", "first")
+    meet = stored(some.join(ends, "sig"), "jaccard-meetings")
+    discard(some)
+    wanted = stored(classes.join(meet.select("cls").distinct(), "cls").select("cls", "rep", "even", "odd"), "jaccard-wanted")
+    sets = stored(token_table(rows, wanted.select("cls", "rep"), width, seed), "jaccard-tokens")
     star = meet.where("first < cls").select(F.col("first").alias("a"), F.col("cls").alias("b")).distinct()
     links = _verified(star, sets, percent, "jaccard-links")
     linked = components(links)
-    final = _across(meet, sets, links, linked, percent)
+    final = _across(meet, sets, wanted, links, linked, percent)
     root = F.coalesce("root", "cls")
     own = classes.join(final.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "rep", root.alias("root"))
     least = own.groupBy("root").agg(F.min("rep").alias("component_id"))
@@ -318,11 +352,11 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     out = table.select("doc_id", "n", F.when(F.col("n") > 0, F.col("set_hash")).alias("set_hash")).join(placed, "set_hash", "left")
     done = stored(out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")),
                   "jaccard-components")
-    discard(table, classes, meet, sets, links, linked, final)
+    discard(table, classes, meet, wanted, sets, links, linked, final)
     return done
 
 
-def _across(meet: DataFrame, sets: DataFrame, links: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
+def _across(meet: DataFrame, sets: DataFrame, wanted: DataFrame, links: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
     """Components after all classes of different components that share a signature are compared: ``node, root``.
 
     A class with u elements that no other open class has can overlap at most n - u elements with any of them, so only
@@ -339,7 +373,10 @@ def _across(meet: DataFrame, sets: DataFrame, links: DataFrame, linked: DataFram
         ends = rows.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("sig")
         return rows.join(ends, "sig")
 
-    first_table = stored(several(placed), "jaccard-open")
+    needed = wanted.select("cls", "even", "odd")
+    open_table = stored(several(placed), "jaccard-unsettled")
+    first_table = stored(several(_enough(open_table, needed)), "jaccard-open")
+    discard(open_table)
     first, size = sized(first_table)
     if not size:
         discard(first_table)
@@ -404,6 +441,23 @@ def _across(meet: DataFrame, sets: DataFrame, links: DataFrame, linked: DataFram
     return out
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not in ``gone``, which has one column.
+
+    Most texts are not shuffled: what a bit filter of the ids lets by stays where it is, only the rest is joined.
+    """
+    name = gone.columns[0]
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 25))
+    given = docs.sparkSession.sparkContext.broadcast(bit_filter(gone, place(name), 25))
+
+    @F.pandas_udf("boolean")
+    def marked(places: pd.Series) -> pd.Series:
+        return pd.Series(is_set(given.value, places.to_numpy()))
+
+    may = marked(place("doc_id"))
+    return docs.where(~may).unionByName(docs.where(may).join(gone, F.col("doc_id") == F.col(name), "left_anti"))
+
+
 def one_each(docs: DataFrame, percent: int = 90, width: int = 3) -> DataFrame:
     """The rows of ``docs`` that stay if each component keeps its least doc_id; all rows without shingles stay.
 
@@ -412,7 +466,7 @@ def one_each(docs: DataFrame, percent: int = 90, width: int = 3) -> DataFrame:
     found = jaccard_components(docs, percent, width)
     gone = column_name(docs, "gone")
     go = found.where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
-    left = docs.join(go, F.col("doc_id") == F.col(gone), "left_anti")
+    left = _without(docs, go)
     same = found.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1 and doc_id is not null")
     if same.isEmpty():
         return left
