@@ -62,12 +62,12 @@ def _key(length: Column, edits: Column, i: Column, first: Column, j: Column, sec
     return F.xxhash64(length, edits, i, j, first, second)
 
 
-def _indexed(strings: DataFrame, name: str, least: int, longest: Callable, most_edits: Callable) -> DataFrame:
+def _indexed(strings: DataFrame, name: str, least: int, longest: Callable, most_edits: Callable, fewest: int) -> DataFrame:
     """``(name, key, of, h0, h1)``: all keys under which a longer or equally long partner may look for a string."""
     n = F.col("of")
     base = strings.select(name, F.length(name).alias("of"), _histogram(F.col(name), 0).alias("h0"), _histogram(F.col(name), 1).alias("h1"))
     lengths = F.sequence(F.greatest(n, F.lit(least)), longest(n))
-    rows = base.where(longest(n) >= least).select("*", F.explode(F.array_distinct(F.transform(lengths, most_edits))).alias("k"))
+    rows = base.where(longest(n) >= least).select("*", F.explode(F.array_distinct(F.transform(lengths, most_edits))).alias("k")).where(F.col("k") >= fewest)
     k = F.col("k")
     pairs = F.flatten(F.transform(F.sequence(F.lit(0), k), lambda i: F.transform(
         F.sequence(i + 1, k + 1), lambda j: F.struct(i.alias("i"), j.alias("j")))))
@@ -88,11 +88,11 @@ def _keyed(rows: DataFrame, name: str, length: Column, si: Column, sj: Column) -
     return rows.where(inside).withColumn("key", _key(length.cast("int"), k.cast("int"), i.cast("int"), first, j.cast("int"), second))
 
 
-def _probing(strings: DataFrame, name: str, least: int, nearest: int, most_edits: Callable) -> DataFrame:
+def _probing(strings: DataFrame, name: str, least: int, nearest: int, most_edits: Callable, fewest: int) -> DataFrame:
     """``(name, key, k, g0, g1)``: the keys of all strings that are at least ``nearest`` characters shorter and may be similar."""
     spark = strings.sparkSession
     n = F.length(name)
-    base = strings.where(n >= least).select(
+    base = strings.where((n >= least) & (most_edits(n) >= fewest)).select(
         name, most_edits(n).cast("int").alias("k"), _histogram(F.col(name), 0).alias("g0"), _histogram(F.col(name), 1).alias("g1"))
     k = F.col("k")
     ways = literal_rows(spark, _ways(), "k int, gap int, i int, si int, j int, sj int")
@@ -110,8 +110,9 @@ def _probing(strings: DataFrame, name: str, least: int, nearest: int, most_edits
     return _keyed(both, name, n - gap, F.col("si"), F.col("sj")).select(name, "k", "gap", "g0", "g1", "key")
 
 
-def segment_candidates(left: DataFrame, right: DataFrame, least: int, longest: Callable, most_edits: Callable) -> DataFrame:
-    """Pairs ``(l, r)`` that may be within the edit limit, of which the longer string has at least ``least`` characters; no similar pair is missed.
+def segment_candidates(left: DataFrame, right: DataFrame, least: int, longest: Callable, most_edits: Callable, fewest: int = 0) -> DataFrame:
+    """Pairs ``(l, r)`` that may be within the edit limit, of which the longer string has at least ``least`` characters and ``fewest`` edits
+    allowed; no similar pair is missed.
 
     ``most_edits(n)`` is the limit of a pair whose longer string has n characters, ``longest(n)`` the length of the longest partner
     of a string. The shorter string is cut into two segments more than edits are allowed (one more beyond TWO_UPTO edits), so at
@@ -122,8 +123,8 @@ def segment_candidates(left: DataFrame, right: DataFrame, least: int, longest: C
     out = []
     for longer, shorter, nearest in (("l", "r", 0), ("r", "l", 1)):
         sides = {"l": left.select("l"), "r": right.select("r")}
-        asked = _probing(sides[longer], longer, least, nearest, most_edits)
-        known = _indexed(sides[shorter], shorter, least, longest, most_edits)
+        asked = _probing(sides[longer], longer, least, nearest, most_edits, fewest)
+        known = _indexed(sides[shorter], shorter, least, longest, most_edits, fewest)
         surplus = [F.bit_count(F.col(f"{a}{h}").bitwiseAND(F.bitwise_not(F.col(f"{b}{h}")))) for a, b in ("gh", "hg") for h in (0, 1)]
         near = (surplus[0] + surplus[1] <= F.col("k")) & (surplus[2] + surplus[3] <= F.col("k"))
         fits = F.col("of") == F.length(longer) - F.col("gap")

@@ -35,7 +35,8 @@ def similar_strings(left: DataFrame, right: DataFrame, min_percent: int | None =
     ``100 * (1 - distance / longer length) >= min_percent`` (at least 85), or both. The result is exact:
 
     * Two short strings within two edits become equal when each loses at most two
-      characters, so their deletion variants are equi-joined.
+      characters, so their deletion variants are equi-joined; likewise strings of any
+      length if only one edit is allowed.
     * Longer ones share segments at known places (see ``segment_candidates``).
     """
     if min_percent is None and max_distance is None:
@@ -73,13 +74,18 @@ def similar_strings(left: DataFrame, right: DataFrame, min_percent: int | None =
         limited = F.call_function("levenshtein", F.col("l"), F.col("r"), allowed)
         return pairs.filter(sizes).select("l", "r", limited.alias("distance")).filter(F.col("distance") >= 0)
 
+    def strict(n: Column) -> Column:
+        """Whether pairs of which the longer string has this length are found by deletions."""
+        return (n <= SHORT) | (most_edits(n) <= 1)
+
     def short(df: DataFrame, c: str) -> DataFrame:
-        return _without_up_to_two(df.filter(F.length(c) <= SHORT), c, F.least(F.lit(2), budget(F.length(c))))
+        n = F.length(c)
+        return _without_up_to_two(df.filter(strict(n)), c, F.least(F.when(n <= SHORT, 2).otherwise(1), budget(n)))
 
     # Keys are few, candidates many: the left side is spread by a fixed number of partitions before it multiplies.
     spread = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = checked(short(left, "l").repartition(spread, "l").join(short(right, "r"), "_variant"), longer <= SHORT)
+    near = checked(short(left, "l").repartition(spread, "l").join(short(right, "r"), "_variant"), strict(longer))
 
-    candidates = segment_candidates(left, right, SHORT + 1, longest, most_edits)
-    far = checked(candidates, longer > SHORT)
+    candidates = segment_candidates(left, right, SHORT + 1, longest, most_edits, fewest=2)
+    far = checked(candidates, ~strict(longer))
     return near.unionByName(far).distinct()

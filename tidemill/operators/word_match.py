@@ -12,8 +12,10 @@ from tidemill.session import ensure_checkpoint_dir
 WORD_WEIGHT, PART_WEIGHT = 0.95, 0.9
 #: A text this many times longer is searched for the best window.
 PART_RATIO = 1.5
-#: Characters of a gram of the window search.
-GRAM = 4
+#: Characters of a gram of the window search, how many grams of a text are looked at before it is compared, and parts of a common gram's texts.
+GRAM, LOOKED, SPREAD = 4, 8, 8
+#: Texts that have a match of such a score are not compared with less similar ones.
+STEPS = (97.0, 92.0, 89.0)
 
 
 def words_in_order(text: Column) -> Column:
@@ -76,9 +78,9 @@ def window_pairs(left: DataFrame, right: DataFrame, min_score: float) -> DataFra
     """``(l, r, score)``: edit ratio of the shorter text and the window of the longer that suits it best, times PART_WEIGHT.
 
     Only pairs of which one is PART_RATIO times as long or longer. With k edits allowed, one of k + 1 disjoint pieces of the shorter text
-    stands unchanged in the longer one; the pieces begin with grams, and the pairs meet on the rarest ones that do. A window then starts
-    within k places of where the gram says, so a pair costs at most (2k + 1) squared comparisons for each place where they meet. Texts of
-    fewer than GRAM characters are not searched for in others.
+    stands unchanged in the longer one; the pieces are grams, and the pairs meet on the rarest ones. Of the LOOKED rarest at most k may
+    be missing within k places of where the gram says. A window then starts within k places of there, so a pair that has them costs at most
+    (2k + 1) squared comparisons, each given up beyond k edits. Texts of fewer than GRAM characters are not searched for in others.
     """
     share = min_score / PART_WEIGHT / 100
     edits = lambda n: F.floor(n * (1 - share) + 1e-9).cast("int")
@@ -89,22 +91,30 @@ def window_pairs(left: DataFrame, right: DataFrame, min_score: float) -> DataFra
         k = edits(n)
         grams = lambda c: F.transform(F.sequence(F.lit(1), F.length(c) - (GRAM - 1)), lambda p: F.struct(
             p.alias("p"), F.substr(c, p, F.lit(GRAM)).alias("g")))
-        held = longer.where(F.length(long) >= GRAM).select(long, F.explode(grams(long)).alias("e")).select(long, F.col("e.p").alias("q"), "e.g")
+        part = F.pmod(F.xxhash64(long), F.lit(SPREAD)).alias("part")
+        held = longer.where(F.length(long) >= GRAM).select(long, part, F.explode(grams(long)).alias("e")).select(long, "part", F.col("e.p").alias("q"), "e.g")
         often = held.groupBy("g").agg(F.count(F.lit(1)).alias("often"))
         pieces = F.transform(F.sequence(F.lit(0), F.floor(n / GRAM).cast("int") - 1), lambda i: F.struct(
             (i * GRAM + 1).alias("p"), F.substr(short, (i * GRAM + 1).cast("int"), F.lit(GRAM)).alias("g")))
         cut = shorter.where(n >= GRAM).select(short, F.explode(pieces).alias("e")).select(short, F.col("e.p").alias("p"), "e.g").join(often, "g", "left")
         # One short list per text: the grams it is cut into.
         rare = cut.groupBy(short).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("o"), "p", "g"))).alias("es"))
-        asked = rare.select(short, k.alias("k"), F.explode(F.slice("es", F.lit(1), k + 1)).alias("e")).select(short, "k", "e.p", "e.g")
-        met = asked.join(held, "g").where(F.length(long) >= PART_RATIO * n)
+        parts = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)).cast("array<long>")).alias("part")
+        asked = rare.select(short, k.alias("k"), F.slice("es", 1, LOOKED).alias("looked"), F.explode(F.slice("es", F.lit(1), k + 1)).alias("e"))
+        asked = asked.select(short, "k", "looked", "e.p", "e.g", parts)
+        there = F.lit(0)
+        for i in range(LOOKED):
+            one = F.get("looked", F.lit(i))
+            place = F.greatest(F.col("q") - F.col("p") + one["p"] - F.col("k"), F.lit(1))
+            there = there + F.coalesce((F.instr(F.substr(long, place, F.col("k") * 2 + GRAM), one["g"]) > 0).cast("int"), F.lit(0))
+        met = asked.join(held, ["g", "part"]).where((F.length(long) >= PART_RATIO * n) & (there >= F.size("looked") - F.col("k")))
         first = F.col("q") - F.col("p") + 1  # where a window without edits would start
         starts = F.sequence(first - F.col("k"), first + F.col("k"))
         sizes = F.sequence(F.greatest(n - F.col("k"), F.lit(1)), n + F.col("k"))
-        distance = lambda s, m: F.levenshtein(F.col(short), F.substr(long, s, m))
+        distance = lambda s, m: F.call_function("levenshtein", F.col(short), F.substr(long, s, m), F.col("k"))
         tried = F.flatten(F.transform(starts, lambda s: F.transform(sizes, lambda m: F.when(s >= 1, distance(s, m)))))
-        least = F.array_min(F.filter(tried, lambda d: d.isNotNull()))
-        scored = met.select("l", "r", (F.lit(PART_WEIGHT) * _ratio(F.least(least, n), n)).alias("score"))
+        least = F.array_min(F.filter(tried, lambda d: d >= 0))
+        scored = met.select("l", "r", (F.lit(PART_WEIGHT) * _ratio(least, n)).alias("score"))
         found.append(scored)
     return found[0].unionByName(found[1]).where(F.col("score") >= min_score).groupBy("l", "r").agg(F.max("score").alias("score"))
 
@@ -121,15 +131,17 @@ def word_pairs(left: DataFrame, right: DataFrame, min_score: float = MATCH_PERCE
     longer = F.greatest(F.length("l"), F.length("r"))
     plain = similar_strings(left, right, min_percent=int(min_score)).select("l", "r", _ratio(F.col("distance"), longer).alias("score"))
     every = plain.where(F.col("score") >= min_score)
-    for pairs in (reordered_pairs, shared_word_pairs, window_pairs):
-        every = every.unionByName(pairs(left, right, min_score))
+    for pairs, weight in ((reordered_pairs, WORD_WEIGHT), (shared_word_pairs, WORD_WEIGHT), (window_pairs, PART_WEIGHT)):
+        if 100 * weight >= min_score:
+            every = every.unionByName(pairs(left, right, min_score))
     return every.groupBy("l", "r").agg(F.max("score").alias("score"))
 
 
 def best_word_match(left: DataFrame, right: DataFrame, text: str, key: str, min_score: float = MATCH_PERCENT) -> DataFrame:
     """Best right key for each different left text: ``(text, matched_key, score)``; ties go to the smallest key, blank texts match nothing.
 
-    Equal texts are settled by an equi join; only the others are scored by :func:`word_pairs`. An action: the texts are checkpointed.
+    Equal texts are settled by an equi join; only the others are scored by :func:`word_pairs`, from strict to lax: what has a match at one of
+    STEPS is not searched for with more edits, for all that score more were found there. An action: texts and matches are checkpointed.
     """
     ensure_checkpoint_dir(left.sparkSession)
     canonical = right.where(F.trim(text) != "").groupBy(F.col(text).alias("r")).agg(F.min(key).alias("_key")).checkpoint()
@@ -139,7 +151,12 @@ def best_word_match(left: DataFrame, right: DataFrame, text: str, key: str, min_
     left_over = looked.where(F.col("_key").isNull()).select("l")
     if left_over.isEmpty():
         return exact.withColumnRenamed("l", text)
-    scored = word_pairs(left_over, canonical.select("r"), min_score).join(canonical, "r")
     top = F.min_by(F.struct("_key", "score"), F.struct(-F.col("score"), "_key"))
-    best = scored.groupBy("l").agg(top.alias("b")).select("l", F.col("b._key").alias("matched_key"), "b.score")
-    return exact.unionByName(best).withColumnRenamed("l", text)
+    for limit in [s for s in STEPS if s > min_score] + [min_score]:
+        scored = word_pairs(left_over, canonical.select("r"), limit).join(canonical, "r")
+        best = scored.groupBy("l").agg(top.alias("b")).select("l", F.col("b._key").alias("matched_key"), "b.score").checkpoint()
+        exact = exact.unionByName(best)
+        left_over = left_over.join(best.select("l"), "l", "left_anti").checkpoint()
+        if limit > min_score and left_over.isEmpty():
+            break
+    return exact.withColumnRenamed("l", text)
