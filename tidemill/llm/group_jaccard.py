@@ -291,12 +291,22 @@ def meetings(shared: DataFrame, parts: int) -> DataFrame:
     return dealt.mapInArrow(run, "sig long, cls long, first long")
 
 
+def _odd() -> Column:
+    return F.col("sig").bitwiseAND(F.lit(1).cast("long")) == 1
+
+
+def _often(rows: DataFrame, needed: DataFrame, one: str, other: str) -> DataFrame:
+    """The different pairs ``one, other`` of ``rows(sig, one, other)`` that come with as many signatures of a level as the class ``one`` needs."""
+    have = rows.groupBy(one, other).agg(F.count_if(~_odd()).alias("n_even"), F.count_if(_odd()).alias("n_odd"))
+    return have.join(needed.withColumnRenamed("cls", one), one).where("n_even >= even or n_odd >= odd").select(one, other)
+
+
 def _enough(rows: DataFrame, needed: DataFrame) -> DataFrame:
     """The rows ``sig, cls, ...`` of classes that have as many rows of a level as similar sets share signatures of it.
 
     ``needed(cls, even, odd)`` says how many; a passage that texts have in common gives fewer.
     """
-    odd = F.col("sig").bitwiseAND(F.lit(1).cast("long")) == 1
+    odd = _odd()
     have = rows.groupBy("cls").agg(F.count_if(~odd).alias("n_even"), F.count_if(odd).alias("n_odd"))
     met = have.join(needed, "cls").select("cls", (F.col("n_even") >= F.col("even")).alias("in_even"), (F.col("n_odd") >= F.col("odd")).alias("in_odd"))
     return rows.join(met.where("in_even or in_odd"), "cls").where(F.when(odd, F.col("in_odd")).otherwise(F.col("in_even"))).select(*rows.columns)
@@ -310,7 +320,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
 
     1. Each set gives signatures of its parts (see ``signatures``): similar sets share some (see ``least_shared``). Classes that share so
        many with others are candidates; only their sets are built again from the texts.
-    2. All candidates of a signature are compared with the first of them, and links make components.
+    2. Candidates of a signature are compared with the first of them if they meet it often enough, and links make components.
     3. Where a signature still holds classes of two components (see ``_across``), classes are queries and the components, cut into groups of
        similar documents (at most MEMBERS members and about GROUP_TOKENS tokens), are the groups of the token-group matrix: a row
        of bits stands for the union of the members' tokens. A query's overlap with a group is at most its size less the
@@ -341,8 +351,8 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     discard(some)
     wanted = stored(classes.join(meet.select("cls").distinct(), "cls").select("cls", "rep", "even", "odd"), "jaccard-wanted")
     sets = stored(token_table(rows, wanted.select("cls", "rep"), width, seed), "jaccard-tokens")
-    star = meet.where("first < cls").select(F.col("first").alias("a"), F.col("cls").alias("b")).distinct()
-    links = _verified(star, sets, percent, "jaccard-links")
+    star = _often(meet.where("first < cls").select("sig", F.col("cls").alias("b"), F.col("first").alias("a")), wanted.select("cls", "even", "odd"), "b", "a")
+    links = _verified(star.select("a", "b"), sets, percent, "jaccard-links")
     linked = components(links)
     final = _across(meet, sets, wanted, links, linked, percent)
     root = F.coalesce("root", "cls")
@@ -429,7 +439,8 @@ def _across(meet: DataFrame, sets: DataFrame, wanted: DataFrame, links: DataFram
     asks = (F.col("sq") < F.col("size")) | ((F.col("sq") == F.col("size")) & (F.col("rq") < F.col("root")))
     may = (F.col("eq") >= F.col("low")) & (F.col("far") >= F.col("nq")) & (
         100 * F.col("nq") >= p * F.col("low")) & (100 * F.col("high") >= p * F.col("nq"))
-    pairs = query.join(group, (query["sig"] == group["sig"]) & (F.col("rq") != F.col("root")) & asks & may).select("q", "gid").distinct()
+    met = query.join(group, (query["sig"] == group["sig"]) & (F.col("rq") != F.col("root")) & asks & may).select(query["sig"], "q", "gid")
+    pairs = _often(met, needed, "q", "gid")  # a similar member brings all the signatures that it shares
     asked = pairs.join(sets.select(F.col("cls").alias("q"), "n", "bits"), "q").join(union.join(span, "gid"), "gid")
     most = F.col("n") - _missing(F.col("bits"), F.col("row"))
     opened = asked.where((100 + p) * most >= p * (F.col("n") + F.greatest("low", F.ceil(p * F.col("n") / 100))))
