@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 
@@ -45,6 +47,60 @@ def test_a_shared_passage_makes_no_candidate(spark):
     assert found[100] == 0 and found[0] == 0 and found[None] == 1 and found[101] == 101 and all(found[k] == k for k in range(12))
 
 
+def test_copies_around_the_limit_ask_a_group_once(spark, monkeypatch):
+    """Copies with one new word link, those with three only reach them nearly: every signature of such texts holds all of them."""
+    rnd = random.Random(5)
+    base = [f"b{k}" for k in range(150)]
+    texts = []
+    for k in range(160):
+        words = list(base)
+        for at in [rnd.randrange(5, 70)] if k < 100 else rnd.sample(range(75, 146, 5), 3):
+            words[at] = f"n{rnd.randrange(10**9)}"
+        texts.append(words)
+    asked = []
+    often = group_jaccard._often
+
+    def counted(rows, needed, one, other, *more):
+        if one == "q":
+            asked.append((rows.count(), rows.select(one, other).distinct().count()))
+        return often(rows, needed, one, other, *more)
+
+    monkeypatch.setattr(group_jaccard, "_often", counted)
+    docs = spark.createDataFrame([(k, " ".join(words)) for k, words in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in group_jaccard.jaccard_components(docs, 80, 5).collect()}
+    sets = [{tuple(words[j : j + 5]) for j in range(146)} for words in texts]
+    want = list(range(160))
+    for a in range(160):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if want[a] != want[b] and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((want[a], want[b]))
+                want = [low if x == high else x for x in want]
+    assert found == dict(enumerate(want)) and len(set(want)) > 30
+    (rows, pairs), = asked
+    assert pairs > 100 and rows <= 8 * pairs
+
+
+def test_signatures_of_a_lead_are_taken_as_one_only_if_that_makes_fewer_pairs(spark):
+    rnd = random.Random(6)
+    rows = [(sig, cls) for sig in range(40) for cls in rnd.sample(range(30), 25)]  # near copies
+    rows += [(100 + k, cls) for k in range(20) for cls in (50, 51 + 3 * k, 52 + 3 * k, 53 + 3 * k)]  # one class that meets others, each once
+    rows += [(200, 300), (200, 301)]
+    n_reach = {cls: (100 + cls, 100 + cls // 2 + (20 if cls in (0, 50) else 0)) for _, cls in rows}
+    places = spark.createDataFrame([(sig, cls, cls // 2, *n_reach[cls]) for sig, cls in rows], "sig long, cls long, gid long, n long, reach long")
+    got = group_jaccard._together(places)
+    assert got.count() == got.distinct().count()
+    assert {r.sig for r in got.where("not whole").select("sig").collect()} == {*range(100, 120), 200}
+
+    def pairs(df, *key):
+        x, y = df.selectExpr(*key, "cls"), df.select(*key, "gid").distinct()
+        return x.join(y, [k.split()[-1] for k in key]).select("cls", "gid")
+
+    before, after = pairs(places, "sig"), pairs(got, "sig", "whole")
+    assert before.distinct().exceptAll(after.distinct()).isEmpty()
+    assert after.count() < before.count() / 10
+
+
 def test_texts_are_left_out_without_a_shuffle_of_the_rest(spark):
     docs = spark.createDataFrame([(k if k % 7 else None, f"t{k}") for k in range(200)], "doc_id long, text string")
     gone = spark.createDataFrame([(k,) for k in range(0, 200, 3)], "gone long")

@@ -295,10 +295,13 @@ def _odd() -> Column:
     return F.col("sig").bitwiseAND(F.lit(1).cast("long")) == 1
 
 
-def _often(rows: DataFrame, needed: DataFrame, one: str, other: str) -> DataFrame:
-    """The different pairs ``one, other`` of ``rows(sig, one, other)`` that come with as many signatures of a level as the class ``one`` needs."""
-    have = rows.groupBy(one, other).agg(F.count_if(~_odd()).alias("n_even"), F.count_if(_odd()).alias("n_odd"))
-    return have.join(needed.withColumnRenamed("cls", one), one).where("n_even >= even or n_odd >= odd").select(one, other)
+def _often(rows: DataFrame, needed: DataFrame, one: str, other: str, sure: str = "false") -> DataFrame:
+    """The different pairs ``one, other`` of ``rows(sig, one, other)`` that come with as many signatures of a level as the class ``one`` needs.
+
+    Rows where ``sure`` holds stand for an unknown number of signatures, so their pairs come in any case.
+    """
+    have = rows.groupBy(one, other).agg(F.count_if(~_odd()).alias("n_even"), F.count_if(_odd()).alias("n_odd"), F.bool_or(F.expr(sure)).alias("in_any"))
+    return have.join(needed.withColumnRenamed("cls", one), one).where("n_even >= even or n_odd >= odd or in_any").select(one, other)
 
 
 def _enough(rows: DataFrame, needed: DataFrame) -> DataFrame:
@@ -312,6 +315,22 @@ def _enough(rows: DataFrame, needed: DataFrame) -> DataFrame:
     return rows.join(met.where("in_even or in_odd"), "cls").where(F.when(odd, F.col("in_odd")).otherwise(F.col("in_even"))).select(*rows.columns)
 
 
+def _together(places: DataFrame) -> DataFrame:
+    """``places(sig, cls, gid, n, reach, ...)`` with the signatures of one lead taken as one where that makes fewer pairs of class and group.
+
+    Near copies meet in dozens of signatures, and each would make all their pairs anew. The lead of a signature is its class with the
+    least of its own, so such copies mostly have the same one. Where all classes and groups of a lead make fewer pairs than its
+    signatures one by one do, ``sig`` becomes the lead and ``whole`` is true; who shares a signature shares its lead, so no pair is lost.
+    """
+    lead = places.groupBy("sig").agg(F.min_by("cls", F.struct((F.col("n") - F.col("reach")) / F.col("n"), "cls")).alias("lead"))
+    led = places.join(lead, "sig")
+    pairs = F.count_distinct("cls") * F.count_distinct("gid")
+    apart = led.groupBy("lead", "sig").agg(pairs.alias("pairs")).groupBy("lead").agg(F.sum("pairs").alias("apart"))
+    whole = led.groupBy("lead").agg(pairs.alias("pairs")).join(apart, "lead").select("lead", (F.col("pairs") < F.col("apart")).alias("whole"))
+    key = F.when(F.col("whole"), F.col("lead")).otherwise(F.col("sig")).alias("sig")
+    return led.join(whole, "lead").select(key, "whole", *(c for c in places.columns if c != "sig")).distinct()
+
+
 def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text)``.
 
@@ -373,7 +392,8 @@ def _across(meet: DataFrame, sets: DataFrame, wanted: DataFrame, links: DataFram
     with sets of at most (1 + 1 / t)(n - u) - n elements it can reach similarity t. Classes that nobody in their signature's
     rows is small enough for are settled without a comparison; of many slightly different copies those go that have
     too much of their own. Of the others the class with the least of its own is compared with all of its signature first,
-    which joins most of what can be joined; the components left then ask each other's groups.
+    which joins most of what can be joined. Of the classes left all counts as their own that no other component's have, which settles
+    more of them; the components left then ask each other's groups, once for all signatures of near copies (see ``_together``).
     """
     p = F.lit(percent)
     root = linked.withColumnRenamed("node", "cls")
@@ -383,6 +403,15 @@ def _across(meet: DataFrame, sets: DataFrame, wanted: DataFrame, links: DataFram
         ends = rows.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("sig")
         return rows.join(ends, "sig")
 
+    def able(rows: DataFrame) -> DataFrame:
+        """The rows of classes that somebody in their signature's rows is small enough for."""
+        rows = several(rows.where(100 * F.col("reach") >= p * F.col("n")))
+        least = rows.groupBy("sig").agg(F.min("n").alias("least"))
+        return several(rows.join(least, "sig").where("reach >= least").drop("least"))
+
+    def span_of(free: Column) -> Column:
+        return (F.floor((100 + p) * free / p) - F.col("n")).alias("reach")
+
     needed = wanted.select("cls", "even", "odd")
     open_table = stored(several(placed), "jaccard-unsettled")
     first_table = stored(several(_enough(open_table, needed)), "jaccard-open")
@@ -394,9 +423,8 @@ def _across(meet: DataFrame, sets: DataFrame, wanted: DataFrame, links: DataFram
     owners = first.select("cls", "root").distinct().join(sets.select("cls", "n", "tokens"), "cls")
     own = owners.select("cls", F.explode("tokens").alias("t")).groupBy("t").agg(F.min("cls").alias("cls"), F.count("*").alias("of"))
     own = own.where("of = 1").groupBy("cls").agg(F.count("*").alias("u"))
-    free = F.col("n") - F.coalesce("u", F.lit(0))
     reach_table = stored(owners.select("cls", "root", "n").join(own, "cls", "left").select(
-        "cls", "root", "n", (F.floor((100 + p) * free / p) - F.col("n")).alias("reach")), "jaccard-reach")
+        "cls", "root", "n", span_of(F.col("n") - F.coalesce("u", F.lit(0)))), "jaccard-reach")
     reach, _ = sized(reach_table)
     fits = lambda x, y: (
         (F.col(f"{x}.reach") >= F.col(f"{y}.n")) & (F.col(f"{y}.reach") >= F.col(f"{x}.n"))
@@ -410,14 +438,23 @@ def _across(meet: DataFrame, sets: DataFrame, wanted: DataFrame, links: DataFram
     near, found = sized(near_table)
     joined = components(links.union(near)) if found else linked
     reach = reach.drop("root").join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    rows = several(known.drop("root").join(reach.select("cls", "root"), "cls"))
-    least = rows.groupBy("sig").agg(F.min("n").alias("least"))
-    rows = several(rows.join(least, "sig").where("reach >= least").drop("least"))
-    row_table = stored(rows, "jaccard-rows")
-    rows, left = sized(row_table)
+    left_table = stored(able(known.drop("root").join(reach.select("cls", "root"), "cls")), "jaccard-left")
+    rows, left = sized(left_table)
     discard(first_table)
+    if left:
+        owners = rows.select("cls", "root", "n").distinct()
+        has = owners.join(sets.select("cls", "tokens"), "cls").select("cls", "root", F.explode("tokens").alias("t"))
+        common = has.groupBy("t").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("t")
+        free = has.join(common, "t", "left_semi").groupBy("cls").agg(F.count("*").alias("free"))
+        closer_table = stored(owners.join(free, "cls", "left").select("cls", "root", "n", span_of(F.coalesce("free", F.lit(0)))), "jaccard-closer")
+        reach, _ = sized(closer_table)
+        row_table = stored(able(_enough(rows.select("sig", "cls").join(reach, "cls"), needed)), "jaccard-rows")
+        rows, left = sized(row_table)
+        discard(left_table)
+    else:
+        closer_table = row_table = left_table
     if not left:
-        discard(reach_table, near_table, row_table)
+        discard(reach_table, near_table, closer_table, row_table)
         return joined
     alive = rows.select("cls").distinct()
     members = reach.join(alive, "cls").join(sets.select("cls", "bits"), "cls")
@@ -431,16 +468,18 @@ def _across(meet: DataFrame, sets: DataFrame, wanted: DataFrame, links: DataFram
     union = in_group.select("gid", word).groupBy("gid", "k").agg(F.bit_or("w").alias("w")).groupBy("gid").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("k", "w"))), lambda x: x["w"]).alias("row"))
     span = in_group.groupBy("gid").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("reach").alias("far"))
-    places = rows.select("sig", "cls").join(in_group.select("cls", "gid", "size", "root", "n", "reach"), "cls")
-    query = places.select("sig", F.col("cls").alias("q"), F.col("root").alias("rq"), F.col("size").alias("sq"), F.col("n").alias("nq"),
+    place_table = stored(_together(rows.select("sig", "cls").join(in_group.select("cls", "gid", "size", "root", "n", "reach"), "cls")), "jaccard-places")
+    places, _ = sized(place_table)
+    query = places.select("sig", "whole", F.col("cls").alias("q"), F.col("root").alias("rq"), F.col("size").alias("sq"), F.col("n").alias("nq"),
                          F.col("reach").alias("eq"))
-    group = places.select("sig", "gid", "root", "size").distinct().join(span, "gid")
+    group = places.select("sig", "whole", "gid", "root", "size").distinct().join(span, "gid")
     # the class of the smaller component asks
     asks = (F.col("sq") < F.col("size")) | ((F.col("sq") == F.col("size")) & (F.col("rq") < F.col("root")))
     may = (F.col("eq") >= F.col("low")) & (F.col("far") >= F.col("nq")) & (
         100 * F.col("nq") >= p * F.col("low")) & (100 * F.col("high") >= p * F.col("nq"))
-    met = query.join(group, (query["sig"] == group["sig"]) & (F.col("rq") != F.col("root")) & asks & may).select(query["sig"], "q", "gid")
-    pairs = _often(met, needed, "q", "gid")  # a similar member brings all the signatures that it shares
+    met = query.join(group, (query["sig"] == group["sig"]) & (query["whole"] == group["whole"]) & (F.col("rq") != F.col("root")) & asks & may).select(
+        query["sig"], query["whole"], "q", "gid")
+    pairs = _often(met, needed, "q", "gid", "whole")  # a similar member brings all the signatures that it shares
     asked = pairs.join(sets.select(F.col("cls").alias("q"), "n", "bits"), "q").join(union.join(span, "gid"), "gid")
     most = F.col("n") - _missing(F.col("bits"), F.col("row"))
     opened = asked.where((100 + p) * most >= p * (F.col("n") + F.greatest("low", F.ceil(p * F.col("n") / 100))))
@@ -448,7 +487,7 @@ def _across(meet: DataFrame, sets: DataFrame, wanted: DataFrame, links: DataFram
     more_table = _verified(inside, sets, percent, "jaccard-more")
     more, found = sized(more_table)
     out = components(links.union(near).union(more)) if found else joined
-    discard(reach_table, near_table, row_table, in_group, more_table, *([joined] if found and joined is not linked else []))
+    discard(reach_table, near_table, closer_table, row_table, in_group, place_table, more_table, *([joined] if found and joined is not linked else []))
     return out
 
 
