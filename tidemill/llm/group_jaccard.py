@@ -316,7 +316,7 @@ def _enough(rows: DataFrame, needed: DataFrame) -> DataFrame:
 
 
 def _together(places: DataFrame) -> DataFrame:
-    """``places(sig, cls, gid, n, reach, ...)`` with the signatures of one lead taken as one where that makes fewer pairs of class and group.
+    """``places(sig, cls, gid, n, reach, ...)``, stored, with the signatures of one lead taken as one where that makes fewer pairs of class and group.
 
     Near copies meet in dozens of signatures, and each would make all their pairs anew. The lead of a signature is its class with the
     least of its own, so such copies mostly have the same one. Where all classes and groups of a lead make fewer pairs than its
@@ -324,11 +324,15 @@ def _together(places: DataFrame) -> DataFrame:
     """
     lead = places.groupBy("sig").agg(F.min_by("cls", F.struct((F.col("n") - F.col("reach")) / F.col("n"), "cls")).alias("lead"))
     led = places.join(lead, "sig")
+    led_table = stored(led, "jaccard-led-places")
+    led, _ = sized(led_table)
     pairs = F.count_distinct("cls") * F.count_distinct("gid")
     apart = led.groupBy("lead", "sig").agg(pairs.alias("pairs")).groupBy("lead").agg(F.sum("pairs").alias("apart"))
     whole = led.groupBy("lead").agg(pairs.alias("pairs")).join(apart, "lead").select("lead", (F.col("pairs") < F.col("apart")).alias("whole"))
     key = F.when(F.col("whole"), F.col("lead")).otherwise(F.col("sig")).alias("sig")
-    return led.join(whole, "lead").select(key, "whole", *(c for c in places.columns if c != "sig")).distinct()
+    out = stored(led.join(whole, "lead").select(key, "whole", *(c for c in places.columns if c != "sig")).distinct(), "jaccard-places")
+    discard(led_table)
+    return out
 
 
 def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> DataFrame:
@@ -404,9 +408,9 @@ def _across(meet: DataFrame, sets: DataFrame, wanted: DataFrame, links: DataFram
         return rows.join(ends, "sig")
 
     def able(rows: DataFrame) -> DataFrame:
-        """The rows of classes that somebody in their signature's rows is small enough for."""
-        rows = several(rows.where(100 * F.col("reach") >= p * F.col("n")))
-        least = rows.groupBy("sig").agg(F.min("n").alias("least"))
+        """The rows of classes that somebody in their signature's rows of several components is small enough for."""
+        rows = rows.where(100 * F.col("reach") >= p * F.col("n"))
+        least = rows.groupBy("sig").agg(F.min("n").alias("least"), F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("sig", "least")
         return several(rows.join(least, "sig").where("reach >= least").drop("least"))
 
     def span_of(free: Column) -> Column:
@@ -448,7 +452,7 @@ def _across(meet: DataFrame, sets: DataFrame, wanted: DataFrame, links: DataFram
         free = has.join(common, "t", "left_semi").groupBy("cls").agg(F.count("*").alias("free"))
         closer_table = stored(owners.join(free, "cls", "left").select("cls", "root", "n", span_of(F.coalesce("free", F.lit(0)))), "jaccard-closer")
         reach, _ = sized(closer_table)
-        row_table = stored(able(_enough(rows.select("sig", "cls").join(reach, "cls"), needed)), "jaccard-rows")
+        row_table = stored(able(rows.select("sig", "cls").join(reach, "cls")), "jaccard-rows")
         rows, left = sized(row_table)
         discard(left_table)
     else:
@@ -468,7 +472,7 @@ def _across(meet: DataFrame, sets: DataFrame, wanted: DataFrame, links: DataFram
     union = in_group.select("gid", word).groupBy("gid", "k").agg(F.bit_or("w").alias("w")).groupBy("gid").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("k", "w"))), lambda x: x["w"]).alias("row"))
     span = in_group.groupBy("gid").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("reach").alias("far"))
-    place_table = stored(_together(rows.select("sig", "cls").join(in_group.select("cls", "gid", "size", "root", "n", "reach"), "cls")), "jaccard-places")
+    place_table = _together(rows.select("sig", "cls").join(in_group.select("cls", "gid", "size", "root", "n", "reach"), "cls"))
     places, _ = sized(place_table)
     query = places.select("sig", "whole", F.col("cls").alias("q"), F.col("root").alias("rq"), F.col("size").alias("sq"), F.col("n").alias("nq"),
                          F.col("reach").alias("eq"))
