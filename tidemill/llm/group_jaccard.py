@@ -321,16 +321,18 @@ def _together(places: DataFrame) -> DataFrame:
     Near copies meet in dozens of signatures, and each would make all their pairs anew. The lead of a signature is its class with the
     least of its own, so such copies mostly have the same one. Where all classes and groups of a lead make fewer pairs than its
     signatures one by one do, ``sig`` becomes the lead and ``whole`` is true; who shares a signature shares its lead, so no pair is lost.
+    Rows are joined by signature: one lead may have most of them.
     """
     lead = places.groupBy("sig").agg(F.min_by("cls", F.struct((F.col("n") - F.col("reach")) / F.col("n"), "cls")).alias("lead"))
     led = places.join(lead, "sig")
     led_table = stored(led, "jaccard-led-places")
     led, _ = sized(led_table)
     pairs = F.count_distinct("cls") * F.count_distinct("gid")
-    apart = led.groupBy("lead", "sig").agg(pairs.alias("pairs")).groupBy("lead").agg(F.sum("pairs").alias("apart"))
+    each = led.groupBy("lead", "sig").agg(pairs.alias("pairs"))
+    apart = each.groupBy("lead").agg(F.sum("pairs").alias("apart"))
     whole = led.groupBy("lead").agg(pairs.alias("pairs")).join(apart, "lead").select("lead", (F.col("pairs") < F.col("apart")).alias("whole"))
     key = F.when(F.col("whole"), F.col("lead")).otherwise(F.col("sig")).alias("sig")
-    out = stored(led.join(whole, "lead").select(key, "whole", *(c for c in places.columns if c != "sig")).distinct(), "jaccard-places")
+    out = stored(led.join(each.join(whole, "lead").select("sig", "whole"), "sig").select(key, "whole", *(c for c in places.columns if c != "sig")).distinct(), "jaccard-places")
     discard(led_table)
     return out
 
